@@ -1,0 +1,21 @@
+"""Broadcast only behind a proven row bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """Return ``(broadcast(df), True)`` if ``df`` has at most ``max_rows`` rows.
+
+    The bound is proven with a ``limit(max_rows + 1).count()`` job, which stops
+    reading once the bound is exceeded.  Otherwise the frame is returned as is
+    and the join falls back to a shuffle (AQE may still pick a broadcast from
+    runtime statistics)."""
+    n = df.limit(max_rows + 1).count()
+    if n <= max_rows:
+        return F.broadcast(df), True
+    return df, False

@@ -1,0 +1,142 @@
+"""The job's composites: summarise (C-1), annual / quarter merge (C-2, C-3)
+and export (C-4).  Every function returns lazy DataFrames; nothing but the
+small reconciliation tables is ever collected."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+
+from ..operators import enrich, merge, rank, reconcile, shape, summarise
+from ..sources import readers, writers
+from .spec import LEVELS, FiscalSpec, LevelSpec, MergePolicy
+
+
+def summarise_stage(detail: DataFrame, fiscal: FiscalSpec, levels: tuple[LevelSpec, ...] = LEVELS) -> DataFrame:
+    """C-1 as one plan: all level summaries from a single scan of the detail
+    (GROUPING SETS), tagged by ``level``."""
+    return summarise.summarise_grouping_sets(detail, levels, fiscal)
+
+
+def run_summarise(detail: DataFrame, fiscal: FiscalSpec, out_dir: str, levels: tuple[LevelSpec, ...] = LEVELS) -> dict[str, DataFrame]:
+    """C-1 end to end: one job writes every level (partitioned by level);
+    the per-level tables are read back with partition pruning."""
+    writers.write_summary(summarise_stage(detail, fiscal, levels), out_dir)
+    combined = detail.sparkSession.read.parquet(out_dir)
+    return summarise.split_levels(combined, levels)
+
+
+@dataclass
+class MergeResult:
+    tables: dict[str, DataFrame]          # ranked, typed level tables
+    report: DataFrame | None              # reconciliation rows
+    verdict: DataFrame | None             # one row (annual) or None
+    checkpoints: DataFrame | None         # totals at each checkpoint
+
+
+def _totals_metrics(policy: MergePolicy) -> tuple[str, ...] | None:
+    return ("sales",) if policy.severity == "absolute" else None
+
+
+def merge_pipeline(
+    cur: dict[str, DataFrame],
+    past: dict[str, DataFrame | None],
+    master: DataFrame | None,
+    fiscal: FiscalSpec,
+    policy: MergePolicy,
+    levels: tuple[LevelSpec, ...] = LEVELS,
+    reference_past_names: bool = False,
+) -> MergeResult:
+    """C-2 (policy ANNUAL) and C-3 (policy QUARTER) as one function."""
+    names = [lv.name for lv in levels]
+    by_name = {lv.name: lv for lv in levels}
+    if master is None and policy.missing_master == "error":
+        raise FileNotFoundError("corporation master is required by this policy")
+
+    # totals before the merge (past totals are taken before legacy renames)
+    if policy.severity == "absolute":
+        past_totals = reconcile.level_totals(past, fiscal, ("sales",), rule="all_levels")
+        before = past_totals
+        cur_totals = reconcile.level_totals(cur, fiscal, rule="corp")
+    else:
+        cur_totals = reconcile.level_totals(cur, fiscal, rule="corp")
+        past_totals = reconcile.level_totals(past, fiscal, rule="corp")
+        before = reconcile.totals_precedence(cur_totals, past_totals)
+
+    # legacy renames
+    p = dict(past)
+    if "customer" in p and "customer_product" in p:
+        if policy.name == "annual":
+            p["customer"], p["customer_product"] = readers.rename_legacy_coupled(p["customer"], p["customer_product"], reference_past_names)
+        else:
+            p["customer"] = readers.rename_legacy(p["customer"], {"client_code": "cust_code", "client_name": "cust_name"})
+            p["customer_product"] = readers.rename_legacy(p["customer_product"], {"customer": "cust_name"})
+
+    merged = merge.merge_levels(cur, p, levels, fiscal, policy)
+
+    report = None
+    merged_totals = None
+    if policy.severity == "relative" and before is not None:
+        merged_totals = reconcile.level_totals(merged, fiscal, rule="each")
+        report = reconcile.compare_relative(before, merged_totals, checkpoint="merge")
+
+    if "corp" in merged:
+        merged["corp"] = enrich.master_join(merged["corp"], master)
+
+    out = {}
+    for n in names:
+        lv, df = by_name[n], merged[n]
+        if policy.name == "annual":
+            df = shape.reorder_filter(df, lv, fiscal)
+            df = shape.fill_column(df, fiscal.sales_col, 0)
+            df = shape.codes_to_string(df)
+        else:
+            df = shape.reorder_generated(df, lv, fiscal)
+            df = shape.codes_to_string(df)
+            df = shape.finalise_metrics(df, fiscal, policy.final_type)
+        if policy.drop_zero_rows:
+            df = shape.drop_zero_rows(df, fiscal)
+        out[n] = df
+
+    sales_everywhere = all(fiscal.sales_col in out[n].columns for n in ("corp", "customer") if n in out)
+    for n in names:
+        order = rank.rank_order(out[n], by_name[n], fiscal, policy, sales_present=None if policy.name == "annual" else sales_everywhere)
+        out[n] = out[n].orderBy(*order)
+
+    final_totals = reconcile.level_totals(out, fiscal, _totals_metrics(policy), rule="all_levels" if policy.severity == "absolute" else "each")
+    verdict = None
+    if policy.severity == "absolute":
+        if before is not None and final_totals is not None:
+            absolute = reconcile.compare_absolute(before, final_totals)
+            cross = reconcile.cross_level(final_totals)
+            report = absolute
+            verdict = reconcile.verdict(absolute, cross)
+    elif merged_totals is not None and final_totals is not None:
+        final_diff = reconcile.compare_relative(merged_totals, final_totals, checkpoint="final")
+        report = final_diff if report is None else report.unionByName(final_diff)
+
+    checkpoints = reconcile.checkpoint_report(
+        {"current": cur_totals, "past": past_totals, "merged": merged_totals, "final": final_totals}
+    ) if any(t is not None for t in (cur_totals, past_totals, merged_totals, final_totals)) else None
+    return MergeResult(out, report, verdict, checkpoints)
+
+
+def export_levels(
+    spark,
+    paths: dict[str, str],
+    out_dir: str,
+    policy: str = "all",
+    on_null: str = "zero",
+    header_if_empty: bool = True,
+) -> list[str]:
+    """C-4: availability check (W-7 all-or-nothing / W-8 best effort), read
+    each result table (R-9), fill numeric nulls (P-16) and write one ordered
+    CSV table per level (W-5).  Returns the exported levels."""
+    present, _missing = writers.available_levels(spark, paths, policy)
+    done = []
+    for lv in present:
+        df = spark.read.parquet(paths[lv])
+        if writers.export_level(df, f"{out_dir.rstrip('/')}/{lv}", on_null=on_null, header_if_empty=header_if_empty):
+            done.append(lv)
+    return done
