@@ -31,8 +31,18 @@ def null_double() -> Column:
 
 
 def any_nonzero(cols: list[str]) -> Column:
-    """Kleene OR of ``c != 0``: rows whose every value is 0 or null give
-    false/null and are dropped by a filter."""
+    """True when any value is non-zero; false/null when every value is 0 or
+    null, so a filter drops such rows (same outcome as the Kleene OR of
+    ``c != 0``).  Written as ``greatest(abs(c)...) > 0`` -- greatest skips
+    nulls -- so the optimizer sees one comparison instead of a wide OR tree,
+    whose canonicalization blows up once pushed through large projections."""
+    if len(cols) == 1:
+        return F.abs(F.col(cols[0])) > 0
+    return F.greatest(*[F.abs(F.col(c)) for c in cols]) > 0
+
+
+def any_nonzero_or(cols: list[str]) -> Column:
+    """Literal Kleene OR of ``c != 0`` (reference form, for small column sets)."""
     return reduce(or_, [F.col(c) != 0 for c in cols])
 
 

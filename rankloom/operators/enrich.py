@@ -59,12 +59,14 @@ def backfill_code(
     the original job.  Rows that already have a code are untouched."""
     if past is None or name not in df.columns or name not in past.columns or code not in past.columns:
         return df
-    mapping = name_code_mapping(past, code, name, on_ambiguous).withColumnRenamed(code, code + "_fill")
+    mapping = name_code_mapping(past, code, name, on_ambiguous).withColumnsRenamed(
+        {code: code + "_fill", name: name + "_fill"}
+    )
     mapping, _ = bounded_broadcast(mapping, max_broadcast_rows)
     need = F.col(code).isNull() & F.col(name).isNotNull()
     # only rows that need a code take part in the join condition
-    joined = df.join(mapping, (df[name] == mapping[name]) & need, "left")
-    cols = [F.coalesce(df[code], F.col(code + "_fill")).alias(code) if c == code else df[c] for c in df.columns]
+    joined = df.join(mapping, (F.col(name) == F.col(name + "_fill")) & need, "left")
+    cols = [F.coalesce(F.col(code), F.col(code + "_fill")).alias(code) if c == code else F.col(c) for c in df.columns]
     return joined.select(*cols)
 
 

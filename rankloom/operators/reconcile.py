@@ -110,7 +110,7 @@ def compare_absolute(
         (absd / F.greatest(F.col("before"), F.lit(1.0)) * 100).alias("rate_pct"),
         sev.alias("severity"),
         status.alias("status"),
-        ((status == "lost") | sev.isin("severe", "warning")).alias("issue"),
+        ((status == "lost") | F.coalesce(sev.isin("severe", "warning"), F.lit(False))).alias("issue"),
     )
 
 

@@ -348,9 +348,9 @@ def oracle_sql() -> dict[str, str]:
         "CASE WHEN a.total IS NOT NULL AND b.total IS NOT NULL AND a.total <> b.total THEN "
         "  CASE WHEN abs(a.total - b.total) > 1000000 THEN 'severe' WHEN abs(a.total - b.total) > 100000 THEN 'warning' ELSE 'minor' END END AS severity, "
         "CASE WHEN a.total IS NULL THEN 'lost' WHEN b.total IS NULL THEN 'new' WHEN a.total = b.total THEN 'ok' ELSE 'changed' END AS status "
-        "FROM bt b FULL OUTER JOIN at a USING (level, fy, metric)"
+        "FROM bef b FULL OUTER JOIN aft a USING (level, fy, metric)"
     )
-    q["recon_absolute"] = with_(**am, bt=before, at=after, x=absolute) + (
+    q["recon_absolute"] = with_(**am, bef=before, aft=after, x=absolute) + (
         "SELECT *, (status = 'lost' OR COALESCE(severity IN ('severe', 'warning'), FALSE)) AS issue FROM x"
     )
     all_totals = totals_union(merged_tables, _all_cols())
@@ -364,7 +364,7 @@ def oracle_sql() -> dict[str, str]:
     )
     sales_totals = totals_union(merged_tables, {lv: sales_only(ALL_YCOLS) for lv in KEYS})
     q["recon_verdict"] = with_(
-        **am, bt=before, at=after, x=absolute,
+        **am, bef=before, aft=after, x=absolute,
         ab="SELECT *, (status = 'lost' OR COALESCE(severity IN ('severe', 'warning'), FALSE)) AS issue FROM x",
         t=sales_totals, w=wide, cx=cross_parts,
         cr="SELECT (total_a IS DISTINCT FROM total_b) AS issue FROM cx",
@@ -390,15 +390,15 @@ def oracle_sql() -> dict[str, str]:
         **rep,
         ct=totals_union(cur_tables, _cur_cols_all()),
         pt=totals_union(past_tables, _past_cols_all()),
-        bt="SELECT level, fy, metric, COALESCE(c.total, p.total) AS total FROM ct c FULL OUTER JOIN pt p USING (level, fy, metric)",
-        at=totals_union(merged_tables, _all_cols()),
+        bef="SELECT level, fy, metric, COALESCE(c.total, p.total) AS total FROM ct c FULL OUTER JOIN pt p USING (level, fy, metric)",
+        aft=totals_union(merged_tables, _all_cols()),
     ) + (
         "SELECT 'merge' AS checkpoint, level, fy, metric, COALESCE(b.total, 0.0) AS before, COALESCE(a.total, 0.0) AS after, "
         "abs(COALESCE(a.total, 0.0) - COALESCE(b.total, 0.0)) AS abs_diff, "
         "CASE WHEN COALESCE(b.total, 0.0) <> 0 THEN abs(COALESCE(a.total, 0.0) - COALESCE(b.total, 0.0)) / abs(COALESCE(b.total, 0.0)) * 100 ELSE 0.0 END AS rel_pct, "
         "CASE WHEN (CASE WHEN COALESCE(b.total, 0.0) <> 0 THEN abs(COALESCE(a.total, 0.0) - COALESCE(b.total, 0.0)) / abs(COALESCE(b.total, 0.0)) * 100 ELSE 0.0 END) > 10 THEN 'high' "
         "WHEN (CASE WHEN COALESCE(b.total, 0.0) <> 0 THEN abs(COALESCE(a.total, 0.0) - COALESCE(b.total, 0.0)) / abs(COALESCE(b.total, 0.0)) * 100 ELSE 0.0 END) > 5 THEN 'medium' ELSE 'low' END AS severity "
-        "FROM bt b JOIN at a USING (level, fy, metric) WHERE COALESCE(a.total, 0.0) <> COALESCE(b.total, 0.0)"
+        "FROM bef b JOIN aft a USING (level, fy, metric) WHERE COALESCE(a.total, 0.0) <> COALESCE(b.total, 0.0)"
     )
 
     qm = all_merged_ctes("overwrite")

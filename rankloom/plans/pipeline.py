@@ -4,7 +4,7 @@ small reconciliation tables is ever collected."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
@@ -27,12 +27,33 @@ def run_summarise(detail: DataFrame, fiscal: FiscalSpec, out_dir: str, levels: t
     return summarise.split_levels(combined, levels)
 
 
-@dataclass
 class MergeResult:
-    tables: dict[str, DataFrame]          # ranked, typed level tables
-    report: DataFrame | None              # reconciliation rows
-    verdict: DataFrame | None             # one row (annual) or None
-    checkpoints: DataFrame | None         # totals at each checkpoint
+    """Ranked, typed level tables plus the reconciliation tables.
+
+    The tables are built at once; the reports are built on first access,
+    so a caller that only writes the tables pays no analysis for them."""
+
+    def __init__(self, tables: dict[str, DataFrame], reports: Callable[[], tuple]):
+        self.tables = tables
+        self._reports = reports
+        self._built: tuple | None = None
+
+    def _get(self, i: int):
+        if self._built is None:
+            self._built = self._reports()
+        return self._built[i]
+
+    @property
+    def report(self) -> DataFrame | None:
+        return self._get(0)
+
+    @property
+    def verdict(self) -> DataFrame | None:
+        return self._get(1)
+
+    @property
+    def checkpoints(self) -> DataFrame | None:
+        return self._get(2)
 
 
 def _totals_metrics(policy: MergePolicy) -> tuple[str, ...] | None:
@@ -54,16 +75,6 @@ def merge_pipeline(
     if master is None and policy.missing_master == "error":
         raise FileNotFoundError("corporation master is required by this policy")
 
-    # totals before the merge (past totals are taken before legacy renames)
-    if policy.severity == "absolute":
-        past_totals = reconcile.level_totals(past, fiscal, ("sales",), rule="all_levels")
-        before = past_totals
-        cur_totals = reconcile.level_totals(cur, fiscal, rule="corp")
-    else:
-        cur_totals = reconcile.level_totals(cur, fiscal, rule="corp")
-        past_totals = reconcile.level_totals(past, fiscal, rule="corp")
-        before = reconcile.totals_precedence(cur_totals, past_totals)
-
     # legacy renames
     p = dict(past)
     if "customer" in p and "customer_product" in p:
@@ -74,13 +85,6 @@ def merge_pipeline(
             p["customer_product"] = readers.rename_legacy(p["customer_product"], {"customer": "cust_name"})
 
     merged = merge.merge_levels(cur, p, levels, fiscal, policy)
-
-    report = None
-    merged_totals = None
-    if policy.severity == "relative" and before is not None:
-        merged_totals = reconcile.level_totals(merged, fiscal, rule="each")
-        report = reconcile.compare_relative(before, merged_totals, checkpoint="merge")
-
     if "corp" in merged:
         merged["corp"] = enrich.master_join(merged["corp"], master)
 
@@ -104,22 +108,32 @@ def merge_pipeline(
         order = rank.rank_order(out[n], by_name[n], fiscal, policy, sales_present=None if policy.name == "annual" else sales_everywhere)
         out[n] = out[n].orderBy(*order)
 
-    final_totals = reconcile.level_totals(out, fiscal, _totals_metrics(policy), rule="all_levels" if policy.severity == "absolute" else "each")
-    verdict = None
-    if policy.severity == "absolute":
-        if before is not None and final_totals is not None:
-            absolute = reconcile.compare_absolute(before, final_totals)
-            cross = reconcile.cross_level(final_totals)
-            report = absolute
-            verdict = reconcile.verdict(absolute, cross)
-    elif merged_totals is not None and final_totals is not None:
-        final_diff = reconcile.compare_relative(merged_totals, final_totals, checkpoint="final")
-        report = final_diff if report is None else report.unionByName(final_diff)
-
-    checkpoints = reconcile.checkpoint_report(
-        {"current": cur_totals, "past": past_totals, "merged": merged_totals, "final": final_totals}
-    ) if any(t is not None for t in (cur_totals, past_totals, merged_totals, final_totals)) else None
-    return MergeResult(out, report, verdict, checkpoints)
+    def reports():
+        # totals before the merge (past totals are taken before legacy renames)
+        cur_totals = reconcile.level_totals(cur, fiscal, rule="corp")
+        if policy.severity == "absolute":
+            past_totals = reconcile.level_totals(past, fiscal, ("sales",), rule="all_levels")
+            before = past_totals
+        else:
+            past_totals = reconcile.level_totals(past, fiscal, rule="corp")
+            before = reconcile.totals_precedence(cur_totals, past_totals)
+        merged_totals = reconcile.level_totals(merged, fiscal, rule="each")
+        rule = "all_levels" if policy.severity == "absolute" else "each"
+        final_totals = reconcile.level_totals(out, fiscal, _totals_metrics(policy), rule=rule)
+        report = verdict = None
+        if policy.severity == "absolute":
+            if before is not None and final_totals is not None:
+                report = reconcile.compare_absolute(before, final_totals)
+                verdict = reconcile.verdict(report, reconcile.cross_level(final_totals))
+        elif before is not None and merged_totals is not None and final_totals is not None:
+            report = reconcile.compare_relative(before, merged_totals, checkpoint="merge").unionByName(
+                reconcile.compare_relative(merged_totals, final_totals, checkpoint="final")
+            )
+        marks = {"current": cur_totals, "past": past_totals, "merged": merged_totals, "final": final_totals}
+        checkpoints = reconcile.checkpoint_report(marks) if any(t is not None for t in marks.values()) else None
+        return report, verdict, checkpoints
+
+    return MergeResult(out, reports)
 
 
 def export_levels(

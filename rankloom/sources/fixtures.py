@@ -19,8 +19,17 @@ DETAIL_COLUMNS = (
 )
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+_DETAILS: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Fixture table; the DataFrame is reused per session (the inputs are
+    read-only), which saves a file listing for every repeated read."""
+    key = (id(spark), sf_dir.rstrip("/"), name)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return _TABLES[key]
 
 
 def detail_view(
@@ -29,6 +38,20 @@ def detail_view(
     first_fy: int | None = None,
     last_fy: int | None = None,
     start_month: int = 4,
+) -> DataFrame:
+    """Detail rows of fiscal years ``first_fy..last_fy`` (memoized per session)."""
+    key = (id(spark), sf_dir.rstrip("/"), first_fy, last_fy, start_month)
+    if key not in _DETAILS:
+        _DETAILS[key] = _detail_view(spark, sf_dir, first_fy, last_fy, start_month)
+    return _DETAILS[key]
+
+
+def _detail_view(
+    spark: SparkSession,
+    sf_dir: str,
+    first_fy: int | None = None,
+    last_fy: int | None = None,
+    start_month: int = 4,
 ) -> DataFrame:
     """Detail rows of fiscal years ``first_fy..last_fy`` (all years if None).
 
