@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import truncate_long
 from ..functions.naming import REFERENCE_DETAIL_METRICS, REFERENCE_KEY_NAMES, from_reference
 from ..operators import enrich, merge, rank, reconcile, shape, summarise
-from ..session import shared_dir
+from ..session import shared_dir, tune_for_wide_plans
 from ..sources import readers, writers
 from ..sources.fixtures import corp_master, detail_view
 from . import pipeline
@@ -232,6 +232,7 @@ def q_finalise_metrics(spark, d):
 
 
 def q_zero_row_filter(spark, d):
+    tune_for_wide_plans(spark)
     return shape.drop_zero_rows(_finalised_customer(spark, d), FISCAL)
 
 

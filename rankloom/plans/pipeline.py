@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
+from ..session import tune_for_wide_plans
 from ..operators import enrich, merge, rank, reconcile, shape, summarise
 from ..sources import readers, writers
 from .spec import LEVELS, FiscalSpec, LevelSpec, MergePolicy
@@ -72,6 +73,7 @@ def merge_pipeline(
     """C-2 (policy ANNUAL) and C-3 (policy QUARTER) as one function."""
     names = [lv.name for lv in levels]
     by_name = {lv.name: lv for lv in levels}
+    tune_for_wide_plans(next(iter(cur.values())).sparkSession)
     if master is None and policy.missing_master == "error":
         raise FileNotFoundError("corporation master is required by this policy")
 

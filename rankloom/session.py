@@ -18,6 +18,7 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "rankl
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.constraintPropagation.enabled", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
@@ -36,3 +37,12 @@ def shared_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
+
+
+def tune_for_wide_plans(spark: SparkSession) -> None:
+    """The merged tables carry one column per (metric, year) and every step
+    re-aliases them; Catalyst's constraint propagation grows combinatorially
+    with such aliases (tens of seconds of planning, or heap exhaustion, for
+    one filter over 22 columns).  Spark documents switching it off for large
+    plans; predicate pushdown does not depend on it."""
+    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
