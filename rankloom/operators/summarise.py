@@ -44,14 +44,15 @@ def summarise(detail: DataFrame, levels: tuple[LevelSpec, ...], fiscal: FiscalSp
     return {lv.name: summarise_level(detail, lv, fiscal) for lv in levels}
 
 
-def level_id_expr(levels: tuple[LevelSpec, ...], all_keys: list[str]) -> Column:
+def level_id_expr(levels: tuple[LevelSpec, ...], all_keys: list[str], always: tuple[str, ...] = ()) -> Column:
     """Level name from ``grouping_id``: bit i (from the left) is set when key i
-    is rolled up.  The raw id is engine-specific, the name is not."""
+    is rolled up (``always`` columns are grouped in every set).  The raw id
+    is engine-specific, the name is not."""
     gid = F.grouping_id(*all_keys)
     n = len(all_keys)
     expr = None
     for lv in levels:
-        code = sum(1 << (n - 1 - i) for i, k in enumerate(all_keys) if k not in lv.keys)
+        code = sum(1 << (n - 1 - i) for i, k in enumerate(all_keys) if k not in lv.keys and k not in always)
         expr = F.when(gid == code, lv.name) if expr is None else expr.when(gid == code, lv.name)
     return expr
 
@@ -80,17 +81,59 @@ def split_levels(combined: DataFrame, levels: tuple[LevelSpec, ...]) -> dict[str
     return out
 
 
+def _wide_select(df: DataFrame, keys: list[str], fiscal: FiscalSpec, years: list[int], name) -> list[Column]:
+    out = [F.col(k) for k in keys]
+    for fy in years:
+        for m in fiscal.metrics_for(fy):
+            c = F.col(name(fy, m.name))
+            out.append((truncate_long(c) if m.integral else c).alias(fiscal.col(m.name, fy)))
+    return out
+
+
 def summarise_wide(
     detail: DataFrame, level: LevelSpec, fiscal: FiscalSpec, years: list[int] | None = None, fy_col: str = "fy"
 ) -> DataFrame:
     """Wide multi-year table (past layout): one row per key, per year the
-    ``past`` metrics as conditional sums.  A year without rows for a key is
-    null (the key did not exist that year).  Same shape as a pivot on
-    ``fy`` but with the final column names and one aggregate per column."""
+    ``past`` metrics (all four for the current year).  A year without rows
+    for a key is null (the key did not exist that year).
+
+    Built with ``pivot`` on the fiscal year: Spark first aggregates by
+    (keys, fy) -- three sums per detail row instead of one conditional sum
+    per output column -- and pivots the much smaller per-year result."""
     years = fiscal.past_years_desc() if years is None else years
-    aggs = []
-    for fy in years:
-        for m in fiscal.metrics_for(fy):
-            s = F.sum(F.when(F.col(fy_col) == fy, F.col(m.name)))
-            aggs.append((truncate_long(s) if m.integral else s).alias(fiscal.col(m.name, fy)))
-    return detail.groupBy(*level.keys).agg(*aggs)
+    metrics = [m for m in fiscal.metrics if any(m in fiscal.metrics_for(fy) for fy in years)]
+    pv = detail.groupBy(*level.keys).pivot(fy_col, years).agg(*[F.sum(m.name).alias(m.name) for m in metrics])
+    return pv.select(*_wide_select(pv, list(level.keys), fiscal, years, lambda fy, m: f"{fy}_{m}"))
+
+
+def summarise_wide_levels(
+    detail: DataFrame, levels: tuple[LevelSpec, ...], fiscal: FiscalSpec, years: list[int] | None = None, fy_col: str = "fy"
+) -> dict[str, DataFrame]:
+    """Wide tables of several levels from ONE pass over the detail.
+
+    Phase 1: ``GROUPING SETS`` with the fiscal year inside every set (one
+    Expand + partial aggregate per task, one shuffle) gives per-year sums
+    per level key.  Phase 2 pivots that small result by year (one more
+    shuffle).  Each level is a filter on the same result, so the branches
+    share one exchange instead of rescanning the detail per level."""
+    years = fiscal.past_years_desc() if years is None else years
+    metrics = [m for m in fiscal.metrics if any(m in fiscal.metrics_for(fy) for fy in years)]
+    all_keys: list[str] = []
+    for lv in levels:
+        all_keys += [k for k in lv.keys if k not in all_keys]
+    sets = [[F.col(k) for k in lv.keys] + [F.col(fy_col)] for lv in levels]
+    per_year = detail.where(F.col(fy_col).isin(years)).groupingSets(sets, *all_keys, fy_col).agg(
+        level_id_expr(levels, all_keys + [fy_col], always=(fy_col,)).alias("level"),
+        *[F.sum(m.name).alias(m.name) for m in metrics],
+    )
+    aggs = [
+        F.sum(F.when(F.col(fy_col) == fy, F.col(m.name))).alias(f"{fy}_{m.name}")
+        for fy in years
+        for m in fiscal.metrics_for(fy)
+    ]
+    wide = per_year.groupBy("level", *all_keys).agg(*aggs)
+    out = {}
+    for lv in levels:
+        part = wide.where(F.col("level") == lv.name)
+        out[lv.name] = part.select(*_wide_select(part, list(lv.keys), fiscal, years, lambda fy, m: f"{fy}_{m}"))
+    return out

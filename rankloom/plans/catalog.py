@@ -72,11 +72,15 @@ def past_product_by_rep(spark, d) -> DataFrame:
 
 
 def cur_all(spark, d) -> dict[str, DataFrame]:
-    return {lv.name: cur_level(spark, d, lv) for lv in LEVELS}
+    """All current level tables from one pass over the FY detail."""
+    combined = summarise.summarise_grouping_sets(cur_detail(spark, d), LEVELS, FISCAL)
+    return summarise.split_levels(combined, LEVELS)
 
 
 def past_all(spark, d) -> dict[str, DataFrame]:
-    return {lv.name: past_level(spark, d, lv) for lv in LEVELS}
+    """All past wide tables from one pass over the past detail."""
+    specs = tuple(LevelSpec(lv.name, lv.columns) for lv in LEVELS)
+    return summarise.summarise_wide_levels(past_detail(spark, d), specs, FISCAL)
 
 
 def merged(spark, d, level: LevelSpec, policy=ANNUAL) -> DataFrame:
@@ -256,7 +260,7 @@ def q_rank_custom_office(spark, d):
 
 
 def _merged_all(spark, d, policy=ANNUAL) -> dict[str, DataFrame]:
-    return {lv.name: merged(spark, d, lv, policy) for lv in LEVELS}
+    return merge.merge_levels(cur_all(spark, d), past_all(spark, d), LEVELS, FISCAL, policy)
 
 
 def q_totals_by_level_year(spark, d):
@@ -299,7 +303,7 @@ def q_premerge_conflicts(spark, d):
 
 def _quarter_inputs_by_rep(spark, d):
     cur = cur_all(spark, d)
-    past = past_all(spark, d)
+    past = dict(past_all(spark, d))
     past["customer_product"] = past_product_by_rep(spark, d)
     return cur, past
 
