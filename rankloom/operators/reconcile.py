@@ -141,7 +141,7 @@ def cross_level(after: DataFrame, pairs: tuple[tuple[str, str], ...] = LEVEL_PAI
 def verdict(absolute: DataFrame, cross: DataFrame) -> DataFrame:
     """V-4: one row.  Valid only with at least one compared column, no
     severe difference and zero issues.  (A failing verdict does not stop
-    the save: the pipeline returns it beside the data.)"""
+    the save: the merge job returns it beside the data.)"""
     a = absolute.select(
         F.lit(1).alias("col"),
         F.col("issue").cast("int").alias("abs_issue"),

@@ -1 +1 @@
-"""Specs, composite pipelines and the registered driver queries."""
+"""Specs, composite jobs and the registered driver queries."""

@@ -21,7 +21,7 @@ from ..operators import enrich, merge, rank, reconcile, shape, summarise
 from ..session import shared_dir, tune_for_wide_plans
 from ..sources import readers, writers
 from ..sources.fixtures import corp_master, detail_view
-from . import pipeline
+from . import jobs
 from .spec import ANNUAL, CORP, CUSTOMER, CUSTOMER_PRODUCT, LEVELS, QUARTER, REP_NAME, FiscalSpec, LevelSpec
 
 CUR_FY = 2001
@@ -126,12 +126,12 @@ def q_fiscal_year_totals(spark, d):
 
 
 def q_summary_grouping_sets(spark, d):
-    return typed(pipeline.summarise_stage(cur_detail(spark, d), FISCAL))
+    return typed(jobs.summarise_stage(cur_detail(spark, d), FISCAL))
 
 
-def q_summarise_pipeline(spark, d):
+def q_summarise_partitioned(spark, d):
     out = f"{shared_dir(spark)}/rankloom-summary-{uuid.uuid4().hex}"
-    levels = pipeline.run_summarise(cur_detail(spark, d), FISCAL, out)
+    levels = jobs.run_summarise(cur_detail(spark, d), FISCAL, out)
     return typed(levels["customer_product"])
 
 
@@ -317,12 +317,12 @@ def q_recon_relative(spark, d):
     return reconcile.compare_relative(before, after, checkpoint="merge")
 
 
-def _pipeline(spark, d, policy):
-    return pipeline.merge_pipeline(cur_all(spark, d), past_all(spark, d), corp_master(spark, d), FISCAL, policy)
+def _merged_years(spark, d, policy):
+    return jobs.merge_years(cur_all(spark, d), past_all(spark, d), corp_master(spark, d), FISCAL, policy)
 
 
 def q_checkpoint_report(spark, d):
-    return _pipeline(spark, d, QUARTER).checkpoints
+    return _merged_years(spark, d, QUARTER).checkpoints
 
 
 def q_key_overlap(spark, d):
@@ -377,9 +377,9 @@ def q_availability_policy(spark, d):
     return out
 
 
-def q_pipeline(policy, level):
+def q_ranking(policy, level):
     def q(spark, d):
-        t = _pipeline(spark, d, policy).tables[level]
+        t = _merged_years(spark, d, policy).tables[level]
         return typed(t) if policy.name == "annual" else t
 
     return q
@@ -392,7 +392,7 @@ def queries() -> dict[str, Query]:
         "summary_customer_product": q_summary(CUSTOMER_PRODUCT),
         "fiscal_year_totals": q_fiscal_year_totals,
         "summary_grouping_sets": q_summary_grouping_sets,
-        "summarise_pipeline": q_summarise_pipeline,
+        "summarise_partitioned": q_summarise_partitioned,
         "past_wide_customer": q_past_wide_customer,
         "merge_corp": q_merge(CORP),
         "merge_customer": q_merge(CUSTOMER),
@@ -435,10 +435,10 @@ def queries() -> dict[str, Query]:
         "csv_cp932_roundtrip": q_csv_cp932_roundtrip,
         "parquet_roundtrip": q_parquet_roundtrip,
         "availability_policy": q_availability_policy,
-        "annual_pipeline_corp": q_pipeline(ANNUAL, "corp"),
-        "annual_pipeline_customer": q_pipeline(ANNUAL, "customer"),
-        "annual_pipeline_product": q_pipeline(ANNUAL, "customer_product"),
-        "quarter_pipeline_corp": q_pipeline(QUARTER, "corp"),
-        "quarter_pipeline_customer": q_pipeline(QUARTER, "customer"),
-        "quarter_pipeline_product": q_pipeline(QUARTER, "customer_product"),
+        "annual_ranking_corp": q_ranking(ANNUAL, "corp"),
+        "annual_ranking_customer": q_ranking(ANNUAL, "customer"),
+        "annual_ranking_product": q_ranking(ANNUAL, "customer_product"),
+        "quarter_ranking_corp": q_ranking(QUARTER, "corp"),
+        "quarter_ranking_customer": q_ranking(QUARTER, "customer"),
+        "quarter_ranking_product": q_ranking(QUARTER, "customer_product"),
     }

@@ -61,7 +61,7 @@ def _totals_metrics(policy: MergePolicy) -> tuple[str, ...] | None:
     return ("sales",) if policy.severity == "absolute" else None
 
 
-def merge_pipeline(
+def merge_years(
     cur: dict[str, DataFrame],
     past: dict[str, DataFrame | None],
     master: DataFrame | None,

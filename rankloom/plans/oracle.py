@@ -201,7 +201,7 @@ def office_ordinal(col="office") -> str:
     return f"CASE WHEN {col} IS NULL THEN NULL {whens} ELSE {len(OFFICE_ORDER)} END"
 
 
-def pipeline_sql(level: str, policy: str) -> str:
+def ranking_sql(level: str, policy: str) -> str:
     ctes = merged_level_ctes(level, "fill_null" if policy == "annual" else "overwrite")
     keys = level_out_keys(level)
     if level == "corp":
@@ -237,7 +237,7 @@ def oracle_sql() -> dict[str, str]:
         "GROUP BY GROUPING SETS ((corp_code), (cust_code, cust_name), "
         "(office, cust_code, cust_name, category, prod_code, prod_name))"
     )
-    q["summarise_pipeline"] = q["summary_customer_product"]
+    q["summarise_partitioned"] = q["summary_customer_product"]
     q["past_wide_customer"] = with_(past=wide_sql(CUST_K)) + out(CUST_K, PAST_YCOLS, "past")
     for lv in ("corp", "customer", "customer_product"):
         q[f"merge_{lv}"] = q_merge(lv)
@@ -445,5 +445,5 @@ def oracle_sql() -> dict[str, str]:
     )
     for pol in ("annual", "quarter"):
         for lv in KEYS:
-            q[f"{pol}_pipeline_{'product' if lv == 'customer_product' else lv}"] = pipeline_sql(lv, pol)
+            q[f"{pol}_ranking_{'product' if lv == 'customer_product' else lv}"] = ranking_sql(lv, pol)
     return q

@@ -3,5 +3,5 @@
 The job is a batch from files to files: no watermark, window, state or
 late-data logic exists in the original, so no streaming operator is built.
 Each stage can still be driven incrementally by a scheduler that reruns the
-batch plans in ``rankloom.plans.pipeline`` on new input.
+batch plans in ``rankloom.plans.jobs`` on new input.
 """

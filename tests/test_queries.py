@@ -13,7 +13,7 @@ SUBSET = [
     "summary_customer_product", "summary_grouping_sets", "merge_customer", "merge_customer_product",
     "merge_conflict_fill_null", "merge_left_key_policy", "product_reaggregate_stacked", "master_join",
     "backfill_customer_fanout", "dedupe_subset", "rank_product_top", "rank_custom_office",
-    "recon_absolute", "recon_relative", "key_overlap", "table_profile", "quarter_pipeline_product",
+    "recon_absolute", "recon_relative", "key_overlap", "table_profile", "quarter_ranking_product",
 ]
 
 
@@ -52,7 +52,7 @@ def _plan(df) -> str:
 
 def test_plans_scale_shape(spark):
     q = E.queries()
-    plan = _plan(q["annual_pipeline_corp"](spark, SF))
+    plan = _plan(q["annual_ranking_corp"](spark, SF))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert "BroadcastHashJoin" in plan  # size-checked master broadcast
     # the fiscal range reaches the orders scan
