@@ -11,11 +11,11 @@ DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     """Return ``(broadcast(df), True)`` if ``df`` has at most ``max_rows`` rows.
 
-    The bound is proven with a ``limit(max_rows + 1).count()`` job, which stops
-    reading once the bound is exceeded.  Otherwise the frame is returned as is
-    and the join falls back to a shuffle (AQE may still pick a broadcast from
-    runtime statistics)."""
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
+    The bound is proven with a distributed ``count()``: every task sends one
+    partial count, no data row moves (a ``limit(n + 1)`` would funnel up to
+    n + 1 rows per partition into a single task).  Above the bound the frame
+    is returned as is and the join shuffles; AQE may still switch to a
+    broadcast from measured shuffle sizes."""
+    if df.count() <= max_rows:
         return F.broadcast(df), True
     return df, False

@@ -247,3 +247,10 @@ def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """A-12: row count collected while the frame is written, no extra job."""
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def observe_totals(df: DataFrame, name: str, cols: list[str]) -> tuple[DataFrame, Observation]:
+    """A-7 + A-12 during a write: row count and one sum per column, gathered
+    by the write job itself (``Observation.get`` after the action)."""
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), *[F.sum(c).alias(c) for c in cols]), obs

@@ -138,6 +138,39 @@ def merge_years(
     return MergeResult(out, reports)
 
 
+def run_merge_years(
+    cur: dict[str, DataFrame],
+    past: dict[str, DataFrame | None],
+    master: DataFrame | None,
+    fiscal: FiscalSpec,
+    policy: MergePolicy,
+    paths: dict[str, str],
+    levels: tuple[LevelSpec, ...] = LEVELS,
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """C-2 / C-3 end to end: write each ranked level table once (W-2/W-3)
+    and collect its row count and column totals with ``observe`` during the
+    same write job (A-7, A-12) -- the report never recomputes the merge.
+
+    Returns the written tables (read back) and the final totals as a tidy
+    ``(level, fy, metric, total, rows)`` table built from the observed
+    values (a few numbers per level)."""
+    result = merge_years(cur, past, master, fiscal, policy, levels)
+    spark = next(iter(cur.values())).sparkSession
+    rows = []
+    for lv in levels:
+        df = result.tables[lv.name]
+        cols = [c for c in fiscal.all_year_columns() if c in df.columns]
+        observed, obs = reconcile.observe_totals(df, lv.name, cols)
+        observed.write.mode("overwrite").option("compression", "snappy").parquet(paths[lv.name])
+        got = obs.get
+        info = fiscal.metric_of()
+        for c in cols:
+            v = got.get(c)
+            rows.append((lv.name, info[c][1], info[c][0].name, None if v is None else float(v), int(got["rows"])))
+    totals = spark.createDataFrame(rows, "level string, fy int, metric string, total double, rows long")
+    return {lv.name: spark.read.parquet(paths[lv.name]) for lv in levels}, totals
+
+
 def export_levels(
     spark,
     paths: dict[str, str],

@@ -95,3 +95,16 @@ def test_product_past_finer_counts_current_twice(spark):
     # annual keeps rep_name as a key: two rows, each with the current sales
     rows_ = merge.merge_reaggregate(cur, past, lv, FS, ANNUAL).collect()
     assert sorted(r["sales_2025"] for r in rows_) == [10, 10]
+
+
+def test_run_merge_years_observes_totals_while_writing(spark, tmp_out):
+    from rankloom.plans import catalog as C, jobs
+    from rankloom.sources import writers
+
+    d = "/root/testdata/sf0.001"
+    paths = writers.level_paths(tmp_out, kind="result")
+    tables, totals = jobs.run_merge_years(C.cur_all(spark, d), C.past_all(spark, d), C.corp_master(spark, d), C.FISCAL, ANNUAL, paths)
+    got = {(r["level"], r["fy"], r["metric"]): r["total"] for r in totals.collect()}
+    for lv, df in tables.items():
+        assert got[(lv, 2001, "sales")] == float(df.agg(F.sum("sales_2001")).collect()[0][0])
+    assert {r["level"]: r["rows"] for r in totals.collect()}["corp"] == tables["corp"].count()
