@@ -378,8 +378,13 @@ def q_availability_policy(spark, d):
 
 
 def q_ranking(policy, level):
+    """The merge job restricted to one level (inputs of that level only)."""
+
     def q(spark, d):
-        t = _merged_years(spark, d, policy).tables[level]
+        lv = next(x for x in LEVELS if x.name == level)
+        master = corp_master(spark, d) if level == "corp" else None
+        pol = policy.with_(missing_master="skip")
+        t = jobs.merge_years({level: cur_level(spark, d, lv)}, {level: past_level(spark, d, lv)}, master, FISCAL, pol, (lv,)).tables[level]
         return typed(t) if policy.name == "annual" else t
 
     return q
