@@ -8,6 +8,8 @@ product = part, retired sales rep = order priority; qty, area (qty * size), sale
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,17 +21,24 @@ DETAIL_COLUMNS = (
 )
 
 
-_TABLES: dict[tuple, DataFrame] = {}
-_DETAILS: dict[tuple, DataFrame] = {}
+# Per-session memo of fixture DataFrames (weak keys: entries die with the
+# session object, so a new session never sees DataFrames of a stopped one).
+_MEMO: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
+def _memo(spark: SparkSession) -> dict:
+    if spark not in _MEMO:
+        _MEMO[spark] = {}
+    return _MEMO[spark]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Fixture table; the DataFrame is reused per session (the inputs are
     read-only), which saves a file listing for every repeated read."""
-    key = (id(spark), sf_dir.rstrip("/"), name)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return _TABLES[key]
+    memo, key = _memo(spark), ("table", sf_dir.rstrip("/"), name)
+    if key not in memo:
+        memo[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return memo[key]
 
 
 def detail_view(
@@ -40,10 +49,10 @@ def detail_view(
     start_month: int = 4,
 ) -> DataFrame:
     """Detail rows of fiscal years ``first_fy..last_fy`` (memoized per session)."""
-    key = (id(spark), sf_dir.rstrip("/"), first_fy, last_fy, start_month)
-    if key not in _DETAILS:
-        _DETAILS[key] = _detail_view(spark, sf_dir, first_fy, last_fy, start_month)
-    return _DETAILS[key]
+    memo, key = _memo(spark), ("detail", sf_dir.rstrip("/"), first_fy, last_fy, start_month)
+    if key not in memo:
+        memo[key] = _detail_view(spark, sf_dir, first_fy, last_fy, start_month)
+    return memo[key]
 
 
 def _detail_view(
