@@ -107,7 +107,12 @@ def summarise_wide(
 
 
 def summarise_wide_levels(
-    detail: DataFrame, levels: tuple[LevelSpec, ...], fiscal: FiscalSpec, years: list[int] | None = None, fy_col: str = "fy"
+    detail: DataFrame,
+    levels: tuple[LevelSpec, ...],
+    fiscal: FiscalSpec,
+    years: list[int] | None = None,
+    fy_col: str = "fy",
+    combined_hook=None,
 ) -> dict[str, DataFrame]:
     """Wide tables of several levels from ONE pass over the detail.
 
@@ -132,6 +137,8 @@ def summarise_wide_levels(
         for m in fiscal.metrics_for(fy)
     ]
     wide = per_year.groupBy("level", *all_keys).agg(*aggs)
+    if combined_hook is not None:  # e.g. write once before the split
+        wide = combined_hook(wide)
     out = {}
     for lv in levels:
         part = wide.where(F.col("level") == lv.name)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import truncate_long
 from ..functions.naming import REFERENCE_DETAIL_METRICS, REFERENCE_KEY_NAMES, from_reference
 from ..operators import enrich, merge, rank, reconcile, shape, summarise
-from ..session import shared_dir, tune_for_wide_plans
+from ..session import materialize, shared_dir, tune_for_wide_plans
 from ..sources import readers, writers
 from ..sources.fixtures import corp_master, detail_view
 from . import jobs
@@ -71,16 +71,20 @@ def past_product_by_rep(spark, d) -> DataFrame:
     return summarise.summarise_wide(past_detail(spark, d), lv, FISCAL)
 
 
-def cur_all(spark, d) -> dict[str, DataFrame]:
-    """All current level tables from one pass over the FY detail."""
+def cur_all(spark, d, materialized: bool = False) -> dict[str, DataFrame]:
+    """All current level tables from one pass over the FY detail
+    (optionally written once to the shared checkpoint folder)."""
     combined = summarise.summarise_grouping_sets(cur_detail(spark, d), LEVELS, FISCAL)
+    if materialized:
+        combined = materialize(combined)
     return summarise.split_levels(combined, LEVELS)
 
 
-def past_all(spark, d) -> dict[str, DataFrame]:
+def past_all(spark, d, materialized: bool = False) -> dict[str, DataFrame]:
     """All past wide tables from one pass over the past detail."""
     specs = tuple(LevelSpec(lv.name, lv.columns) for lv in LEVELS)
-    return summarise.summarise_wide_levels(past_detail(spark, d), specs, FISCAL)
+    hook = materialize if materialized else None
+    return summarise.summarise_wide_levels(past_detail(spark, d), specs, FISCAL, combined_hook=hook)
 
 
 def merged(spark, d, level: LevelSpec, policy=ANNUAL) -> DataFrame:
@@ -302,10 +306,15 @@ def q_premerge_conflicts(spark, d):
 
 
 def _quarter_inputs_by_rep(spark, d):
-    cur = cur_all(spark, d)
-    past = dict(past_all(spark, d))
-    past["customer_product"] = past_product_by_rep(spark, d)
-    return cur, past
+    """Current tables plus past tables whose product table is still split by
+    sales rep -- all past levels from one pass over the past detail."""
+    specs = (
+        LevelSpec("corp", CORP.columns),
+        CUSTOMER,
+        LevelSpec("customer_product", CUSTOMER_PRODUCT.keys + (REP_NAME,)),
+    )
+    past = summarise.summarise_wide_levels(past_detail(spark, d), specs, FISCAL, combined_hook=materialize)
+    return cur_all(spark, d, materialized=True), past
 
 
 def q_recon_relative(spark, d):

@@ -46,3 +46,21 @@ def tune_for_wide_plans(spark: SparkSession) -> None:
     one filter over 22 columns).  Spark documents switching it off for large
     plans; predicate pushdown does not depend on it."""
     spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
+
+
+def materialize(df):
+    """Cut lineage: write ``df`` once as a parquet table in the shared
+    checkpoint folder (``spark.checkpoint.dir``) and read it back.
+
+    Used where one intermediate (e.g. all level summaries) feeds many
+    branches of a report: the branches read the written data instead of
+    recomputing it, and a lost executor no longer forces recomputation from
+    the raw detail.  (A reliable ``checkpoint()`` would compute its input
+    twice -- once for the action, once for the write -- unless cached; a
+    written table is a single job.)"""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/rankloom-mat-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
