@@ -188,7 +188,7 @@ def sales_only(cols):
 def rank_sql(level: str, order: str, n: int, src_ctes: dict, cols=None, extra_keys=None) -> str:
     keys = extra_keys or level_out_keys(level)
     cols = ALL_YCOLS if cols is None else cols
-    sel = [f"row_number() OVER (ORDER BY {order}) AS rank"] + keys + [typed(c) for c in cols]
+    sel = [f"CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS rank"] + keys + [typed(c) for c in cols]
     return with_(**src_ctes) + f"SELECT {', '.join(sel)} FROM m ORDER BY {order} LIMIT {n}"
 
 
