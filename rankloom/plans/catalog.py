@@ -386,6 +386,27 @@ def q_availability_policy(spark, d):
     return out
 
 
+def q_export_csv_roundtrip(spark, d):
+    """C-4: result tables written as parquet, exported per level as ordered
+    CSV (availability 'available', numeric nulls -> 0), read back."""
+    base = f"{shared_dir(spark)}/rankloom-export-{uuid.uuid4().hex}"
+    paths = writers.level_paths(base, "annual", "result")
+    cur = cur_all(spark, d)
+    writers.write_levels({"customer": cur["customer"]}, paths)
+    done = jobs.export_levels(spark, paths, f"{base}/csv", policy="available", on_null="zero")
+    back = spark.read.option("header", True).csv(f"{base}/csv/{done[0]}")
+    return typed(back)
+
+
+def q_merge_observed_totals(spark, d):
+    """C-2 end to end: the three ranked tables are written once and their
+    totals and row counts are observed during the same write jobs."""
+    base = f"{shared_dir(spark)}/rankloom-merge-{uuid.uuid4().hex}"
+    paths = writers.level_paths(base, "annual", "result")
+    _tables, totals = jobs.run_merge_years(cur_all(spark, d), past_all(spark, d), corp_master(spark, d), FISCAL, ANNUAL, paths)
+    return totals
+
+
 def q_ranking(policy, level):
     """The merge job restricted to one level (inputs of that level only)."""
 
@@ -449,6 +470,8 @@ def queries() -> dict[str, Query]:
         "csv_cp932_roundtrip": q_csv_cp932_roundtrip,
         "parquet_roundtrip": q_parquet_roundtrip,
         "availability_policy": q_availability_policy,
+        "export_csv_roundtrip": q_export_csv_roundtrip,
+        "merge_observed_totals": q_merge_observed_totals,
         "annual_ranking_corp": q_ranking(ANNUAL, "corp"),
         "annual_ranking_customer": q_ranking(ANNUAL, "customer"),
         "annual_ranking_product": q_ranking(ANNUAL, "customer_product"),

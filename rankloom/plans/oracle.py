@@ -443,6 +443,28 @@ def oracle_sql() -> dict[str, str]:
     q["availability_policy"] = with_(c1=cur_sql(CORP_K), c2=cur_sql(CUST_K)) + (
         "SELECT 'corp' AS level, COUNT(*) AS rows FROM c1 UNION ALL SELECT 'customer' AS level, COUNT(*) AS rows FROM c2"
     )
+    q["export_csv_roundtrip"] = q["summary_customer"]
+    ctes = {}
+    for lv in KEYS:
+        c = merged_level_ctes(lv)
+        for name, sql in c.items():
+            ctes[f"{name}_{SHORT[lv]}"] = sql.replace("FROM cur c FULL OUTER JOIN past p", f"FROM cur_{SHORT[lv]} c FULL OUTER JOIN past_{SHORT[lv]} p").replace(" FROM j ", f" FROM j_{SHORT[lv]} ")
+        if lv == "corp":
+            ctes["mm_co"] = (
+                "SELECT m_co.* REPLACE (COALESCE(m_co.corp_name, n.n_name) AS corp_name) FROM m_co LEFT JOIN nation n "
+                "ON m_co.corp_code = CAST(n.n_nationkey AS VARCHAR)"
+            )
+        src = "mm_co" if lv == "corp" else f"m_{SHORT[lv]}"
+        sc = f"sales_{CUR_FY}"
+        ctes[f"f_{SHORT[lv]}"] = f"SELECT {', '.join(level_out_keys(lv) + [typed(c, f'COALESCE({c}, 0)') if c == sc else typed(c) for c in ALL_YCOLS])} FROM {src}"
+    parts = []
+    for lv in KEYS:
+        for c in ALL_YCOLS:
+            parts.append(
+                f"SELECT '{lv}' AS level, {fy_of(c)} AS fy, '{metric_of(c)}' AS metric, CAST(SUM({c}) AS DOUBLE) AS total, "
+                f"CAST(COUNT(*) AS BIGINT) AS rows FROM f_{SHORT[lv]}"
+            )
+    q["merge_observed_totals"] = with_(**ctes) + " UNION ALL ".join(parts)
     for pol in ("annual", "quarter"):
         for lv in KEYS:
             q[f"{pol}_ranking_{'product' if lv == 'customer_product' else lv}"] = ranking_sql(lv, pol)
