@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
+from ..functions.naming import to_reference
 from ..session import tune_for_wide_plans
 from ..operators import enrich, merge, rank, reconcile, shape, summarise
 from ..sources import readers, writers
@@ -146,6 +147,7 @@ def run_merge_years(
     policy: MergePolicy,
     paths: dict[str, str],
     levels: tuple[LevelSpec, ...] = LEVELS,
+    reference_names: bool = False,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """C-2 / C-3 end to end: write each ranked level table once (W-2/W-3)
     and collect its row count and column totals with ``observe`` during the
@@ -161,6 +163,8 @@ def run_merge_years(
         df = result.tables[lv.name]
         cols = [c for c in fiscal.all_year_columns() if c in df.columns]
         observed, obs = reconcile.observe_totals(df, lv.name, cols)
+        if reference_names:
+            observed = to_reference(observed, fiscal)
         observed.write.mode("overwrite").option("compression", "snappy").parquet(paths[lv.name])
         got = obs.get
         info = fiscal.metric_of()
@@ -171,6 +175,49 @@ def run_merge_years(
     return {lv.name: spark.read.parquet(paths[lv.name]) for lv in levels}, totals
 
 
+def run_reference_job(
+    spark,
+    detail_csv: str,
+    past_paths: dict[str, str],
+    master_csv: str,
+    out_dir: str,
+    fiscal: FiscalSpec,
+    policy: MergePolicy,
+    levels: tuple[LevelSpec, ...] = LEVELS,
+) -> dict:
+    """The original three stages on reference-shaped files.
+
+    1. Summarise: the cp932 detail CSV (Japanese headers) -> one summary
+       table per level under ``out_dir/summary`` with the reference names.
+    2. Merge: those summaries with the past wide parquet tables (reference
+       names, legacy names tolerated) and the cp932 master -> ranked result
+       tables ``{level}_転記用データ.parquet`` under ``out_dir/result``, with
+       totals observed while writing.
+    3. Export: one ordered CSV per level under ``out_dir/export``.
+
+    Missing detail -> nothing is done (as in the original); missing past or
+    master follow ``policy``.  Returns paths, totals and the export list."""
+    from ..functions.naming import from_reference
+    from ..sources.writers import level_paths
+
+    detail = readers.read_detail_csv(spark, detail_csv, required=False)
+    if detail is None:
+        return {"status": "no detail"}
+    cur = summarise.summarise(detail, levels, fiscal)
+    summary_paths = level_paths(f"{out_dir}/summary", policy.name, "summary", reference_names=True)
+    writers.write_levels(cur, summary_paths, fiscal, reference_names=True)
+    cur = {lv.name: spark.read.parquet(summary_paths[lv.name]).transform(lambda d: from_reference(d, fiscal)) for lv in levels}
+
+    past = readers.read_levels(spark, past_paths, required=policy.missing_past == "error", levels=levels)
+    past = {k: (None if v is None else from_reference(v, fiscal)) for k, v in past.items()}
+    master = readers.read_master_csv(spark, master_csv, required=policy.missing_master == "error")
+
+    result_paths = level_paths(f"{out_dir}/result", policy.name, "result", reference_names=True)
+    tables, totals = run_merge_years(cur, past, master, fiscal, policy, result_paths, levels, reference_names=True)
+    exported = export_levels(spark, result_paths, f"{out_dir}/export", policy="available")
+    return {"status": "ok", "summary": summary_paths, "result": result_paths, "totals": totals, "exported": exported}
+
+
 def export_levels(
     spark,
     paths: dict[str, str],
