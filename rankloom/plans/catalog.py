@@ -407,6 +407,32 @@ def q_merge_observed_totals(spark, d):
     return totals
 
 
+def q_reference_job(level: str):
+    """The three original stages on reference-shaped files derived from the
+    given tables: FY2001 detail as a cp932 CSV with Japanese headers, the
+    past tables as reference-named parquet, the master as a cp932 CSV."""
+
+    def q(spark, d):
+        base = f"{shared_dir(spark)}/rankloom-ref-{uuid.uuid4().hex}"
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+        names = {**REFERENCE_KEY_NAMES, **REFERENCE_DETAIL_METRICS}
+        det = cur_detail(spark, d).select(*CUSTOMER_PRODUCT.keys, "corp_code", "qty", "area", "sales", "profit")
+        det.withColumnsRenamed({c: names[c] for c in det.columns}).write.option("header", True).option(
+            "encoding", "windows-31j"
+        ).csv(f"{base}/detail")
+        corp_master(spark, d).withColumnsRenamed({c: names[c] for c in ("corp_code", "corp_name")}).write.option(
+            "header", True
+        ).option("encoding", "windows-31j").csv(f"{base}/master")
+        past_paths = writers.level_paths(f"{base}/past", "annual", "summary", reference_names=True)
+        writers.write_levels(past_all(spark, d), past_paths, FISCAL, reference_names=True)
+        out = jobs.run_reference_job(
+            spark, f"{base}/detail", past_paths, f"{base}/master", f"{base}/out", FISCAL, ANNUAL, metric_type="decimal(20,4)"
+        )
+        return typed(from_reference(spark.read.parquet(out["result"][level]), FISCAL))
+
+    return q
+
+
 def q_ranking(policy, level):
     """The merge job restricted to one level (inputs of that level only)."""
 
@@ -472,6 +498,8 @@ def queries() -> dict[str, Query]:
         "availability_policy": q_availability_policy,
         "export_csv_roundtrip": q_export_csv_roundtrip,
         "merge_observed_totals": q_merge_observed_totals,
+        "reference_job_corp": q_reference_job("corp"),
+        "reference_job_product": q_reference_job("customer_product"),
         "annual_ranking_corp": q_ranking(ANNUAL, "corp"),
         "annual_ranking_customer": q_ranking(ANNUAL, "customer"),
         "annual_ranking_product": q_ranking(ANNUAL, "customer_product"),

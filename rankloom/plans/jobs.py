@@ -184,6 +184,7 @@ def run_reference_job(
     fiscal: FiscalSpec,
     policy: MergePolicy,
     levels: tuple[LevelSpec, ...] = LEVELS,
+    metric_type: str = "double",
 ) -> dict:
     """The original three stages on reference-shaped files.
 
@@ -200,7 +201,7 @@ def run_reference_job(
     from ..functions.naming import from_reference
     from ..sources.writers import level_paths
 
-    detail = readers.read_detail_csv(spark, detail_csv, required=False)
+    detail = readers.read_detail_csv(spark, detail_csv, required=False, metric_type=metric_type)
     if detail is None:
         return {"status": "no detail"}
     cur = summarise.summarise(detail, levels, fiscal)

@@ -444,6 +444,8 @@ def oracle_sql() -> dict[str, str]:
         "SELECT 'corp' AS level, COUNT(*) AS rows FROM c1 UNION ALL SELECT 'customer' AS level, COUNT(*) AS rows FROM c2"
     )
     q["export_csv_roundtrip"] = q["summary_customer"]
+    q["reference_job_corp"] = ranking_sql("corp", "annual")
+    q["reference_job_product"] = ranking_sql("customer_product", "annual")
     ctes = {}
     for lv in KEYS:
         c = merged_level_ctes(lv)

@@ -47,13 +47,15 @@ def read_detail_csv(
     reference_names: bool = True,
     usecols: list[str] | None = None,
     required: bool = False,
+    metric_type: str = "double",
 ) -> DataFrame | None:
     """Sales-detail CSV (R-1, R-2).
 
     All columns are read as strings (no inference pass over the data); the
     four metrics are cast to double, so codes keep their leading zeros.
     A missing file returns ``None`` unless ``required``.  ``usecols`` keeps
-    only those (English) columns, in that order."""
+    only those (English) columns, in that order.  ``metric_type`` may be an
+    exact decimal type instead of the original's double."""
     if not path_exists(spark, path):
         if required:
             raise FileNotFoundError(path)
@@ -61,7 +63,7 @@ def read_detail_csv(
     df = _csv_reader(spark, encoding).csv(path)
     if reference_names:
         df = from_reference_detail(df)
-    casts = [F.col(c).cast("double").alias(c) if c in DETAIL_METRICS else F.col(c) for c in df.columns]
+    casts = [F.col(c).cast(metric_type).alias(c) if c in DETAIL_METRICS else F.col(c) for c in df.columns]
     df = df.select(*casts)
     if usecols is not None:
         df = df.select(*[c for c in usecols if c in df.columns])
