@@ -60,3 +60,26 @@ def test_plans_scale_shape(spark):
     # stacked product merge: one aggregate exchange, no sort-merge join for the merge
     prod = _plan(q["merge_customer_product"](spark, SF))
     assert "CartesianProduct" not in prod and "BroadcastNestedLoopJoin" not in prod
+
+
+def test_stacked_merge_needs_fewer_shuffles_than_join(spark):
+    """The stacked product merge reuses the two summaries' partitioning: no
+    exchange above the union; the join form adds a re-aggregation exchange."""
+    from rankloom.operators import merge
+    from rankloom.plans import catalog as C
+    from rankloom.plans.spec import CUSTOMER_PRODUCT, QUARTER
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # static plan, exchanges countable
+    try:
+        cur = C.cur_level(spark, SF, CUSTOMER_PRODUCT)
+        past = C.past_level(spark, SF, CUSTOMER_PRODUCT)
+        stacked = _plan(merge.merge_reaggregate(cur, past, CUSTOMER_PRODUCT, C.FISCAL, QUARTER, stacked=True))
+        joined = _plan(merge.merge_reaggregate(cur, past, CUSTOMER_PRODUCT, C.FISCAL, QUARTER, stacked=False))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    n_stacked = stacked.count("Exchange hashpartitioning")
+    n_joined = joined.count("Exchange hashpartitioning")
+    assert n_stacked < n_joined, (n_stacked, n_joined)
+    # directly above the union sits the partial aggregate, not an exchange
+    above_union = stacked.split("Union")[0].strip().splitlines()[-1]
+    assert "Exchange" not in above_union
