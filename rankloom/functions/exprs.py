@@ -7,6 +7,7 @@ from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from ..plans.spec import HIGH_REL_PCT, MEDIUM_REL_PCT, SEVERE_ABS_YEN, WARNING_ABS_YEN
 from pyspark.sql.types import DataType, DecimalType, DoubleType, FloatType, IntegralType, NumericType
 
 
@@ -57,12 +58,12 @@ def ordinal(c: str | Column, order: tuple[str, ...] | list[str]) -> Column:
     return F.when(col.isNull(), F.lit(None).cast("int")).otherwise(listed)
 
 
-def severity_absolute(abs_diff: Column, severe: float = 1_000_000, warning: float = 100_000) -> Column:
+def severity_absolute(abs_diff: Column, severe: float = SEVERE_ABS_YEN, warning: float = WARNING_ABS_YEN) -> Column:
     """Absolute ladder: > severe -> 'severe', > warning -> 'warning', else 'minor'."""
     return F.when(abs_diff > severe, "severe").when(abs_diff > warning, "warning").otherwise("minor")
 
 
-def severity_relative(rel_pct: Column, high: float = 10.0, medium: float = 5.0) -> Column:
+def severity_relative(rel_pct: Column, high: float = HIGH_REL_PCT, medium: float = MEDIUM_REL_PCT) -> Column:
     """Relative ladder: > high % -> 'high', > medium % -> 'medium', else 'low'."""
     return F.when(rel_pct > high, "high").when(rel_pct > medium, "medium").otherwise("low")
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..functions.exprs import severity_absolute, severity_relative
-from ..plans.spec import FiscalSpec
+from ..plans.spec import HIGH_REL_PCT, MEDIUM_REL_PCT, PREMERGE_TOLERANCE_YEN, SEVERE_ABS_YEN, WARNING_ABS_YEN, FiscalSpec
 
 LEVEL_ORDER = ("corp", "customer", "customer_product")
 
@@ -79,8 +79,8 @@ def totals_precedence(current: DataFrame | None, past: DataFrame | None) -> Data
 def compare_absolute(
     before: DataFrame,
     after: DataFrame,
-    severe: float = 1_000_000,
-    warning: float = 100_000,
+    severe: float = SEVERE_ABS_YEN,
+    warning: float = WARNING_ABS_YEN,
 ) -> DataFrame:
     """V-1 / V-3 / D-5: before vs after per (level, fy, metric).
 
@@ -163,7 +163,7 @@ def verdict(absolute: DataFrame, cross: DataFrame) -> DataFrame:
     )
 
 
-def premerge_conflicts(current_totals: DataFrame, past_totals: DataFrame, level: str = "corp", metric: str = "sales", tolerance: float = 1000.0) -> DataFrame:
+def premerge_conflicts(current_totals: DataFrame, past_totals: DataFrame, level: str = "corp", metric: str = "sales", tolerance: float = PREMERGE_TOLERANCE_YEN) -> DataFrame:
     """V-5 / V-6: a year present in both inputs whose corp-level totals differ
     by more than ``tolerance`` is a conflict; each conflict row carries the
     recommendation text."""
@@ -177,7 +177,7 @@ def premerge_conflicts(current_totals: DataFrame, past_totals: DataFrame, level:
     )
 
 
-def compare_relative(before: DataFrame, after: DataFrame, high: float = 10.0, medium: float = 5.0, checkpoint: str | None = None) -> DataFrame:
+def compare_relative(before: DataFrame, after: DataFrame, high: float = HIGH_REL_PCT, medium: float = MEDIUM_REL_PCT, checkpoint: str | None = None) -> DataFrame:
     """V-7 / V-8: inner join of totals (keys missing on either side are
     ignored), null as 0, exact inequality; rel = |diff| / |before| * 100,
     0 when before is 0; severity 'high' > 10 %, 'medium' > 5 %, else 'low'."""

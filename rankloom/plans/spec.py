@@ -10,6 +10,25 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass, field, replace
 
+# Fixed values that must equal the original job's, stated together:
+# the custom office order of the quarter ranking (Sapporo, Sendai, Tokyo,
+# Osaka, Nagoya, Fukuoka); first year of the multi-year table; first month
+# of the fiscal year; absolute severity thresholds in yen (severe above
+# 1,000,000, warning above 100,000); relative severity thresholds in percent
+# (high above 10, medium above 5); pre-merge conflict tolerance in yen;
+# export size tiers (more than 50,000 rows -> 2000, more than 10,000 ->
+# 1000, otherwise 500).
+REFERENCE_OFFICE_ORDER = ("札幌", "仙台", "東京", "大阪", "名古屋", "福岡")
+START_YEAR = 2015
+FISCAL_START_MONTH = 4
+SEVERE_ABS_YEN = 1_000_000
+WARNING_ABS_YEN = 100_000
+HIGH_REL_PCT = 10.0
+MEDIUM_REL_PCT = 5.0
+PREMERGE_TOLERANCE_YEN = 1000.0
+EXPORT_TIERS = ((50_000, 2000), (10_000, 1000))
+EXPORT_DEFAULT_CHUNK = 500
+
 
 @dataclass(frozen=True)
 class MetricSpec:
@@ -73,13 +92,13 @@ class FiscalSpec:
     """
 
     current_fy: int
-    start_year: int = 2015
-    start_month: int = 4
+    start_year: int = START_YEAR
+    start_month: int = FISCAL_START_MONTH
     template: str = "{metric}_{fy}"
     metrics: tuple[MetricSpec, ...] = METRICS
 
     @staticmethod
-    def as_of(day: _dt.date, start_year: int = 2015, start_month: int = 4, **kw) -> "FiscalSpec":
+    def as_of(day: _dt.date, start_year: int = START_YEAR, start_month: int = FISCAL_START_MONTH, **kw) -> "FiscalSpec":
         """Fiscal spec for the year containing ``day`` (explicit, never the clock)."""
         fy = day.year if day.month >= start_month else day.year - 1
         return FiscalSpec(fy, start_year, start_month, **kw)
@@ -141,7 +160,7 @@ class MergePolicy:
     product_order:  'sales' (current sales desc, office) or 'office'
                     (custom office order, customer name, category)
     severity:       'absolute' (yen thresholds) or 'relative' (percent)
-    reaggregate_rep_name: keep the retired rep_name as a product key
+    keep_rep_name:  keep the retired rep_name as a product key
                     if the past table still carries it (annual) or drop it
                     before re-aggregating (quarter)
     """
@@ -163,9 +182,6 @@ class MergePolicy:
         return replace(self, **kw)
 
 
-# The custom office order of the quarter ranking, as the
-# reference lists them (Sapporo, Sendai, Tokyo, Osaka, Nagoya, Fukuoka).
-REFERENCE_OFFICE_ORDER = ("札幌", "仙台", "東京", "大阪", "名古屋", "福岡")
 
 ANNUAL = MergePolicy(
     name="annual",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from ..functions.naming import result_file, summary_file, to_reference
-from ..plans.spec import FiscalSpec
+from ..plans.spec import EXPORT_DEFAULT_CHUNK, EXPORT_TIERS, FiscalSpec
 
 
 def write_summary(df: DataFrame, out_dir: str, partition_col: str = "level", mode: str = "overwrite") -> None:
@@ -45,12 +45,12 @@ def write_levels(
 
 
 def export_chunk_size(rows: int) -> int:
-    """W-6 size tiers: more than 50,000 rows -> 2000, more than 10,000 -> 1000, else 500."""
-    if rows > 50_000:
-        return 2000
-    if rows > 10_000:
-        return 1000
-    return 500
+    """W-6 size tiers (``EXPORT_TIERS``): the chunk of the first tier whose
+    row threshold is exceeded, else ``EXPORT_DEFAULT_CHUNK``."""
+    for threshold, chunk in EXPORT_TIERS:
+        if rows > threshold:
+            return chunk
+    return EXPORT_DEFAULT_CHUNK
 
 
 def export_ready(df: DataFrame, on_null: str = "zero") -> DataFrame:
