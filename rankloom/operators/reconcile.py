@@ -10,7 +10,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from ..functions.exprs import severity_absolute, severity_relative
 from ..plans.spec import HIGH_REL_PCT, MEDIUM_REL_PCT, PREMERGE_TOLERANCE_YEN, SEVERE_ABS_YEN, WARNING_ABS_YEN, FiscalSpec

@@ -11,7 +11,6 @@ from ..functions.naming import (
     LEGACY_CUSTOMER_RENAMES_EN,
     LEGACY_PRODUCT_RENAMES,
     LEGACY_PRODUCT_RENAMES_EN,
-    REFERENCE_DETAIL_METRICS,
     REFERENCE_KEY_NAMES,
     from_reference_detail,
 )

@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from rankloom.functions.exprs import any_nonzero_or
 from rankloom.operators import enrich, rank, shape
-from rankloom.plans.spec import ANNUAL, CORP, CUSTOMER_PRODUCT, QUARTER, FiscalSpec, LevelSpec
+from rankloom.plans.spec import ANNUAL, CORP, CUSTOMER_PRODUCT, QUARTER, FiscalSpec
 
 FS = FiscalSpec(2025, start_year=2024)
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rankloom.operators import merge
-from rankloom.plans.spec import ANNUAL, CUSTOMER, CUSTOMER_PRODUCT, QUARTER, FiscalSpec, LevelSpec
+from rankloom.plans.spec import ANNUAL, CUSTOMER, QUARTER, FiscalSpec, LevelSpec
 
 FS = FiscalSpec(2025, start_year=2024)
 K1 = LevelSpec("corp", ("corp_code",))

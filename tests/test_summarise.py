@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rankloom.functions.fiscal import fiscal_range, fiscal_year
 from rankloom.operators import summarise
-from rankloom.plans.spec import CORP, CUSTOMER, CUSTOMER_PRODUCT, LEVELS, FiscalSpec, LevelSpec
+from rankloom.plans.spec import CORP, CUSTOMER, LEVELS, FiscalSpec
 
 FS = FiscalSpec(2025, start_year=2023)
 SCHEMA = "corp_code string, cust_code string, cust_name string, qty double, area double, sales double, profit double"
