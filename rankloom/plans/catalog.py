@@ -278,8 +278,11 @@ def q_totals_precedence(spark, d):
 
 
 def _absolute_parts(spark, d):
-    before = reconcile.level_totals(past_all(spark, d), FISCAL, ("sales",), rule="all_levels")
-    after = reconcile.level_totals(_merged_all(spark, d), FISCAL, ("sales",), rule="all_levels")
+    """Past totals before the merge and totals after it: both branches read
+    the same past tables, written once to the shared folder."""
+    cur, past = cur_all(spark, d, materialized=True), past_all(spark, d, materialized=True)
+    before = reconcile.level_totals(past, FISCAL, ("sales",), rule="all_levels")
+    after = reconcile.level_totals(merge.merge_levels(cur, past, LEVELS, FISCAL, ANNUAL), FISCAL, ("sales",), rule="all_levels")
     return before, after
 
 
@@ -326,12 +329,13 @@ def q_recon_relative(spark, d):
     return reconcile.compare_relative(before, after, checkpoint="merge")
 
 
-def _merged_years(spark, d, policy):
-    return jobs.merge_years(cur_all(spark, d), past_all(spark, d), corp_master(spark, d), FISCAL, policy)
+def _merged_years(spark, d, policy, materialized: bool = False):
+    cur, past = cur_all(spark, d, materialized), past_all(spark, d, materialized)
+    return jobs.merge_years(cur, past, corp_master(spark, d), FISCAL, policy)
 
 
 def q_checkpoint_report(spark, d):
-    return _merged_years(spark, d, QUARTER).checkpoints
+    return _merged_years(spark, d, QUARTER, materialized=True).checkpoints
 
 
 def q_key_overlap(spark, d):
