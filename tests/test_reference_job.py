@@ -50,3 +50,21 @@ def test_reference_job_annual_and_quarter(spark, tmp_out):
         totals = {(r["level"], r["fy"], r["metric"]): r["total"] for r in out["totals"].collect()}
         assert totals[("corp", 2025, "sales")] == totals[("customer", 2025, "sales")] == 2300.0
     assert jobs.run_reference_job(spark, f"{tmp_out}/none.csv", past_paths, f"{tmp_out}/master", f"{tmp_out}/o", FS, ANNUAL) == {"status": "no detail"}
+
+
+def test_command_line_stages(spark, tmp_out, capsys):
+    import json
+
+    from rankloom.__main__ import main
+
+    _files(spark, tmp_out)
+    common = ["--as-of", "2025-06-30", "--start-year", "2024"]
+    assert main(["summarise", "--detail", f"{tmp_out}/detail", "--out", f"{tmp_out}/s", *common]) == 0
+    assert main(["merge", "--summary-dir", f"{tmp_out}/s", "--past-dir", f"{tmp_out}/past", "--master", f"{tmp_out}/master",
+                 "--out", f"{tmp_out}/r", *common]) == 0
+    assert main(["export", "--result-dir", f"{tmp_out}/r", "--out", f"{tmp_out}/x"]) == 0
+    lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
+    assert sorted(lines[-1]["exported"]) == ["corp", "customer", "customer_product"]
+    totals = {(t["level"], t["fy"], t["metric"]): t["total"] for t in lines[1]["totals"]}
+    assert totals[("customer_product", 2025, "sales")] == 2300.0
+    assert main(["summarise", "--detail", f"{tmp_out}/none", "--out", f"{tmp_out}/s2", *common]) == 1
