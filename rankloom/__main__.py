@@ -70,10 +70,8 @@ def main(argv: list[str] | None = None) -> int:
         if detail is None:
             out["status"] = "no detail"
         else:
-            from .operators import summarise
-
             paths = _paths(a.out, a.policy, "summary")
-            writers.write_levels(summarise.summarise(detail, LEVELS, fiscal), paths, fiscal, reference_names=True)
+            jobs.summarise_to_files(detail, fiscal, paths, LEVELS)
             out.update(status="ok", summary=paths)
     elif a.cmd == "merge":
         fiscal = _fiscal(a)

@@ -29,6 +29,23 @@ def run_summarise(detail: DataFrame, fiscal: FiscalSpec, out_dir: str, levels: t
     return summarise.split_levels(combined, levels)
 
 
+def summarise_to_files(
+    detail: DataFrame,
+    fiscal: FiscalSpec,
+    paths: dict[str, str],
+    levels: tuple[LevelSpec, ...] = LEVELS,
+    reference_names: bool = True,
+) -> None:
+    """C-1 with one file per level (W-1): the detail is scanned once
+    (GROUPING SETS), the small combined result is written once to the shared
+    folder, and each level file is a filtered copy of it -- not one scan of
+    the detail per level."""
+    from ..session import materialize
+
+    combined = materialize(summarise_stage(detail, fiscal, levels))
+    writers.write_levels(summarise.split_levels(combined, levels), paths, fiscal, reference_names=reference_names)
+
+
 class MergeResult:
     """Ranked, typed level tables plus the reconciliation tables.
 
@@ -204,9 +221,8 @@ def run_reference_job(
     detail = readers.read_detail_csv(spark, detail_csv, required=False, metric_type=metric_type)
     if detail is None:
         return {"status": "no detail"}
-    cur = summarise.summarise(detail, levels, fiscal)
     summary_paths = level_paths(f"{out_dir}/summary", policy.name, "summary", reference_names=True)
-    writers.write_levels(cur, summary_paths, fiscal, reference_names=True)
+    summarise_to_files(detail, fiscal, summary_paths, levels)
     cur = {lv.name: spark.read.parquet(summary_paths[lv.name]).transform(lambda d: from_reference(d, fiscal)) for lv in levels}
 
     past = readers.read_levels(spark, past_paths, required=policy.missing_past == "error", levels=levels)
