@@ -79,3 +79,9 @@ def test_top_n_plan_is_take_ordered(spark):
     plan = top._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
     assert [r["rank"] for r in top.collect()] == [1, 2, 3, 4, 5]
+
+
+def test_global_rank_is_range_partitioned(spark):
+    df = spark.range(5000).select(F.col("id").cast("string").alias("corp_code"), (F.col("id") % 7).alias("sales_2025"))
+    plan = rank.rank(df, CORP, FS, ANNUAL)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" in plan and "SinglePartition" not in plan
