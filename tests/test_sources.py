@@ -60,3 +60,12 @@ def test_availability_policies(spark, tmp_out):
 
 def test_chunk_tiers():
     assert [writers.export_chunk_size(n) for n in (10_000, 10_001, 50_000, 50_001)] == [500, 1000, 1000, 2000]
+
+
+def test_export_chunked_files(spark, tmp_out):
+    df = spark.range(25).select(F.col("id").cast("string").alias("k")).coalesce(1)
+    assert writers.export_level(df, tmp_out + "/c", max_records_per_file=10)
+    files = [f for f in os.listdir(tmp_out + "/c") if f.endswith(".csv")]
+    assert len(files) == 3
+    rows = sum(len(open(os.path.join(tmp_out + "/c", f)).read().strip().splitlines()) - 1 for f in files)
+    assert rows == 25
