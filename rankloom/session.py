@@ -3,12 +3,19 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "rankloom") -> SparkSession:
-    """Local session for tests and benchmarks (UI off, AQE on, UTC)."""
+    """Local session for tests, benchmarks and the command line (UI off, AQE
+    on, UTC).  Constraint propagation is off: the merged tables carry one
+    column per (metric, year) and every step re-aliases them, which makes
+    that optimizer rule grow combinatorially.  It is set here, once, and by
+    no operator; operators state the not-null filters on their inner-join
+    keys themselves, so no plan depends on the setting.  The legacy charset
+    list is on for cp932 (``windows-31j``) files."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -19,48 +26,69 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "rankl
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.constraintPropagation.enabled", "false")
+        .config("spark.sql.legacy.javaCharsets", "true")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
+    """The folder that driver and executors share (``spark.checkpoint.dir``).
 
-    Read from the session; only when it is unset (local tests) a fresh
-    temporary folder is configured."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    Read from the session.  Where it is unset, a single-process session
+    (master ``local`` or ``local[n]``, as in tests) gets a temporary folder
+    of its own; on a cluster a machine-local folder would lose data, so that
+    is an error."""
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: a folder shared by the driver and all "
+                f"executors is needed on {master}")
         d = tempfile.mkdtemp(prefix="rankloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
 
 
-def tune_for_wide_plans(spark: SparkSession) -> None:
-    """The merged tables carry one column per (metric, year) and every step
-    re-aliases them; Catalyst's constraint propagation grows combinatorially
-    with such aliases (tens of seconds of planning, or heap exhaustion, for
-    one filter over 22 columns).  Spark documents switching it off for large
-    plans; predicate pushdown does not depend on it."""
-    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
+def scratch_path(spark: SparkSession, kind: str = "mat") -> str:
+    """A new path in the shared folder, deleted when the application ends
+    (or earlier by :func:`release`)."""
+    path = f"{shared_dir(spark)}/rankloom-{kind}-{uuid.uuid4().hex}"
+    fs, p = _fs(spark, path)
+    fs.deleteOnExit(p)
+    return path
+
+
+def release(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch tables that nothing reads any more."""
+    for path in paths:
+        fs, p = _fs(spark, path)
+        fs.delete(p, True)
 
 
-def materialize(df):
-    """Cut lineage: write ``df`` once as a parquet table in the shared
-    checkpoint folder (``spark.checkpoint.dir``) and read it back.
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
-    Used where one intermediate (e.g. all level summaries) feeds many
-    branches of a report: the branches read the written data instead of
-    recomputing it, and a lost executor no longer forces recomputation from
-    the raw detail.  (A reliable ``checkpoint()`` would compute its input
-    twice -- once for the action, once for the write -- unless cached; a
-    written table is a single job.)"""
-    import uuid
 
+def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Cut lineage: write ``df`` once as a parquet table in the shared folder
+    and read it back.
+
+    Used where one intermediate feeds many branches: the branches read the
+    written data instead of recomputing it, and a lost executor no longer
+    forces recomputation from the raw input.  (A reliable ``checkpoint()``
+    would compute its input twice -- once for the action, once for the write
+    -- unless cached; a written table is a single job.)"""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/rankloom-mat-{uuid.uuid4().hex}"
+    path = path or scratch_path(spark)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def tune_for_wide_plans(spark: SparkSession) -> None:
+    """Switch constraint propagation off for the wide merge plans."""
+    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
