@@ -7,10 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, mix
+from . import lines, mix, sketch
 from .common import table
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sketch.edited_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    own, edited, after = F.col("sketch"), F.col("edited_sketch"), F.col("next_sketch")
+    return out.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        sketch.as_text(own).alias("fingerprint"), sketch.as_text(edited).alias("edited_fingerprint"),
+        sketch.resemblance(own, edited).alias("near_edited"), sketch.resemblance(own, after).alias("near_next"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -23,6 +32,7 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_fingerprints": op1_fingerprints,
         "op6_line_dedup": op6_line_dedup,
         "op9_source_mix": op9_source_mix,
     }
