@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, mix, simhash, sketch
+from . import lines, mix, packing, simhash, sketch
 from .common import table
 
 
@@ -20,6 +20,10 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         sketch.resemblance(own, edited).alias("near_edited"), sketch.resemblance(own, after).alias("near_next"))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -38,6 +42,7 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprints": op1_fingerprints,
+        "op2_packing": op2_packing,
         "op6_line_dedup": op6_line_dedup,
         "op7_simhash": op7_simhash,
         "op9_source_mix": op9_source_mix,
