@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, mix, packing, simhash, sketch
+from . import lines, mix, packing, quality, simhash, sketch
 from .common import table
 
 
@@ -24,6 +24,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = quality.classify(docs, table(spark, sf_dir, "labels"), keep=["doc_id"])
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -43,6 +49,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprints": op1_fingerprints,
         "op2_packing": op2_packing,
+        "op4_quality": op4_quality,
         "op6_line_dedup": op6_line_dedup,
         "op7_simhash": op7_simhash,
         "op9_source_mix": op9_source_mix,
