@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, mix, packing, quality, simhash, sketch
+from . import lines, mix, packing, quality, simhash, sketch, toxicity
 from .common import table
 
 
@@ -40,6 +40,12 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = toxicity.classify(docs, table(spark, sf_dir, "labels"), keep=["doc_id"])
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mix.take(mix.with_size(docs).drop("text")).select("doc_id", *mix.OUTPUT)
@@ -52,6 +58,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_quality": op4_quality,
         "op6_line_dedup": op6_line_dedup,
         "op7_simhash": op7_simhash,
+        "op8_toxicity": op8_toxicity,
         "op9_source_mix": op9_source_mix,
     }
 
