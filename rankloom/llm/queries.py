@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, mix, packing, quality, simhash, sketch, toxicity
+from . import extract, lines, mix, packing, quality, simhash, sketch, toxicity
 from .common import table
 
 
@@ -51,6 +51,11 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.take(mix.with_size(docs).drop("text")).select("doc_id", *mix.OUTPUT)
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"), keep=["page_id", "url"])
+    return out.select("page_id", "url", "text", "n_chars")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprints": op1_fingerprints,
@@ -60,6 +65,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_simhash": op7_simhash,
         "op8_toxicity": op8_toxicity,
         "op9_source_mix": op9_source_mix,
+        "op10_main_text": op10_main_text,
     }
 
 
