@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import extract, lines, mix, packing, quality, simhash, sketch, toxicity
+from . import extract, lines, mix, packing, quality, repeats, simhash, sketch, toxicity
 from .common import table
 
 
@@ -30,6 +30,11 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "score", "predicted")
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -61,6 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_fingerprints": op1_fingerprints,
         "op2_packing": op2_packing,
         "op4_quality": op4_quality,
+        "op5_repeats": op5_repeats,
         "op6_line_dedup": op6_line_dedup,
         "op7_simhash": op7_simhash,
         "op8_toxicity": op8_toxicity,
