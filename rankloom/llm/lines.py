@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .common import ASCII_SPACE, ascii_lower, partitions, require, text_or_empty
 
 MIN_CHARS = 20
@@ -49,19 +50,20 @@ def line_keys(text: Column, min_chars: int = MIN_CHARS) -> Column:
     return F.transform(F.split(ascii_lower(text), "\n"), hashed)
 
 
-def frequent(rows: DataFrame, min_docs: int, salts: int) -> DataFrame:
-    """(a, b, keep): keys in at least ``min_docs`` documents, and the last
-    document that holds each.  ``rows``: a, b, doc, pos."""
+def frequent(rows: DataFrame, min_docs: int) -> DataFrame:
+    """(a, b, salt, keep): keys in at least ``min_docs`` documents, each
+    salt that they occur with, and the last document that holds each.
+    ``rows``: a, b, salt, doc, pos."""
     n = partitions(rows.sparkSession)
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(salts)))
-    dealt = salted.repartitionByRange(n, "a", "b", "salt")
+    dealt = rows.repartitionByRange(n, "a", "b", "salt")
     stream = W.partitionBy("a", "b", "salt").orderBy(F.col("doc").asc_nulls_first(), "pos")
     first = dealt.withColumn(
         "new", F.row_number().over(stream).eqNullSafe(1) | ~F.col("doc").eqNullSafe(F.lag("doc").over(stream)))
     found = first.filter("new").groupBy("a", "b", "salt").agg(
         F.count("*").alias("docs"), F.max("doc").alias("last"))
     return found.groupBy("a", "b").agg(
-        F.sum("docs").alias("docs"), F.max("last").alias("keep")).filter(F.col("docs") >= min_docs).drop("docs")
+        F.sum("docs").alias("docs"), F.max("last").alias("keep"), F.collect_list("salt").alias("salts")).filter(
+        F.col("docs") >= min_docs).select("a", "b", F.explode("salts").alias("salt"), "keep")
 
 
 def drop_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
@@ -73,9 +75,10 @@ def drop_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     keys = docs.select(
         F.col("doc_id").alias("doc"), F.xxhash64(text_or_empty()).alias("body"),
         F.posexplode(line_keys(text_or_empty(), min_chars)).alias("pos", "key"))
-    rows = keys.filter(F.col("key").isNotNull()).select("doc", "body", "pos", "key.a", "key.b")
-    keep = frequent(rows.select("a", "b", "doc", "pos"), min_docs, salts)
-    gone = rows.join(keep, ["a", "b"]).filter(~F.col("doc").eqNullSafe(F.col("keep")))
+    rows = materialize(keys.filter(F.col("key").isNotNull()).select(
+        "doc", "body", "pos", "key.a", "key.b", F.pmod(F.xxhash64("doc"), F.lit(salts)).alias("salt")))
+    keep = frequent(rows.select("a", "b", "salt", "doc", "pos"), min_docs)
+    gone = rows.join(keep, ["a", "b", "salt"]).filter(~F.col("doc").eqNullSafe(F.col("keep")))
     words = gone.groupBy("doc", "body", F.shiftright("pos", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, pos % 64)")).alias("bits"))
     return words.groupBy("doc", "body").agg(F.collect_list(F.struct("word", "bits")).alias("words"))
@@ -87,18 +90,18 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     require(docs, ["doc_id", "text"])
     docs = docs.drop(*[c for c in ("n_lines", "n_dropped", "kept") if c in docs.columns])
     marks = drop_bitmaps(docs, min_chars, min_docs, salts).select(
-        F.struct("doc", "body").alias("_id"), "words")
+        F.struct("doc", "body").alias("_id"), F.col("words").alias("_words"))
     left = docs.withColumn("_id", F.struct(F.col("doc_id").alias("doc"), F.xxhash64(text_or_empty()).alias("body")))
     # a struct is never null itself, and its null fields compare equal: a plain equi-join
     joined = left.join(marks, "_id", "left")
     lines = F.split(text_or_empty(), "\n")
     dense = F.transform(
         F.sequence(F.lit(0), F.shiftright(F.size(lines) - 1, 6)),
-        lambda w: F.coalesce(F.get(F.filter(F.col("words"), lambda x: x["word"] == w), F.lit(0))["bits"], F.lit(0)))
+        lambda w: F.coalesce(F.get(F.filter(F.col("_words"), lambda x: x["word"] == w), F.lit(0))["bits"], F.lit(0)))
     stays = F.filter(
         F.col("_lines"),
         lambda line, i: F.getbit(F.get(F.col("_dense"), F.shiftright(i, 6)), F.pmod(i, F.lit(64))) == 0)
-    changed = F.col("words").isNotNull()
+    changed = F.col("_words").isNotNull()
     return joined.withColumn("_lines", lines).withColumn("_dense", F.when(changed, dense)).withColumn(
         "_kept", F.when(changed, stays)).select(
         *docs.columns,
