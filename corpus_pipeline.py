@@ -1,13 +1,63 @@
-"""The corpus pipeline: documents to packed training sequences."""
+"""The corpus pipeline: raw documents to packed training sequences.
+
+Five stages, each calling one operator of ``rankloom.llm``.  A stage is a
+function (spark, docs, sf_dir) -> DataFrame over everything its predecessor
+kept; all but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rankloom.llm import lines, mix, packing, quality, simhash
+from rankloom.llm.common import table
+from rankloom.session import materialize
+
+
+def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    judged = quality.classify(docs, table(spark, sf_dir, "labels"), keep=docs.columns)
+    return judged.filter("predicted = 1").select(*docs.columns)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Frequent lines stay in one document only; a text may become empty."""
+    out = lines.dedup_lines(docs).withColumn("text", F.col("kept"))
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the smallest doc_id stays."""
+    return simhash.keep_first(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each whole time that the mix takes a document, and one cut
+    after the last word it takes for a part; what it doesn't take goes."""
+    return mix.apply_mix(mix.mix_sources(docs)).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of the mix with its place in a sequence."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("quality", filter_quality),
+    ("line_dedup", dedup_lines),
+    ("near_dedup", dedup_documents),
+    ("mix", mix_sources),
+    ("packing", pack),
+]
+
+#: Scores, fingerprints and packing are beyond SQL; the tests compare with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in a row; what passes between two is a table in the shared folder."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

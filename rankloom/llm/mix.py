@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .common import WORD, require, text_or_empty
 
 #: Rows that one key range should hold at most, and the fewest hex digits that number the ranges.
@@ -87,7 +88,7 @@ def mix_sources(docs: DataFrame, weight=cyclic_weights, max_epochs: int = 3,
     and taken: how many of the row's words the mix takes, repeats counted."""
     require(docs, ["doc_id", "source", "text"])
     docs = docs.drop(*[c for c in OUTPUT if c in docs.columns])
-    out = take(with_size(docs), weight, max_epochs, range_rows)
+    out = take(with_size(docs), weight, max_epochs, range_rows, hold=False)
     return out.select(*docs.columns, *OUTPUT)
 
 
@@ -105,9 +106,11 @@ def range_digits(rows: int, range_rows: int = RANGE_ROWS) -> int:
 
 
 def take(sized: DataFrame, weight=cyclic_weights, max_epochs: int = 3,
-         range_rows: int = RANGE_ROWS) -> DataFrame:
-    """The mix over rows (doc_id, source, size, _tie, ...)."""
-    digits = range_digits(sized.select("doc_id").count(), range_rows)
+         range_rows: int = RANGE_ROWS, hold: bool = True) -> DataFrame:
+    """The mix over rows (doc_id, source, size, _tie, ...); ``hold`` writes
+    them once instead of reading the documents for each of three passes."""
+    sized = materialize(sized) if hold else sized
+    digits = range_digits(sized.count(), range_rows)
     keyed = sized.withColumn("_key", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")))
     # a key without nulls, so that the join below reuses the window's partitioning
     keyed = keyed.withColumn("_range", F.substring("_key", 1, digits)).withColumn(

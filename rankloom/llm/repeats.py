@@ -424,9 +424,9 @@ def piece_texts(docs: DataFrame, wanted: DataFrame, length: int, hot_pieces: int
 # -- the operator ------------------------------------------------------------
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """``tail``, from the text, tells rows with one doc_id apart."""
+    """``_tail``, from the text, tells rows with one doc_id apart."""
     return docs.withColumn("text", text_or_empty()).withColumn("doc_id", F.col("doc_id").cast("long")).withColumn(
-        "tail", F.pmod(F.xxhash64("text"), F.lit(1 << 31)).cast("int"))
+        "_tail", F.pmod(F.xxhash64("text"), F.lit(1 << 31)).cast("int"))
 
 
 def covered(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot_pieces: int = HOT_PIECES) -> DataFrame:
@@ -447,10 +447,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     new = ["n_bytes", "n_removed", "n_spans", "spans", "kept"]
     keep = [c for c in keep or docs.columns if c not in new]
     held = keyed(docs)
-    ranges = covered(held.select("doc_id", "tail", "text"), length, anchor, hot_pieces).groupBy("doc_id", "tail").agg(
+    ranges = covered(held.select("doc_id", F.col("_tail").alias("tail"), "text"), length, anchor, hot_pieces).groupBy("doc_id", "tail").agg(
         F.sort_array(F.collect_set(F.struct("low", "high"))).alias("_ranges")).withColumnsRenamed(
         {"doc_id": "_d", "tail": "_t"})
-    joined = held.join(ranges, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("tail") == F.col("_t")), "left")
+    joined = held.join(ranges, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_tail") == F.col("_t")), "left")
     schema = T.StructType([held.schema[c] for c in keep] + [
         T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
         T.StructField("n_spans", T.LongType()), T.StructField("spans", T.ArrayType(T.ArrayType(T.LongType()))),

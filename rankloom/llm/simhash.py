@@ -41,7 +41,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import materialize, release, scratch_path
-from .common import partitions, require
+from .common import partitions, require, text_or_empty
 
 SHINGLE = 3
 BITS = 2
@@ -71,14 +71,16 @@ def fingerprint(text: str | None, size: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """``docs`` (doc_id, text) as (doc_id, fp), fp a signed 64-bit integer."""
+    """``docs`` (doc_id, text) as (doc_id, body, fp): body a hash of the
+    text, which tells rows with one doc_id apart, fp a signed 64-bit integer."""
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             fps = np.array([fingerprint(t.as_py(), size) for t in b.column("text")], dtype="<u8")
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps.view("<i8"))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), b.column("body"), pa.array(fps.view("<i8"))], ["doc_id", "body", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        batches, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(text_or_empty()).alias("body"),
+                       F.col("text").cast("string")).mapInArrow(batches, "doc_id long, body long, fp long")
 
 
 def pivots(n: int = PIVOTS) -> np.ndarray:
@@ -113,10 +115,10 @@ def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def keyed(fps: DataFrame, masks: list[tuple[int, int]]) -> DataFrame:
-    """(fp, pivot, table, key) for masks given as (number, mask)."""
+def keyed(fps: DataFrame, masks: list[int]) -> DataFrame:
+    """(fp, pivot, block, key): a row for each mask, numbered by block."""
     keys = F.array(*[F.struct(F.lit(n).alias("block"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("key"))
-                     for n, m in masks])
+                     for n, m in enumerate(masks)])
     return fps.withColumn("_k", F.explode(keys)).select("fp", "pivot", "_k.block", "_k.key")
 
 
@@ -189,21 +191,17 @@ def links(fps: DataFrame, bits: int = BITS, n_pivots: int = PIVOTS, block_rows:
 
     spark = fps.sparkSession
     n = partitions(spark)
-    masks = list(enumerate(block_masks(bits)))
-    coded = keyed(fps.mapInArrow(tables, "fp long, pivot binary"), masks)
+    masks = block_masks(bits)
+    coded = keyed(materialize(fps.mapInArrow(tables, "fp long, pivot binary")), masks)
     sizes = coded.groupBy("block", "key").agg(F.count("*").alias("rows")).filter(F.col("rows") > 1)
-    small = sizes.filter(F.col("rows") <= block_rows).drop("rows")
-    large = sizes.filter(F.col("rows") > block_rows).drop("rows")
-    even = coded.join(small, ["block", "key"], "left_semi")
-    hot = coded.join(large, ["block", "key"], "left_semi")
-    cut = []
-    for number, mask in masks:
-        inner = [(1000 * (number + 1) + i, m) for i, m in enumerate(finer(mask, bits))]
-        cut.append(keyed(hot.filter(F.col("block") == number).select("fp", "pivot"), inner))
-    finer_rows = cut[0]
-    for c in cut[1:]:
-        finer_rows = finer_rows.unionByName(c)
-    both = even.select("fp", "pivot", "block", "key").unionByName(finer_rows)
+    shared = coded.join(sizes, ["block", "key"])
+    even = shared.filter(F.col("rows") <= block_rows).select("fp", "pivot", "block", "key")
+    inner = F.lit([[signed(m) for m in finer(mask, bits)] for mask in masks])
+    hot = shared.filter(F.col("rows") > block_rows).select("fp", "pivot", "block", F.posexplode(
+        F.get(inner, F.col("block"))).alias("part", "mask"))
+    both = even.unionByName(hot.select(
+        "fp", "pivot", (F.lit(1000) * (F.col("block") + 1) + F.col("part")).alias("block"),
+        F.col("fp").bitwiseAND(F.col("mask")).alias("key")))
     dealt = both.repartition(n, "block", "key").sortWithinPartitions("block", "key", "fp")
     return block_edges(dealt, bits, n_pivots).distinct()
 
@@ -238,7 +236,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, bits: int = BITS, n_pivots: int = PIVOTS,
                     block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of ``docs``."""
+    """(doc_id, body, fp, root, component_id) for every row of ``docs``;
+    root, the smallest fingerprint of a component, names it."""
     require(docs, ["doc_id", "text"])
     coded = materialize(fingerprints(docs, size))
     groups = coded.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
@@ -246,15 +245,19 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, bits: int = BITS, n_pi
     named = groups.join(roots, groups["fp"] == roots["node"], "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = named.join(least, "root").select("fp", "component_id")
-    return coded.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = named.join(least, "root").select("fp", "root", "component_id")
+    return coded.join(classes, "fp").select("doc_id", "body", "fp", "root", "component_id")
 
 
 def keep_first(docs: DataFrame, size: int = SHINGLE, bits: int = BITS) -> DataFrame:
-    """``docs`` without near-duplicates: of each group the smallest doc_id
-    stays, one row of it."""
+    """``docs`` without near-duplicates: of each group one row with its
+    smallest doc_id stays (null only where there is no other)."""
     found = near_duplicates(docs, size, bits)
-    keep = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.join(keep, docs["doc_id"].eqNullSafe(keep["doc_id"]), "left_semi")
-    one = W.partitionBy("doc_id").orderBy(*[F.col(c) for c in ("text",)])
-    return kept.withColumn("_n", F.row_number().over(one)).filter("_n = 1").drop("_n")
+    first = found.groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "body")).alias("r"))
+    keep = first.select(F.struct("r.doc_id", "r.body").alias("_id"))
+    rows = docs.withColumn("_id", F.struct(F.col("doc_id").cast("long").alias("doc_id"),
+                                           F.xxhash64(text_or_empty()).alias("body")))
+    kept = rows.join(keep, "_id", "left_semi")
+    one = W.partitionBy("_id").orderBy(*[F.col(c).cast("string") for c in docs.columns if c != "text"])
+    return kept.withColumn("_n", F.row_number().over(one)).filter("_n = 1").select(*docs.columns)
