@@ -18,7 +18,9 @@ import json
 import sys
 
 from .functions.naming import from_reference
+from .operators import reconcile
 from .plans import jobs
+from .session import prepare
 from .plans.spec import ANNUAL, LEVELS, QUARTER, START_YEAR, FiscalSpec
 from .sources import readers, writers
 
@@ -51,19 +53,22 @@ def main(argv: list[str] | None = None) -> int:
             p.add_argument("--summary-dir", required=True)
         if name == "export":
             p.add_argument("--result-dir", required=True)
-            p.add_argument("--availability", choices=["all", "available"], default="all")
+            p.add_argument("--flavour", choices=sorted(jobs.EXPORT_FLAVOURS), default=None,
+                           help="rules for missing levels, nulls and empty tables; by default those of the policy")
     a = ap.parse_args(argv)
-    if a.cmd != "export" and not a.as_of:
+    if not a.as_of:
         ap.error("--as-of is required")
 
     from pyspark.sql import SparkSession
 
-    spark = SparkSession.builder.appName(f"rankloom-{a.cmd}").getOrCreate()
+    spark = prepare(SparkSession.builder.appName(f"rankloom-{a.cmd}").getOrCreate())
     policy = POLICIES[a.policy]
     out: dict = {"command": a.cmd}
     if a.cmd == "all":
-        res = jobs.run_reference_job(spark, a.detail, _paths(a.past_dir, a.policy, "summary"), a.master, a.out, _fiscal(a), policy)
-        out.update({k: v for k, v in res.items() if k != "totals"})
+        res = jobs.run_reference_job(spark, a.detail, _paths(a.past_dir, a.policy, "past"), a.master, a.out, _fiscal(a), policy)
+        out.update({k: v for k, v in res.items() if k not in ("totals", "run")})
+        if "run" in res:
+            out["findings"] = res["run"].lines()
     elif a.cmd == "summarise":
         fiscal = _fiscal(a)
         detail = readers.read_detail_csv(spark, a.detail, required=False)
@@ -77,15 +82,15 @@ def main(argv: list[str] | None = None) -> int:
         fiscal = _fiscal(a)
         cur = readers.read_levels(spark, _paths(a.summary_dir, a.policy, "summary"), required=True)
         cur = {k: from_reference(v, fiscal) for k, v in cur.items()}
-        past = readers.read_levels(spark, _paths(a.past_dir, a.policy, "summary"), required=policy.missing_past == "error")
-        past = {k: (None if v is None else from_reference(v, fiscal)) for k, v in past.items()}
+        past = readers.read_past(spark, _paths(a.past_dir, a.policy, "past"), fiscal, policy)
         master = readers.read_master_csv(spark, a.master, required=policy.missing_master == "error")
         paths = _paths(a.out, a.policy, "result")
-        _tables, totals = jobs.run_merge_years(cur, past, master, fiscal, policy, paths, reference_names=True)
-        out.update(status="ok", result=paths, totals=[r.asDict() for r in totals.collect()])
+        run = jobs.run_merge_years(cur, past, master, fiscal, policy, paths, reference_names=True)
+        out.update(status="ok", result=paths, totals=[r.asDict() for r in reconcile.as_double(run.totals).collect()], findings=run.lines())
     else:
         paths = _paths(a.result_dir, a.policy, "result")
-        out.update(status="ok", exported=jobs.export_levels(spark, paths, a.out, policy=a.availability))
+        out.update(status="ok", exported=jobs.export_levels(
+            spark, paths, a.out, _fiscal(a), policy, **jobs.EXPORT_FLAVOURS[a.flavour or a.policy]))
     print(json.dumps(out, ensure_ascii=False, default=str))
     return 0 if out.get("status") == "ok" else 1
 

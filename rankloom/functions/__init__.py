@@ -1,10 +1,9 @@
 """Column expressions and naming helpers."""
 
-from .broadcast import bounded_broadcast
 from .exprs import any_nonzero, null_double, ordinal, severity_absolute, severity_relative, sum0, truncate_long
 from .fiscal import fiscal_range, fiscal_year, years_desc
 
 __all__ = [
-    "any_nonzero", "bounded_broadcast", "fiscal_range", "fiscal_year", "null_double", "ordinal",
+    "any_nonzero", "fiscal_range", "fiscal_year", "null_double", "ordinal",
     "severity_absolute", "severity_relative", "sum0", "truncate_long", "years_desc",
 ]

@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from ..plans.spec import HIGH_REL_PCT, MEDIUM_REL_PCT, SEVERE_ABS_YEN, WARNING_ABS_YEN
-from pyspark.sql.types import DataType, DecimalType, DoubleType, FloatType, IntegralType, NumericType
 
 
 def C(c: str | Column) -> Column:
@@ -42,11 +38,6 @@ def any_nonzero(cols: list[str]) -> Column:
     return F.greatest(*[F.abs(F.col(c)) for c in cols]) > 0
 
 
-def any_nonzero_or(cols: list[str]) -> Column:
-    """Literal Kleene OR of ``c != 0`` (reference form, for small column sets)."""
-    return reduce(or_, [F.col(c) != 0 for c in cols])
-
-
 def ordinal(c: str | Column, order: tuple[str, ...] | list[str]) -> Column:
     """Position of ``c`` in ``order``; unlisted values get ``len(order)``;
     null stays null (sorts first with ``asc_nulls_first``)."""
@@ -66,11 +57,3 @@ def severity_absolute(abs_diff: Column, severe: float = SEVERE_ABS_YEN, warning:
 def severity_relative(rel_pct: Column, high: float = HIGH_REL_PCT, medium: float = MEDIUM_REL_PCT) -> Column:
     """Relative ladder: > high % -> 'high', > medium % -> 'medium', else 'low'."""
     return F.when(rel_pct > high, "high").when(rel_pct > medium, "medium").otherwise("low")
-
-
-def is_summable(dt: DataType) -> bool:
-    return isinstance(dt, NumericType)
-
-
-def is_float_or_int(dt: DataType) -> bool:
-    return isinstance(dt, (IntegralType, FloatType, DoubleType, DecimalType))

@@ -48,12 +48,11 @@ REFERENCE_LEVEL_NAMES = {
 # Legacy names found in older past tables.
 LEGACY_CUSTOMER_RENAMES = {"取引先コード": "得意先コード", "取引先名": "得意先名"}
 LEGACY_PRODUCT_RENAMES = {"得意先": "得意先名"}
-REFERENCE_TERMS = {"annual": "年度", "first_half": "上期", "quarter": "第２四半期"}
+# Labels in the names of the current summaries and of the past tables.
+REFERENCE_TERMS = {"annual": "年度", "first_half": "上期", "quarter": "2Q"}
+REFERENCE_PAST_TERMS = {"annual": "年度", "first_half": "上期", "quarter": "第２四半期"}
 SUMMARY_FILE = "{term}_ランキング（得意先）_{level}.parquet"
 RESULT_FILE = "{level}_転記用データ.parquet"
-# Same legacy renames, expressed on English names.
-LEGACY_CUSTOMER_RENAMES_EN = {"client_code": "cust_code", "client_name": "cust_name"}
-LEGACY_PRODUCT_RENAMES_EN = {"customer": "cust_name"}
 
 _WIDE_RE = re.compile(r"^(\d{4})(" + "|".join(sorted(REFERENCE_WIDE_METRICS.values(), key=len, reverse=True)) + r")$")
 _WIDE_BACK = {v: k for k, v in REFERENCE_WIDE_METRICS.items()}
@@ -91,5 +90,9 @@ def summary_file(term: str, level: str) -> str:
     return SUMMARY_FILE.format(term=REFERENCE_TERMS.get(term, term), level=REFERENCE_LEVEL_NAMES.get(level, level))
 
 
+def past_file(term: str, level: str) -> str:
+    return SUMMARY_FILE.format(term=REFERENCE_PAST_TERMS.get(term, term), level=REFERENCE_LEVEL_NAMES.get(level, level))
+
+
 def result_file(level: str) -> str:
     return RESULT_FILE.format(level=REFERENCE_LEVEL_NAMES.get(level, level))

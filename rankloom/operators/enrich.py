@@ -5,27 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.broadcast import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
-
 
 def master_join(
     df: DataFrame,
     master: DataFrame | None,
     code: str = "corp_code",
     name: str = "corp_name",
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """J-10: left join the master on the code; an existing name wins, else
     the master's; the name column is created if absent.  Duplicate master
     codes fan out (as a left join does).  ``master=None`` (missing, lenient
     policy) returns the frame unchanged.
 
-    The master is broadcast only after its row count is proven to be at most
-    ``max_broadcast_rows``; a larger master is shuffle-joined."""
+    No broadcast hint: Spark broadcasts a master whose file size is below its
+    threshold, AQE one whose measured size is, and a larger one is shuffled."""
     if master is None:
         return df
     m = master.select(F.col(code), F.col(name).alias(name + "_master"))
-    m, _ = bounded_broadcast(m, max_broadcast_rows)
     joined = df.join(m, code, "left")
     if name in df.columns:
         cols = [F.coalesce(F.col(name), F.col(name + "_master")).alias(name) if c == name else F.col(c) for c in df.columns]
@@ -49,7 +45,6 @@ def backfill_code(
     code: str,
     name: str,
     on_ambiguous: str = "min",
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """J-11 (corp, 'min') / J-12 (customer, 'fanout'): rows with a null code
     and a known name (F-2) take the code the past table gives that name.
@@ -62,7 +57,6 @@ def backfill_code(
     mapping = name_code_mapping(past, code, name, on_ambiguous).withColumnsRenamed(
         {code: code + "_fill", name: name + "_fill"}
     )
-    mapping, _ = bounded_broadcast(mapping, max_broadcast_rows)
     need = F.col(code).isNull() & F.col(name).isNotNull()
     # only rows that need a code take part in the join condition
     joined = df.join(mapping, (F.col(name) == F.col(name + "_fill")) & need, "left")

@@ -34,13 +34,6 @@ def year_column_universe(fiscal: FiscalSpec) -> set[str]:
     return {fiscal.col(m.name, fy) for fy in fiscal.years_desc() for m in fiscal.metrics}
 
 
-def past_suffix(df: DataFrame | None, protect: tuple[str, ...] | list[str] = (), suffix: str = PAST) -> DataFrame | None:
-    """P-6 (data columns only, ``protect`` kept) / P-7 (``protect=()``: all)."""
-    if df is None:
-        return None
-    return df.withColumnsRenamed({c: c + suffix for c in df.columns if c not in protect})
-
-
 def add_missing_years(df: DataFrame, fiscal: FiscalSpec) -> DataFrame:
     """P-8: every wanted year column absent from ``df`` becomes a null double."""
     missing = [c for c in fiscal.all_year_columns() if c not in df.columns]
@@ -82,7 +75,7 @@ def merge_level(
         return cur
     join_keys = [k for k in level.keys if k in cur.columns and k in past.columns]
     if not join_keys:
-        return cur
+        raise ValueError(f"the past table of level {level.name} has none of the key columns {', '.join(level.keys)}")
     universe = year_column_universe(fiscal)
     cur_years = {c for c in cur.columns if c in universe}
     past_years = {c for c in past.columns if c in universe}

@@ -27,7 +27,8 @@ def rank_order(df: DataFrame, level: LevelSpec, fiscal: FiscalSpec, policy: Merg
 
     corp/customer (O-1): current sales descending.  If the current sales
     column is absent (O-3) the newest existing year's sales, descending with
-    nulls first.  Quarter (O-5): no sales order unless ``sales_present``.
+    nulls first.  Quarter (O-5): an empty list, so nothing is sorted, unless
+    ``sales_present``.
     product: 'sales' (O-2) current sales desc then office; fallback office,
     customer name, category.  'office' (O-4): custom office order (unlisted
     after, null first), then customer name, category."""
@@ -37,8 +38,8 @@ def rank_order(df: DataFrame, level: LevelSpec, fiscal: FiscalSpec, policy: Merg
     if level.name != "customer_product":
         if has_sales:
             return [F.col(sales).desc_nulls_first()] + tie
-        if policy.product_order == "office":  # quarter: sort skipped
-            return tie
+        if policy.product_order == "office":  # quarter: no order at all
+            return []
         newest = newest_sales_column(df, fiscal)
         return ([F.col(newest).desc_nulls_first()] if newest else []) + tie
     if policy.product_order == "office":
@@ -55,7 +56,12 @@ def rank_order(df: DataFrame, level: LevelSpec, fiscal: FiscalSpec, policy: Merg
 def rank(df: DataFrame, level: LevelSpec, fiscal: FiscalSpec, policy: MergePolicy) -> DataFrame:
     """Global order (range-partitioned sort: written part files are in rank
     order, no single-task bottleneck)."""
-    return df.orderBy(*rank_order(df, level, fiscal, policy))
+    return ordered(df, rank_order(df, level, fiscal, policy))
+
+
+def ordered(df: DataFrame, order: list[Column]) -> DataFrame:
+    """The frame in that order; as it is (no shuffle) where there is none."""
+    return df.orderBy(*order) if order else df
 
 
 def top_n(df: DataFrame, order: list[Column], n: int = 5, rank_col: str = "rank") -> DataFrame:

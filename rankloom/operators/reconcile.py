@@ -17,13 +17,30 @@ from ..plans.spec import HIGH_REL_PCT, MEDIUM_REL_PCT, PREMERGE_TOLERANCE_YEN, S
 LEVEL_ORDER = ("corp", "customer", "customer_product")
 
 
+#: Totals stay exact up to the report: sums of whole numbers never pass through double.
+EXACT = "decimal(38,6)"
+
+
+def exact_sum(df: DataFrame, c: str) -> Column:
+    """Sum of a column as a decimal; integral columns are summed as decimals."""
+    whole = df.schema[c].dataType.typeName() in ("byte", "short", "integer", "long")
+    return F.sum(F.col(c).cast("decimal(20,0)") if whole else F.col(c)).cast(EXACT)
+
+
+def as_double(totals: DataFrame) -> DataFrame:
+    """A report or totals table with plain doubles, for display and export."""
+    return totals.select(*[
+        F.col(f.name).cast("double").alias(f.name) if f.dataType.typeName() == "decimal" else F.col(f.name)
+        for f in totals.schema.fields])
+
+
 def _totals_one(df: DataFrame, level: str, cols: list[str], fiscal: FiscalSpec) -> DataFrame:
     info = fiscal.metric_of()
     pairs = [
         F.struct(
             F.lit(info[c][1]).alias("fy"),
             F.lit(info[c][0].name).alias("metric"),
-            F.sum(c).cast("double").alias("total"),
+            exact_sum(df, c).alias("total"),
         )
         for c in cols
     ]
@@ -106,7 +123,7 @@ def compare_absolute(
         diff.alias("diff"),
         absd.alias("abs_diff"),
         F.when(diff > 0, "increase").when(diff < 0, "decrease").alias("direction"),
-        (absd / F.greatest(F.col("before"), F.lit(1.0)) * 100).alias("rate_pct"),
+        (absd.cast("double") / F.greatest(F.col("before").cast("double"), F.lit(1.0)) * 100).alias("rate_pct"),
         sev.alias("severity"),
         status.alias("status"),
         ((status == "lost") | F.coalesce(sev.isin("severe", "warning"), F.lit(False))).alias("issue"),
@@ -137,10 +154,15 @@ def cross_level(after: DataFrame, pairs: tuple[tuple[str, str], ...] = LEVEL_PAI
     )
 
 
-def verdict(absolute: DataFrame, cross: DataFrame) -> DataFrame:
+def verdict(absolute: DataFrame | None, cross: DataFrame) -> DataFrame:
     """V-4: one row.  Valid only with at least one compared column, no
     severe difference and zero issues.  (A failing verdict does not stop
-    the save: the merge job returns it beside the data.)"""
+    the save: the merge job returns it beside the data.)  Without a past
+    there is nothing to compare with, and the levels alone decide."""
+    if absolute is None:
+        t = cross.agg(F.count(F.lit(1)).alias("n_columns"), F.lit(0).cast("long").alias("severe"),
+                      F.coalesce(F.sum(F.col("issue").cast("int")), F.lit(0)).alias("issues"))
+        return t.select("*", ((F.col("n_columns") > 0) & (F.col("issues") == 0)).alias("valid"))
     a = absolute.select(
         F.lit(1).alias("col"),
         F.col("issue").cast("int").alias("abs_issue"),
@@ -176,16 +198,32 @@ def premerge_conflicts(current_totals: DataFrame, past_totals: DataFrame, level:
     )
 
 
+#: V-6: what to do about the findings before the merge.
+ADVICE_CONFLICT = ("take care that year columns are not overwritten when merging",
+                   "verify the totals in detail after the merge")
+ADVICE_NO_PAST = "the past table is empty: processing the current year alone is enough"
+
+
+def premerge_advice(conflicts: int, past_is_empty: bool) -> list[str]:
+    """V-6: both texts on a conflict, one more if there is no past."""
+    return (list(ADVICE_CONFLICT) if conflicts else []) + ([ADVICE_NO_PAST] if past_is_empty else [])
+
+
+def totals_text(totals: DataFrame) -> DataFrame:
+    """S-17: totals as lines of text, with thousands separators."""
+    return totals.select("level", "fy", "metric", F.format_number(F.col("total"), 0).alias("text"))
+
+
 def compare_relative(before: DataFrame, after: DataFrame, high: float = HIGH_REL_PCT, medium: float = MEDIUM_REL_PCT, checkpoint: str | None = None) -> DataFrame:
     """V-7 / V-8: inner join of totals (keys missing on either side are
     ignored), null as 0, exact inequality; rel = |diff| / |before| * 100,
     0 when before is 0; severity 'high' > 10 %, 'medium' > 5 %, else 'low'."""
     k = ["level", "fy", "metric"]
     j = before.withColumnRenamed("total", "before").join(after.withColumnRenamed("total", "after"), k, "inner")
-    b = F.coalesce(F.col("before"), F.lit(0.0))
-    a = F.coalesce(F.col("after"), F.lit(0.0))
+    b = F.coalesce(F.col("before"), F.lit(0).cast(EXACT))
+    a = F.coalesce(F.col("after"), F.lit(0).cast(EXACT))
     absd = F.abs(a - b)
-    rel = F.when(b != 0, absd / F.abs(b) * 100).otherwise(F.lit(0.0))
+    rel = F.when(b != 0, absd.cast("double") / F.abs(b).cast("double") * 100).otherwise(F.lit(0.0))
     out = j.where(a != b).select(
         *k, b.alias("before"), a.alias("after"), absd.alias("abs_diff"), rel.alias("rel_pct"), severity_relative(rel, high, medium).alias("severity")
     )
@@ -242,14 +280,11 @@ def table_profile(df: DataFrame, name: str) -> DataFrame:
     )
 
 
-def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """A-12: row count collected while the frame is written, no extra job."""
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
-
-
-def observe_totals(df: DataFrame, name: str, cols: list[str]) -> tuple[DataFrame, Observation]:
-    """A-7 + A-12 during a write: row count and one sum per column, gathered
-    by the write job itself (``Observation.get`` after the action)."""
+def observe_totals(df: DataFrame, name: str, cols: list[str], null_in: str | None = None) -> tuple[DataFrame, Observation]:
+    """A-7 + A-12 (+ F-6) during a write: row count, one exact sum per column
+    and the nulls of ``null_in``, gathered by the write job itself
+    (``Observation.get`` after the action)."""
     obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows"), *[F.sum(c).alias(c) for c in cols]), obs
+    nulls = F.count_if(F.col(null_in).isNull()) if null_in in df.columns else F.max(F.lit(0))
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), nulls.cast("long").alias("null_names"),
+                      *[exact_sum(df, c).alias(c) for c in cols]), obs

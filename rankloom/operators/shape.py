@@ -13,11 +13,6 @@ from .merge import year_column_universe
 PRODUCT_BASE = ("office", REP_NAME, "cust_code", "cust_name", "category", "prod_code", "prod_name")
 
 
-def drop_retired(df: DataFrame, col: str = REP_NAME) -> DataFrame:
-    """P-10: drop the retired key (no error if absent)."""
-    return df.drop(col)
-
-
 def base_columns(level: LevelSpec, df: DataFrame) -> list[str]:
     if level.name == "customer_product":
         return [c for c in PRODUCT_BASE if c in df.columns]

@@ -23,12 +23,6 @@ def safe_select(df: DataFrame, wanted: list[str]) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
-def prefix_metrics(df: DataFrame, fiscal: FiscalSpec, fy: int | None = None) -> DataFrame:
-    """P-2: rename the bare metric columns to their year-specific names."""
-    fy = fiscal.current_fy if fy is None else fy
-    return df.withColumnsRenamed({m.name: fiscal.col(m.name, fy) for m in fiscal.metrics if m.name in df.columns})
-
-
 def summarise_level(detail: DataFrame, level: LevelSpec, fiscal: FiscalSpec, fy: int | None = None) -> DataFrame:
     """A-1: one row per level key (null keys form their own group) with the
     four year-prefixed metric sums.  Partial aggregation runs map-side, so
@@ -44,15 +38,14 @@ def summarise(detail: DataFrame, levels: tuple[LevelSpec, ...], fiscal: FiscalSp
     return {lv.name: summarise_level(detail, lv, fiscal) for lv in levels}
 
 
-def level_id_expr(levels: tuple[LevelSpec, ...], all_keys: list[str], always: tuple[str, ...] = ()) -> Column:
+def level_id_expr(levels: tuple[LevelSpec, ...], all_keys: list[str]) -> Column:
     """Level name from ``grouping_id``: bit i (from the left) is set when key i
-    is rolled up (``always`` columns are grouped in every set).  The raw id
-    is engine-specific, the name is not."""
+    is rolled up.  The raw id is engine-specific, the name is not."""
     gid = F.grouping_id(*all_keys)
     n = len(all_keys)
     expr = None
     for lv in levels:
-        code = sum(1 << (n - 1 - i) for i, k in enumerate(all_keys) if k not in lv.keys and k not in always)
+        code = sum(1 << (n - 1 - i) for i, k in enumerate(all_keys) if k not in lv.keys)
         expr = F.when(gid == code, lv.name) if expr is None else expr.when(gid == code, lv.name)
     return expr
 
@@ -97,13 +90,18 @@ def summarise_wide(
     ``past`` metrics (all four for the current year).  A year without rows
     for a key is null (the key did not exist that year).
 
-    Built with ``pivot`` on the fiscal year: Spark first aggregates by
-    (keys, fy) -- three sums per detail row instead of one conditional sum
-    per output column -- and pivots the much smaller per-year result."""
+    One conditional sum per year and metric in a single aggregation: one
+    exchange on the keys, inside code generation.  (A pivot aggregates by
+    keys and year first and shuffles a second time; at product level its
+    first step hardly shrinks the rows.)"""
     years = fiscal.past_years_desc() if years is None else years
-    metrics = [m for m in fiscal.metrics if any(m in fiscal.metrics_for(fy) for fy in years)]
-    pv = detail.groupBy(*level.keys).pivot(fy_col, years).agg(*[F.sum(m.name).alias(m.name) for m in metrics])
-    return pv.select(*_wide_select(pv, list(level.keys), fiscal, years, lambda fy, m: f"{fy}_{m}"))
+    wide = detail.groupBy(*level.keys).agg(*_year_sums(fiscal, years, fy_col))
+    return wide.select(*_wide_select(wide, list(level.keys), fiscal, years, lambda fy, m: f"{fy}_{m}"))
+
+
+def _year_sums(fiscal: FiscalSpec, years: list[int], fy_col: str) -> list[Column]:
+    return [F.sum(F.when(F.col(fy_col) == fy, F.col(m.name))).alias(f"{fy}_{m.name}")
+            for fy in years for m in fiscal.metrics_for(fy)]
 
 
 def summarise_wide_levels(
@@ -116,27 +114,17 @@ def summarise_wide_levels(
 ) -> dict[str, DataFrame]:
     """Wide tables of several levels from ONE pass over the detail.
 
-    Phase 1: ``GROUPING SETS`` with the fiscal year inside every set (one
-    Expand + partial aggregate per task, one shuffle) gives per-year sums
-    per level key.  Phase 2 pivots that small result by year (one more
-    shuffle).  Each level is a filter on the same result, so the branches
-    share one exchange instead of rescanning the detail per level."""
+    ``GROUPING SETS`` over the level keys with one conditional sum per year
+    and metric: one Expand + partial aggregate per task and one shuffle.
+    Each level is a filter on the same result, so the branches share one
+    exchange instead of rescanning the detail per level."""
     years = fiscal.past_years_desc() if years is None else years
-    metrics = [m for m in fiscal.metrics if any(m in fiscal.metrics_for(fy) for fy in years)]
     all_keys: list[str] = []
     for lv in levels:
         all_keys += [k for k in lv.keys if k not in all_keys]
-    sets = [[F.col(k) for k in lv.keys] + [F.col(fy_col)] for lv in levels]
-    per_year = detail.where(F.col(fy_col).isin(years)).groupingSets(sets, *all_keys, fy_col).agg(
-        level_id_expr(levels, all_keys + [fy_col], always=(fy_col,)).alias("level"),
-        *[F.sum(m.name).alias(m.name) for m in metrics],
-    )
-    aggs = [
-        F.sum(F.when(F.col(fy_col) == fy, F.col(m.name))).alias(f"{fy}_{m.name}")
-        for fy in years
-        for m in fiscal.metrics_for(fy)
-    ]
-    wide = per_year.groupBy("level", *all_keys).agg(*aggs)
+    sets = [[F.col(k) for k in lv.keys] for lv in levels]
+    wide = detail.where(F.col(fy_col).isin(years)).groupingSets(sets, *all_keys).agg(
+        level_id_expr(levels, all_keys).alias("level"), *_year_sums(fiscal, years, fy_col))
     if combined_hook is not None:  # e.g. write once before the split
         wide = combined_hook(wide)
     out = {}

@@ -1,7 +1,7 @@
 """Registered driver queries over the star-schema fixture.
 
-FY2001 is the current year, FY1995..FY2000 the past (FY1994 is a partial
-first year and left out).  Every query reads the whole tables; scenario
+FY2001 is the current year, FY1994 (the first year of the data) to FY2000
+the past.  Every query reads the whole tables; scenario
 variants (codes missing for one region's extract, a past file written
 mid-year, a past product file still split by sales rep) are derived from
 the data by ordinary predicates, never by sampling or capping rows.
@@ -9,29 +9,32 @@ the data by ordinary predicates, never by sampling or capping rows.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exprs import truncate_long
-from ..functions.naming import REFERENCE_DETAIL_METRICS, REFERENCE_KEY_NAMES, from_reference
+from ..functions.naming import (
+    LEGACY_CUSTOMER_RENAMES, LEGACY_PRODUCT_RENAMES, REFERENCE_DETAIL_METRICS, REFERENCE_KEY_NAMES, from_reference, to_reference,
+)
 from ..operators import enrich, merge, rank, reconcile, shape, summarise
-from ..session import materialize, shared_dir, tune_for_wide_plans
+from ..session import materialize, prepare, scratch_path
 from ..sources import readers, writers
-from ..sources.fixtures import corp_master, detail_view
+from ..sources.fixtures import corp_master, detail_view, table
 from . import jobs
 from .spec import ANNUAL, CORP, CUSTOMER, CUSTOMER_PRODUCT, LEVELS, QUARTER, REP_NAME, FiscalSpec, LevelSpec
 
 CUR_FY = 2001
-FIRST_PAST = 1995
+FIRST_PAST = 1994             # first fiscal year of the data (orders from 1995-01-01 on)
 FISCAL = FiscalSpec(current_fy=CUR_FY, start_year=FIRST_PAST)
 PRELIM_END = "2000-10-01"      # first half of FY2000: a preliminary figure
 ASOF_CUT = "2001-06-01"        # past file written before FY2001 was complete
 OFFICE_ORDER = ("EUROPE", "ASIA", "AMERICA", "AFRICA")  # MIDDLE EAST unlisted
 MASKED_REGION = "AFRICA"       # extract without codes for this region
 TOP = 10
+LOST_YEAR = 1999               # year that the faulty merge of recon_absolute_faults loses
+NAME_GROUPS = 400              # customers share so many names in backfill_customer_ambiguous
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -134,7 +137,7 @@ def q_summary_grouping_sets(spark, d):
 
 
 def q_summarise_partitioned(spark, d):
-    out = f"{shared_dir(spark)}/rankloom-summary-{uuid.uuid4().hex}"
+    out = scratch_path(spark, "summary")
     levels = jobs.run_summarise(cur_detail(spark, d), FISCAL, out)
     return typed(levels["customer_product"])
 
@@ -170,12 +173,23 @@ def q_merge_long_pivot(spark, d):
     return typed(summarise.summarise_wide(det, CUSTOMER, FISCAL, FISCAL.years_desc()))
 
 
+def with_legacy_names(past: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Reference-named past tables as older files have them: customer and
+    product level under their legacy column names."""
+    back = lambda names: {v: k for k, v in names.items()}
+    out = {k: to_reference(v, FISCAL) for k, v in past.items()}
+    out["customer"] = out["customer"].withColumnsRenamed(back(LEGACY_CUSTOMER_RENAMES))
+    out["customer_product"] = out["customer_product"].withColumnsRenamed(back(LEGACY_PRODUCT_RENAMES))
+    return out
+
+
 def q_legacy_rename(spark, d):
-    cust = past_level(spark, d, CUSTOMER).withColumnsRenamed({"cust_code": "client_code", "cust_name": "client_name"})
-    prod = past_level(spark, d, CUSTOMER_PRODUCT).withColumnsRenamed({"cust_name": "customer"})
-    cust, prod = readers.rename_legacy_coupled(cust, prod)
+    old = with_legacy_names({"customer": past_level(spark, d, CUSTOMER), "customer_product": past_level(spark, d, CUSTOMER_PRODUCT)})
+    cust, prod = readers.rename_legacy_coupled(old["customer"], old["customer_product"])
     wanted = ["cust_code", "cust_name", "no_such_column"] + FISCAL.past_year_columns()
-    return typed(summarise.safe_select(cust, wanted))
+    cust, prod = from_reference(cust, FISCAL), from_reference(prod, FISCAL)
+    return typed(summarise.safe_select(cust, wanted)).withColumn("level", F.lit("customer")).unionByName(
+        typed(prod).withColumn("level", F.lit("customer_product")), allowMissingColumns=True)
 
 
 def q_missing_years(spark, d):
@@ -240,8 +254,27 @@ def q_finalise_metrics(spark, d):
 
 
 def q_zero_row_filter(spark, d):
-    tune_for_wide_plans(spark)
-    return shape.drop_zero_rows(_finalised_customer(spark, d), FISCAL)
+    """All customers of the table, with the current year where they have
+    one: those without it have only zeros and go."""
+    everyone = table(spark, d, "customer").select(
+        F.col("c_custkey").cast("string").alias("cust_code"), F.col("c_name").alias("cust_name"))
+    m = everyone.join(cur_level(spark, d, CUSTOMER), list(CUSTOMER.keys), "left")
+    return shape.drop_zero_rows(shape.finalise_metrics(m, FISCAL, "double"), FISCAL)
+
+
+def q_backfill_ambiguous(code: str, name: str, level: LevelSpec, new_name, how: str):
+    """Names that stand for several codes: 'min' takes one, 'fanout' gives a
+    row for each."""
+
+    def q(spark, d):
+        named = lambda det: det.withColumn(name, new_name())
+        det = named(cur_detail(spark, d)).withColumn(
+            code, F.when(F.col("office") == MASKED_REGION, F.lit(None)).otherwise(F.col(code)))
+        cur = summarise.summarise_level(det, LevelSpec("x", (code, name)), FISCAL)
+        past = summarise.summarise_wide(named(past_detail(spark, d)), LevelSpec(level.name, (code, name)), FISCAL)
+        return typed(enrich.backfill_code(cur, past, code, name, on_ambiguous=how))
+
+    return q
 
 
 def q_rank_top(level):
@@ -257,6 +290,11 @@ def q_rank_fallback(spark, d):
     return typed(rank.top_n(m, rank.rank_order(m, CUSTOMER, FISCAL, ANNUAL), TOP))
 
 
+def q_rank_product_fallback(spark, d):
+    m = merged(spark, d, CUSTOMER_PRODUCT).drop(FISCAL.sales_col)
+    return typed(rank.top_n(m, rank.rank_order(m, CUSTOMER_PRODUCT, FISCAL, ANNUAL), TOP))
+
+
 def q_rank_custom_office(spark, d):
     pol = QUARTER.with_(office_order=OFFICE_ORDER)
     m = merged(spark, d, CUSTOMER_PRODUCT, pol)
@@ -268,13 +306,18 @@ def _merged_all(spark, d, policy=ANNUAL) -> dict[str, DataFrame]:
 
 
 def q_totals_by_level_year(spark, d):
-    return reconcile.level_totals(_merged_all(spark, d), FISCAL, rule="each")
+    return reconcile.as_double(reconcile.level_totals(_merged_all(spark, d), FISCAL, rule="each"))
+
+
+def q_totals_text(spark, d):
+    totals = reconcile.level_totals(cur_all(spark, d), FISCAL, ("sales", "profit"), rule="each")
+    return reconcile.totals_text(totals)
 
 
 def q_totals_precedence(spark, d):
     c = reconcile.level_totals({"customer": cur_customer_with_prelim(spark, d)}, FISCAL, rule="each")
     p = reconcile.level_totals({"customer": past_level(spark, d, CUSTOMER)}, FISCAL, rule="each")
-    return reconcile.totals_precedence(c, p)
+    return reconcile.as_double(reconcile.totals_precedence(c, p))
 
 
 def _absolute_parts(spark, d):
@@ -288,11 +331,24 @@ def _absolute_parts(spark, d):
 
 def q_recon_absolute(spark, d):
     before, after = _absolute_parts(spark, d)
-    return reconcile.compare_absolute(before, after)
+    return reconcile.as_double(reconcile.compare_absolute(before, after))
+
+
+def q_recon_absolute_faults(spark, d):
+    """A merge that went wrong: FY1999 is lost, FY1998 misses the urgent
+    orders, FY1997 those of one customer."""
+    specs = tuple(LevelSpec(lv.name, lv.columns) for lv in LEVELS)
+    det = past_detail(spark, d)
+    kept = det.where(~((F.col("fy") == LOST_YEAR - 1) & (F.col("rep_name") == "1-URGENT"))
+                     & ~((F.col("fy") == LOST_YEAR - 2) & (F.col("cust_code") == "10")))
+    after = summarise.summarise_wide_levels(kept, specs, FISCAL, combined_hook=materialize)
+    after = {k: v.drop(*FISCAL.year_columns(LOST_YEAR)) for k, v in after.items()}
+    totals = lambda t: reconcile.level_totals(t, FISCAL, ("sales",), rule="all_levels")
+    return reconcile.as_double(reconcile.compare_absolute(totals(past_all(spark, d, materialized=True)), totals(after)))
 
 
 def q_recon_cross_level(spark, d):
-    return reconcile.cross_level(reconcile.level_totals(_merged_all(spark, d), FISCAL, rule="each"))
+    return reconcile.as_double(reconcile.cross_level(reconcile.level_totals(_merged_all(spark, d), FISCAL, rule="each")))
 
 
 def q_recon_verdict(spark, d):
@@ -305,7 +361,7 @@ def q_premerge_conflicts(spark, d):
     past = summarise.summarise_wide(det, LevelSpec("corp", CORP.columns), FISCAL, FISCAL.years_desc())
     c = reconcile.level_totals({"corp": cur_level(spark, d, CORP)}, FISCAL, ("sales",), rule="each")
     p = reconcile.level_totals({"corp": past}, FISCAL, ("sales",), rule="each")
-    return reconcile.premerge_conflicts(c, p)
+    return reconcile.as_double(reconcile.premerge_conflicts(c, p))
 
 
 def _quarter_inputs_by_rep(spark, d):
@@ -326,7 +382,7 @@ def q_recon_relative(spark, d):
         reconcile.level_totals(cur, FISCAL, rule="corp"), reconcile.level_totals(past, FISCAL, rule="corp")
     )
     after = reconcile.level_totals(merge.merge_levels(cur, past, LEVELS, FISCAL, QUARTER), FISCAL, rule="each")
-    return reconcile.compare_relative(before, after, checkpoint="merge")
+    return reconcile.as_double(reconcile.compare_relative(before, after, checkpoint="merge"))
 
 
 def _merged_years(spark, d, policy, materialized: bool = False):
@@ -335,7 +391,7 @@ def _merged_years(spark, d, policy, materialized: bool = False):
 
 
 def q_checkpoint_report(spark, d):
-    return _merged_years(spark, d, QUARTER, materialized=True).checkpoints
+    return reconcile.as_double(_merged_years(spark, d, QUARTER, materialized=True).checkpoints)
 
 
 def q_key_overlap(spark, d):
@@ -357,10 +413,9 @@ def q_export_ready(spark, d):
 def q_csv_cp932_roundtrip(spark, d):
     """Detail rows written as a reference-shaped cp932 CSV, read back with the
     detail reader and summarised (metrics as exact decimals after the read)."""
-    out = f"{shared_dir(spark)}/rankloom-csv-{uuid.uuid4().hex}"
+    out = scratch_path(spark, "csv")
     det = cur_detail(spark, d).select(*CUSTOMER.keys, "qty", "area", "sales", "profit")
     names = {**REFERENCE_KEY_NAMES, **REFERENCE_DETAIL_METRICS}
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")  # windows-31j writer
     det.withColumnsRenamed({c: names[c] for c in det.columns}).write.option("header", True).option(
         "encoding", "windows-31j"
     ).csv(out)
@@ -369,70 +424,151 @@ def q_csv_cp932_roundtrip(spark, d):
     return typed(summarise.summarise_level(back, CUSTOMER, FISCAL))
 
 
+def q_detail_projected(spark, d):
+    """R-2: a projected read of the CSV, then the corp summary."""
+    out = scratch_path(spark, "csv")
+    names = {**REFERENCE_KEY_NAMES, **REFERENCE_DETAIL_METRICS}
+    det = cur_detail(spark, d).select("corp_code", "office", "qty", "area", "sales", "profit")
+    det.withColumnsRenamed({c: names[c] for c in det.columns}).write.option("header", True).csv(out)
+    back = readers.read_detail_csv(spark, out, encoding="UTF-8", required=True, metric_type="decimal(20,4)",
+                                   usecols=["corp_code", "sales", "no_such_column"])
+    return summarise.summarise_level(back, CORP, FISCAL)
+
+
+def q_master_missing_lenient(spark, d):
+    """R-4: the quarter job without a master keeps the names of the past."""
+    master = readers.read_master_csv(spark, f"{d.rstrip('/')}/no_such_master.csv", required=False)
+    m = merge.merge_level(cur_level(spark, d, CORP), past_level(spark, d, CORP), CORP, FISCAL, QUARTER)
+    return typed(enrich.master_join(m, master))
+
+
 def q_parquet_roundtrip(spark, d):
-    base = f"{shared_dir(spark)}/rankloom-pq-{uuid.uuid4().hex}"
-    paths = writers.level_paths(base, "annual", "summary", reference_names=True)
-    writers.write_levels(cur_all(spark, d), paths, FISCAL, reference_names=True)
+    """All level tables written and read back, as (level, rows, sales, profit)."""
+    paths = writers.level_paths(scratch_path(spark, "pq"), "annual", "summary", reference_names=True)
+    writers.write_levels(cur_all(spark, d, materialized=True), paths, FISCAL, reference_names=True)
     back = readers.read_levels(spark, paths, required=True)
-    return typed(from_reference(back["customer"], FISCAL))
+    return _union([_level_summary(lv, from_reference(t, FISCAL)) for lv, t in back.items()])
 
 
-def q_availability_policy(spark, d):
-    base = f"{shared_dir(spark)}/rankloom-avail-{uuid.uuid4().hex}"
-    paths = writers.level_paths(base, "annual", "result")
-    cur = cur_all(spark, d)
-    writers.write_levels({k: cur[k] for k in ("corp", "customer")}, paths)
-    present, _ = writers.available_levels(spark, paths, policy="available")
-    parts = [spark.read.parquet(paths[lv]).groupBy().count().select(F.lit(lv).alias("level"), F.col("count").alias("rows")) for lv in present]
+def _level_summary(level: str, t: DataFrame) -> DataFrame:
+    return t.agg(F.lit(level).alias("level"), F.count(F.lit(1)).alias("rows"), *[
+        F.sum(F.col(FISCAL.col(m, CUR_FY)).cast("long")).alias(m) for m in ("sales", "profit")])
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
+        out = out.unionByName(p, allowMissingColumns=True)
     return out
 
 
+def q_availability_policy(spark, d):
+    """W-7 / W-8 with one of three level tables missing: best effort takes
+    the others, all-or-nothing names the missing one and stops."""
+    paths = writers.level_paths(scratch_path(spark, "avail"), "annual", "result")
+    cur = cur_all(spark, d, materialized=True)
+    writers.write_levels({k: cur[k] for k in ("corp", "customer")}, paths)
+    present, _ = writers.available_levels(spark, paths, policy="available")
+    try:
+        writers.available_levels(spark, paths, policy="all")
+        stopped = False
+    except FileNotFoundError as e:
+        stopped = str(e) == paths["customer_product"]
+    return _union([_level_summary(lv, spark.read.parquet(paths[lv])).withColumn("all_stops", F.lit(stopped)) for lv in present])
+
+
 def q_export_csv_roundtrip(spark, d):
     """C-4: result tables written as parquet, exported per level as ordered
     CSV (availability 'available', numeric nulls -> 0), read back."""
-    base = f"{shared_dir(spark)}/rankloom-export-{uuid.uuid4().hex}"
+    base = scratch_path(spark, "export")
     paths = writers.level_paths(base, "annual", "result")
-    cur = cur_all(spark, d)
-    writers.write_levels({"customer": cur["customer"]}, paths)
-    done = jobs.export_levels(spark, paths, f"{base}/csv", policy="available", on_null="zero")
-    back = spark.read.option("header", True).csv(f"{base}/csv/{done[0]}")
-    return typed(back)
+    writers.write_levels({"customer": cur_level(spark, d, CUSTOMER)}, paths)
+    done = jobs.export_levels(spark, paths, f"{base}/csv", FISCAL, ANNUAL, availability="available")
+    return typed(writers.read_export(spark, f"{base}/csv/{done[0]}").drop("position"))
+
+
+def q_export_rank_order(spark, d):
+    """W-5, W-6: each exported row with its place in the part files."""
+    base = scratch_path(spark, "order")
+    paths = {lv: p for lv, p in writers.level_paths(base, "annual", "result").items() if lv != "corp"}
+    tables = {lv.name: shape.fill_column(merged(spark, d, lv), FISCAL.sales_col, 0) for lv in LEVELS if lv.name in paths}
+    writers.write_levels({k: typed(t) for k, t in tables.items()}, paths)
+    jobs.export_levels(spark, paths, f"{base}/csv", FISCAL, ANNUAL)
+    keys = {"customer": CUSTOMER.keys, "customer_product": CUSTOMER_PRODUCT.keys}
+    return _union([
+        writers.read_export(spark, f"{base}/csv/{lv}").select(
+            F.lit(lv).alias("level"), F.col("position").cast("long"), *keys[lv],
+            F.col(FISCAL.sales_col).cast("long").alias(FISCAL.sales_col))
+        for lv in paths])
 
 
 def q_merge_observed_totals(spark, d):
     """C-2 end to end: the three ranked tables are written once and their
     totals and row counts are observed during the same write jobs."""
-    base = f"{shared_dir(spark)}/rankloom-merge-{uuid.uuid4().hex}"
-    paths = writers.level_paths(base, "annual", "result")
-    _tables, totals = jobs.run_merge_years(cur_all(spark, d), past_all(spark, d), corp_master(spark, d), FISCAL, ANNUAL, paths)
-    return totals
+    return reconcile.as_double(_job_run(spark, d, ANNUAL, past_all(spark, d, materialized=True)).totals)
+
+
+def _job_run(spark, d, policy, past) -> jobs.MergeRun:
+    paths = writers.level_paths(scratch_path(spark, "merge"), policy.name, "result")
+    return jobs.run_merge_years(cur_all(spark, d, materialized=True), past, corp_master(spark, d), FISCAL, policy, paths)
+
+
+def q_annual_job_report(spark, d):
+    """What the written annual job reports: the comparison with its inputs,
+    with the verdict and the checks around it on every row."""
+    run = _job_run(spark, d, ANNUAL, past_all(spark, d, materialized=True))
+    return reconcile.as_double(run.report).crossJoin(F.broadcast(run.verdict)).crossJoin(F.broadcast(run.overlap)).withColumn(
+        "null_names", F.lit(run.null_names).cast("long")).withColumn("n_advice", F.lit(len(run.advice)))
+
+
+def q_quarter_job_report(spark, d):
+    """The same for the quarter, with a past that is still split by sales
+    rep, so that current figures are counted more than once."""
+    cur, past = _quarter_inputs_by_rep(spark, d)
+    paths = writers.level_paths(scratch_path(spark, "merge"), "quarter", "result")
+    run = jobs.run_merge_years(cur, past, corp_master(spark, d), FISCAL, QUARTER, paths)
+    return reconcile.as_double(run.report).crossJoin(F.broadcast(run.overlap)).withColumn(
+        "null_names", F.lit(run.null_names).cast("long")).withColumn("n_advice", F.lit(len(run.advice)))
+
+
+def _reference_files(spark, d, policy, legacy: bool) -> tuple[str, dict[str, str]]:
+    """The original job's inputs, derived from the given tables: FY2001
+    detail as a cp932 CSV with Japanese headers, the past tables as
+    reference-named parquet, the master as a cp932 CSV."""
+    base = scratch_path(spark, "ref")
+    names = {**REFERENCE_KEY_NAMES, **REFERENCE_DETAIL_METRICS}
+    det = cur_detail(spark, d).select(*CUSTOMER_PRODUCT.keys, "corp_code", "qty", "area", "sales", "profit")
+    det.withColumnsRenamed({c: names[c] for c in det.columns}).write.option("header", True).option(
+        "encoding", "windows-31j"
+    ).csv(f"{base}/detail")
+    corp_master(spark, d).withColumnsRenamed({c: names[c] for c in ("corp_code", "corp_name")}).write.option(
+        "header", True
+    ).option("encoding", "windows-31j").csv(f"{base}/master")
+    past_paths = writers.level_paths(f"{base}/past", policy.name, "past", reference_names=True)
+    past = past_all(spark, d, materialized=True)
+    writers.write_levels(with_legacy_names(past) if legacy else {k: to_reference(v, FISCAL) for k, v in past.items()}, past_paths)
+    return base, past_paths
+
+
+def _reference_run(spark, d, policy, legacy: bool) -> dict[str, DataFrame]:
+    base, past_paths = _reference_files(spark, d, policy, legacy)
+    out = jobs.run_reference_job(
+        spark, f"{base}/detail", past_paths, f"{base}/master", f"{base}/out", FISCAL, policy, metric_type="decimal(20,4)")
+    return {lv: from_reference(spark.read.parquet(p), FISCAL) for lv, p in out["result"].items()}
 
 
 def q_reference_job(level: str):
-    """The three original stages on reference-shaped files derived from the
-    given tables: FY2001 detail as a cp932 CSV with Japanese headers, the
-    past tables as reference-named parquet, the master as a cp932 CSV."""
+    """One result table of the three original stages on their own files."""
+    return lambda spark, d: typed(_reference_run(spark, d, ANNUAL, legacy=False)[level])
+
+
+def q_reference_job_legacy(policy):
+    """All three result tables, from past files with legacy column names."""
 
     def q(spark, d):
-        base = f"{shared_dir(spark)}/rankloom-ref-{uuid.uuid4().hex}"
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-        names = {**REFERENCE_KEY_NAMES, **REFERENCE_DETAIL_METRICS}
-        det = cur_detail(spark, d).select(*CUSTOMER_PRODUCT.keys, "corp_code", "qty", "area", "sales", "profit")
-        det.withColumnsRenamed({c: names[c] for c in det.columns}).write.option("header", True).option(
-            "encoding", "windows-31j"
-        ).csv(f"{base}/detail")
-        corp_master(spark, d).withColumnsRenamed({c: names[c] for c in ("corp_code", "corp_name")}).write.option(
-            "header", True
-        ).option("encoding", "windows-31j").csv(f"{base}/master")
-        past_paths = writers.level_paths(f"{base}/past", "annual", "summary", reference_names=True)
-        writers.write_levels(past_all(spark, d), past_paths, FISCAL, reference_names=True)
-        out = jobs.run_reference_job(
-            spark, f"{base}/detail", past_paths, f"{base}/master", f"{base}/out", FISCAL, ANNUAL, metric_type="decimal(20,4)"
-        )
-        return typed(from_reference(spark.read.parquet(out["result"][level]), FISCAL))
+        tables = _reference_run(spark, d, policy, legacy=True)
+        fixed = typed if policy.name == "annual" else (lambda t: t)
+        return _union([fixed(t).withColumn("level", F.lit(lv)) for lv, t in tables.items()])
 
     return q
 
@@ -450,7 +586,16 @@ def q_ranking(policy, level):
     return q
 
 
+def prepared(query: Query) -> Query:
+    """The query on a session with the job's settings, whatever ran before."""
+    return lambda spark, d: query(prepare(spark), d)
+
+
 def queries() -> dict[str, Query]:
+    return {name: prepared(query) for name, query in _queries().items()}
+
+
+def _queries() -> dict[str, Query]:
     return {
         "summary_corp": q_summary(CORP),
         "summary_customer": q_summary(CUSTOMER),
@@ -475,6 +620,11 @@ def queries() -> dict[str, Query]:
         "product_reaggregate_rep_key": q_product_reaggregate(None, ANNUAL),
         "backfill_corp_code": q_backfill_corp_code,
         "backfill_customer_fanout": q_backfill_customer_fanout,
+        "backfill_corp_ambiguous": q_backfill_ambiguous("corp_code", "corp_name", CORP, lambda: F.col("office"), "min"),
+        "backfill_customer_ambiguous": q_backfill_ambiguous(
+            "cust_code", "cust_name", CUSTOMER,
+            lambda: F.concat(F.lit("group "), (F.regexp_extract("cust_name", r"(\d+)$", 1).cast("long") % NAME_GROUPS).cast("string")),
+            "fanout"),
         "dedupe_subset": q_dedupe_subset,
         "reorder_filter": q_reorder_filter,
         "reorder_generated": q_reorder_generated,
@@ -484,10 +634,13 @@ def queries() -> dict[str, Query]:
         "rank_customer_top": q_rank_top(CUSTOMER),
         "rank_product_top": q_rank_top(CUSTOMER_PRODUCT),
         "rank_fallback": q_rank_fallback,
+        "rank_product_fallback": q_rank_product_fallback,
         "rank_custom_office": q_rank_custom_office,
         "totals_by_level_year": q_totals_by_level_year,
         "totals_precedence": q_totals_precedence,
+        "totals_text": q_totals_text,
         "recon_absolute": q_recon_absolute,
+        "recon_absolute_faults": q_recon_absolute_faults,
         "recon_cross_level": q_recon_cross_level,
         "recon_verdict": q_recon_verdict,
         "premerge_conflicts": q_premerge_conflicts,
@@ -498,16 +651,23 @@ def queries() -> dict[str, Query]:
         "table_profile": q_table_profile,
         "export_ready": q_export_ready,
         "csv_cp932_roundtrip": q_csv_cp932_roundtrip,
+        "detail_projected": q_detail_projected,
+        "master_missing_lenient": q_master_missing_lenient,
         "parquet_roundtrip": q_parquet_roundtrip,
         "availability_policy": q_availability_policy,
         "export_csv_roundtrip": q_export_csv_roundtrip,
+        "export_rank_order": q_export_rank_order,
         "merge_observed_totals": q_merge_observed_totals,
+        "annual_job_report": q_annual_job_report,
+        "quarter_job_report": q_quarter_job_report,
         "reference_job_corp": q_reference_job("corp"),
         "reference_job_product": q_reference_job("customer_product"),
-        "annual_ranking_corp": q_ranking(ANNUAL, "corp"),
-        "annual_ranking_customer": q_ranking(ANNUAL, "customer"),
-        "annual_ranking_product": q_ranking(ANNUAL, "customer_product"),
-        "quarter_ranking_corp": q_ranking(QUARTER, "corp"),
-        "quarter_ranking_customer": q_ranking(QUARTER, "customer"),
-        "quarter_ranking_product": q_ranking(QUARTER, "customer_product"),
+        "reference_job_legacy_annual": q_reference_job_legacy(ANNUAL),
+        "reference_job_legacy_quarter": q_reference_job_legacy(QUARTER),
+        "annual_corp_rank": q_ranking(ANNUAL, "corp"),
+        "annual_customer_rank": q_ranking(ANNUAL, "customer"),
+        "annual_product_rank": q_ranking(ANNUAL, "customer_product"),
+        "quarter_corp_rank": q_ranking(QUARTER, "corp"),
+        "quarter_customer_rank": q_ranking(QUARTER, "customer"),
+        "quarter_product_rank": q_ranking(QUARTER, "customer_product"),
     }

@@ -5,11 +5,14 @@ small reconciliation tables is ever collected."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ..functions.naming import to_reference
-from ..session import tune_for_wide_plans
+from ..functions.naming import from_reference, to_reference
+from ..session import materialize, prepare, release, scratch_path
 from ..operators import enrich, merge, rank, reconcile, shape, summarise
 from ..sources import readers, writers
 from .spec import LEVELS, FiscalSpec, LevelSpec, MergePolicy
@@ -40,10 +43,11 @@ def summarise_to_files(
     (GROUPING SETS), the small combined result is written once to the shared
     folder, and each level file is a filtered copy of it -- not one scan of
     the detail per level."""
-    from ..session import materialize
-
-    combined = materialize(summarise_stage(detail, fiscal, levels))
+    spark = detail.sparkSession
+    scratch = scratch_path(spark, "summary")
+    combined = materialize(summarise_stage(detail, fiscal, levels), scratch)
     writers.write_levels(summarise.split_levels(combined, levels), paths, fiscal, reference_names=reference_names)
+    release(spark, scratch)
 
 
 class MergeResult:
@@ -86,25 +90,15 @@ def merge_years(
     fiscal: FiscalSpec,
     policy: MergePolicy,
     levels: tuple[LevelSpec, ...] = LEVELS,
-    reference_past_names: bool = False,
 ) -> MergeResult:
-    """C-2 (policy ANNUAL) and C-3 (policy QUARTER) as one function."""
+    """C-2 (policy ANNUAL) and C-3 (policy QUARTER) as one function; the past
+    tables have English names (``readers.read_past`` renames legacy ones)."""
     names = [lv.name for lv in levels]
     by_name = {lv.name: lv for lv in levels}
-    tune_for_wide_plans(next(iter(cur.values())).sparkSession)
     if master is None and policy.missing_master == "error":
         raise FileNotFoundError("corporation master is required by this policy")
 
-    # legacy renames
-    p = dict(past)
-    if "customer" in p and "customer_product" in p:
-        if policy.name == "annual":
-            p["customer"], p["customer_product"] = readers.rename_legacy_coupled(p["customer"], p["customer_product"], reference_past_names)
-        else:
-            p["customer"] = readers.rename_legacy(p["customer"], {"client_code": "cust_code", "client_name": "cust_name"})
-            p["customer_product"] = readers.rename_legacy(p["customer_product"], {"customer": "cust_name"})
-
-    merged = merge.merge_levels(cur, p, levels, fiscal, policy)
+    merged = merge.merge_levels(cur, past, levels, fiscal, policy)
     if "corp" in merged:
         merged["corp"] = enrich.master_join(merged["corp"], master)
 
@@ -126,10 +120,10 @@ def merge_years(
     sales_everywhere = all(fiscal.sales_col in out[n].columns for n in ("corp", "customer") if n in out)
     for n in names:
         order = rank.rank_order(out[n], by_name[n], fiscal, policy, sales_present=None if policy.name == "annual" else sales_everywhere)
-        out[n] = out[n].orderBy(*order)
+        out[n] = rank.ordered(out[n], order)
 
     def reports():
-        # totals before the merge (past totals are taken before legacy renames)
+        # totals before the merge
         cur_totals = reconcile.level_totals(cur, fiscal, rule="corp")
         if policy.severity == "absolute":
             past_totals = reconcile.level_totals(past, fiscal, ("sales",), rule="all_levels")
@@ -142,8 +136,8 @@ def merge_years(
         final_totals = reconcile.level_totals(out, fiscal, _totals_metrics(policy), rule=rule)
         report = verdict = None
         if policy.severity == "absolute":
-            if before is not None and final_totals is not None:
-                report = reconcile.compare_absolute(before, final_totals)
+            if final_totals is not None:
+                report = None if before is None else reconcile.compare_absolute(before, final_totals)
                 verdict = reconcile.verdict(report, reconcile.cross_level(final_totals))
         elif before is not None and merged_totals is not None and final_totals is not None:
             report = reconcile.compare_relative(before, merged_totals, checkpoint="merge").unionByName(
@@ -156,6 +150,50 @@ def merge_years(
     return MergeResult(out, reports)
 
 
+@dataclass
+class MergeRun:
+    """What a written merge returns.  ``tables`` are read back and therefore
+    unordered (the part files are in rank order; a reader's partitions need
+    not be).  The rest are small tables made from totals: ``totals`` of what
+    was written, ``report`` and ``verdict`` of the comparison with the
+    inputs, totals at each of the ``checkpoints``, ``conflicts`` found before
+    the merge with ``advice``, ``overlap`` of the corp codes and the number
+    of rows without a corp name after the master."""
+
+    tables: dict[str, DataFrame]
+    totals: DataFrame
+    report: DataFrame | None
+    verdict: DataFrame | None
+    checkpoints: DataFrame
+    conflicts: DataFrame | None
+    advice: list[str]
+    overlap: DataFrame | None
+    null_names: int
+
+    def lines(self) -> list[str]:
+        """The findings as text; every table here has a row per level, year
+        and metric at most."""
+        out = [f"advice: {a}" for a in self.advice]
+        if self.overlap is not None:
+            o = self.overlap.head()
+            out.append(f"corp codes: {o['only_current']:,} current only, {o['only_past']:,} past only, {o['both']:,} in both")
+        if self.null_names:
+            out.append(f"{self.null_names:,} rows without a corp name")
+        out += [f"{r['level']} {r['fy']} {r['metric']}: {r['text']}" for r in reconcile.totals_text(self.totals).collect()]
+        if self.report is not None:
+            out += [f"{r['level']} {r['fy']} {r['metric']}: {r['before']} -> {r['after']} {r['severity'] or ''}".rstrip()
+                    for r in self.report.collect() if r["before"] != r["after"]]
+        if self.verdict is not None:
+            out.append("verdict: " + ", ".join(f"{k} {v}" for k, v in self.verdict.head().asDict().items()))
+        return out
+
+
+def _held(totals: DataFrame | None) -> DataFrame | None:
+    """A totals table as literal rows (levels x years x metrics at most), so
+    that the reports built on it do not aggregate their inputs again."""
+    return None if totals is None else totals.sparkSession.createDataFrame(totals.collect(), totals.schema)
+
+
 def run_merge_years(
     cur: dict[str, DataFrame],
     past: dict[str, DataFrame | None],
@@ -165,31 +203,51 @@ def run_merge_years(
     paths: dict[str, str],
     levels: tuple[LevelSpec, ...] = LEVELS,
     reference_names: bool = False,
-) -> tuple[dict[str, DataFrame], DataFrame]:
-    """C-2 / C-3 end to end: write each ranked level table once (W-2/W-3)
-    and collect its row count and column totals with ``observe`` during the
-    same write job (A-7, A-12) -- the report never recomputes the merge.
-
-    Returns the written tables (read back) and the final totals as a tidy
-    ``(level, fy, metric, total, rows)`` table built from the observed
-    values (a few numbers per level)."""
+) -> MergeRun:
+    """C-2 / C-3 end to end: check the inputs, write each ranked level table
+    once (W-2/W-3), collect its row count and column totals with ``observe``
+    during the same write job (A-7, A-12), and compare them with the totals
+    of the inputs -- the report never recomputes the merge."""
+    absolute = policy.severity == "absolute"
+    metrics = _totals_metrics(policy)
+    cur_totals = _held(reconcile.level_totals(cur, fiscal, rule="corp"))
+    past_totals = _held(reconcile.level_totals(past, fiscal, metrics, rule="all_levels" if absolute else "corp"))
+    past_is_empty = all(p is None for p in past.values())
+    conflicts = None if cur_totals is None or past_totals is None else reconcile.premerge_conflicts(cur_totals, past_totals)
+    advice = reconcile.premerge_advice(0 if conflicts is None else conflicts.count(), past_is_empty)
+    overlap = None
+    if cur.get("corp") is not None and past.get("corp") is not None:
+        overlap = reconcile.key_overlap(cur["corp"], past["corp"], "corp_code")
+
     result = merge_years(cur, past, master, fiscal, policy, levels)
     spark = next(iter(cur.values())).sparkSession
-    rows = []
+    rows, null_names = [], 0
     for lv in levels:
         df = result.tables[lv.name]
         cols = [c for c in fiscal.all_year_columns() if c in df.columns]
-        observed, obs = reconcile.observe_totals(df, lv.name, cols)
+        observed, obs = reconcile.observe_totals(df, lv.name, cols, "corp_name" if lv.name == "corp" else None)
         if reference_names:
             observed = to_reference(observed, fiscal)
         observed.write.mode("overwrite").option("compression", "snappy").parquet(paths[lv.name])
         got = obs.get
         info = fiscal.metric_of()
+        null_names += int(got["null_names"] or 0)
         for c in cols:
             v = got.get(c)
-            rows.append((lv.name, info[c][1], info[c][0].name, None if v is None else float(v), int(got["rows"])))
-    totals = spark.createDataFrame(rows, "level string, fy int, metric string, total double, rows long")
-    return {lv.name: spark.read.parquet(paths[lv.name]) for lv in levels}, totals
+            rows.append((lv.name, info[c][1], info[c][0].name, None if v is None else Decimal(str(v)), int(got["rows"])))
+    written = spark.createDataFrame(rows, f"level string, fy int, metric string, total {reconcile.EXACT}, rows long")
+    final = written.drop("rows")
+    if absolute:
+        final = final.filter(F.col("metric").isin(*metrics))
+        report = None if past_totals is None else reconcile.compare_absolute(past_totals, final)
+        verdict = reconcile.verdict(report, reconcile.cross_level(final))
+    else:
+        before = reconcile.totals_precedence(cur_totals, past_totals)
+        report = None if before is None else reconcile.compare_relative(before, final, checkpoint="final")
+        verdict = None
+    marks = reconcile.checkpoint_report({"current": cur_totals, "past": past_totals, "final": written.drop("rows")})
+    tables = {lv.name: spark.read.parquet(paths[lv.name]) for lv in levels}
+    return MergeRun(tables, written, report, verdict, marks, conflicts, advice, overlap, null_names)
 
 
 def run_reference_job(
@@ -215,41 +273,58 @@ def run_reference_job(
 
     Missing detail -> nothing is done (as in the original); missing past or
     master follow ``policy``.  Returns paths, totals and the export list."""
-    from ..functions.naming import from_reference
-    from ..sources.writers import level_paths
-
+    prepare(spark)
     detail = readers.read_detail_csv(spark, detail_csv, required=False, metric_type=metric_type)
     if detail is None:
         return {"status": "no detail"}
-    summary_paths = level_paths(f"{out_dir}/summary", policy.name, "summary", reference_names=True)
+    summary_paths = writers.level_paths(f"{out_dir}/summary", policy.name, "summary", reference_names=True)
     summarise_to_files(detail, fiscal, summary_paths, levels)
     cur = {lv.name: spark.read.parquet(summary_paths[lv.name]).transform(lambda d: from_reference(d, fiscal)) for lv in levels}
-
-    past = readers.read_levels(spark, past_paths, required=policy.missing_past == "error", levels=levels)
-    past = {k: (None if v is None else from_reference(v, fiscal)) for k, v in past.items()}
+    past = readers.read_past(spark, past_paths, fiscal, policy, levels)
     master = readers.read_master_csv(spark, master_csv, required=policy.missing_master == "error")
 
-    result_paths = level_paths(f"{out_dir}/result", policy.name, "result", reference_names=True)
-    tables, totals = run_merge_years(cur, past, master, fiscal, policy, result_paths, levels, reference_names=True)
-    exported = export_levels(spark, result_paths, f"{out_dir}/export", policy="available")
-    return {"status": "ok", "summary": summary_paths, "result": result_paths, "totals": totals, "exported": exported}
+    result_paths = writers.level_paths(f"{out_dir}/result", policy.name, "result", reference_names=True)
+    run = run_merge_years(cur, past, master, fiscal, policy, result_paths, levels, reference_names=True)
+    exported = export_levels(spark, result_paths, f"{out_dir}/export", fiscal, policy,
+                             availability="all" if policy.name == "annual" else "available", levels=levels)
+    return {"status": "ok", "summary": summary_paths, "result": result_paths, "run": run, "totals": run.totals,
+            "exported": exported}
+
+
+#: Export flavours: which levels must be there, and what becomes of nulls and of empty tables.
+EXPORT_FLAVOURS = {
+    "annual": {"availability": "all", "on_null": "zero", "header_if_empty": True},
+    "first_half": {"availability": "available", "on_null": "blank", "header_if_empty": False},
+    "quarter": {"availability": "available", "on_null": "blank", "header_if_empty": True},
+}
 
 
 def export_levels(
     spark,
     paths: dict[str, str],
     out_dir: str,
-    policy: str = "all",
+    fiscal: FiscalSpec,
+    policy: MergePolicy,
+    availability: str = "all",
     on_null: str = "zero",
     header_if_empty: bool = True,
+    levels: tuple[LevelSpec, ...] = LEVELS,
 ) -> list[str]:
     """C-4: availability check (W-7 all-or-nothing / W-8 best effort), read
-    each result table (R-9), fill numeric nulls (P-16) and write one ordered
-    CSV table per level (W-5).  Returns the exported levels."""
-    present, _missing = writers.available_levels(spark, paths, policy)
+    each result table (R-9), put it in rank order again (a read does not keep
+    the order of part files), fill numeric nulls (P-16) and write one CSV
+    table per level (W-5), in files of as many rows as the tier of the
+    table's size says (W-6).  Returns the exported levels."""
+    by_name = {lv.name: lv for lv in levels}
+    present, _missing = writers.available_levels(spark, paths, availability)
     done = []
     for lv in present:
-        df = spark.read.parquet(paths[lv])
-        if writers.export_level(df, f"{out_dir.rstrip('/')}/{lv}", on_null=on_null, header_if_empty=header_if_empty):
+        df = from_reference(spark.read.parquet(paths[lv]), fiscal)
+        named = df.columns != spark.read.parquet(paths[lv]).columns
+        rows = df.count()  # from the file footers
+        df = rank.rank(df, by_name[lv], fiscal, policy)
+        df = to_reference(df, fiscal) if named else df
+        if writers.export_level(df, f"{out_dir.rstrip('/')}/{lv}", on_null=on_null, header_if_empty=header_if_empty,
+                                max_records_per_file=writers.export_chunk_size(rows)):
             done.append(lv)
     return done

@@ -10,7 +10,9 @@ constants so both sides name columns identically.
 from __future__ import annotations
 
 from ..sources.fixtures import DETAIL_SQL
-from .catalog import ASOF_CUT, CUR_FY, FIRST_PAST, MASKED_REGION, OFFICE_ORDER, PRELIM_END, TOP
+from .catalog import ASOF_CUT, CUR_FY, LOST_YEAR, MASKED_REGION, NAME_GROUPS, OFFICE_ORDER, PRELIM_END, TOP
+
+FIRST_PAST = 1994  # stated here on its own: the data's first fiscal year
 
 PAST_YEARS = list(range(CUR_FY - 1, FIRST_PAST - 1, -1))
 ALL_YEARS = [CUR_FY] + PAST_YEARS
@@ -260,7 +262,10 @@ def oracle_sql() -> dict[str, str]:
         ) + out(CUST_K)
     q["merge_empty_past"] = q["summary_customer"]
     q["merge_long_pivot"] = q["merge_customer"]
-    q["legacy_rename"] = q["past_wide_customer"]
+    q["legacy_rename"] = (
+        f"SELECT 'customer' AS level, * FROM ({q['past_wide_customer']}) UNION ALL BY NAME "
+        f"SELECT 'customer_product' AS level, * FROM ({with_(past=wide_sql(PROD_K)) + out(PROD_K, PAST_YCOLS, 'past')})"
+    )
     q["missing_years"] = with_(cur=cur_sql(CUST_K)) + (
         "SELECT cust_code, cust_name, "
         + ", ".join(typed(c) if c in CUR_COLS else typed(c, "NULL") for c in CUR_COLS + PAST_YCOLS)
@@ -296,6 +301,21 @@ def oracle_sql() -> dict[str, str]:
             f"ON c.{name} = mp.{name} AND c.{code} IS NULL AND c.{name} IS NOT NULL",
         ) + out([code, name], CUR_COLS)
 
+    group = f"'group ' || CAST(CAST(regexp_extract(cust_name, '([0-9]+)$', 1) AS BIGINT) % {NAME_GROUPS} AS VARCHAR)"
+    for query, code, name, new in (("backfill_corp_ambiguous", "corp_code", "corp_name", "office"),
+                                   ("backfill_customer_ambiguous", "cust_code", "cust_name", group)):
+        renamed = f"SELECT * REPLACE ({new} AS {name}) FROM detail"
+        masked = f"SELECT * REPLACE (CASE WHEN office = '{MASKED_REGION}' THEN NULL ELSE {code} END AS {code}) FROM rn WHERE fy = {CUR_FY}"
+        pairs = f"SELECT DISTINCT {name}, {code} AS code_fill FROM past WHERE {name} IS NOT NULL AND {code} IS NOT NULL"
+        if code == "corp_code":
+            pairs = f"SELECT {name}, MIN(code_fill) AS code_fill FROM ({pairs}) GROUP BY {name}"
+        q[query] = with_(
+            rn=renamed, md=masked, cur=cur_sql([code, name], where="TRUE", src="md"),
+            past=wide_sql([code, name], src="rn"), mp=pairs,
+            m=f"SELECT COALESCE(c.{code}, mp.code_fill) AS {code}, c.* EXCLUDE ({code}) FROM cur c LEFT JOIN mp "
+            f"ON c.{name} = mp.{name} AND c.{code} IS NULL AND c.{name} IS NOT NULL",
+        ) + out([code, name], CUR_COLS)
+
     q["dedupe_subset"] = with_(
         past=wide_sql(PROD_K + ["rep_name"]),
         m=f"SELECT * FROM past QUALIFY row_number() OVER (PARTITION BY {', '.join(PROD_K)} ORDER BY rep_name) = 1",
@@ -305,7 +325,12 @@ def oracle_sql() -> dict[str, str]:
     fin = [f"CAST(COALESCE({c}, 0) AS DOUBLE) AS {c}" for c in ALL_YCOLS]
     q["finalise_metrics"] = with_(**merged_level_ctes("customer")) + f"SELECT {', '.join(CUST_K + fin)} FROM m"
     nz = " OR ".join(f"COALESCE({c}, 0) <> 0" for c in ALL_YCOLS)
-    q["zero_row_filter"] = q["finalise_metrics"] + f" WHERE {nz}"
+    q["zero_row_filter"] = with_(cur=cur_sql(CUST_K)) + (
+        "SELECT CAST(k.c_custkey AS VARCHAR) AS cust_code, k.c_name AS cust_name, "
+        + ", ".join(f"CAST(COALESCE({c}, 0) AS DOUBLE) AS {c}" for c in CUR_COLS)
+        + " FROM customer k LEFT JOIN cur ON cur.cust_code = CAST(k.c_custkey AS VARCHAR) AND cur.cust_name = k.c_name WHERE "
+        + " OR ".join(f"COALESCE({c}, 0) <> 0" for c in CUR_COLS)
+    )
 
     sc = f"sales_{CUR_FY}"
     for lv, name in (("corp", "rank_corp_top"), ("customer", "rank_customer_top"), ("customer_product", "rank_product_top")):
@@ -320,6 +345,10 @@ def oracle_sql() -> dict[str, str]:
     no_sales = [c for c in ALL_YCOLS if c != sc]
     q["rank_fallback"] = rank_sql("customer", f"sales_{CUR_FY - 1} DESC NULLS FIRST, {tie(CUST_K)}", TOP,
                                   merged_level_ctes("customer"), cols=no_sales)
+    q["rank_product_fallback"] = rank_sql(
+        "customer_product",
+        f"office ASC NULLS FIRST, cust_name ASC NULLS FIRST, category ASC NULLS FIRST, {tie(PROD_K)}",
+        TOP, merged_level_ctes("customer_product"), cols=no_sales)
     q["rank_custom_office"] = rank_sql(
         "customer_product",
         f"{office_ordinal()} ASC NULLS FIRST, cust_name ASC NULLS FIRST, category ASC NULLS FIRST, {tie(PROD_K)}",
@@ -359,6 +388,18 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT fy, metric, '{a}' AS level_a, '{b}' AS level_b, {a} AS total_a, {b} AS total_b FROM w" for a, b in pairs
     )
     wide = "SELECT fy, metric, " + ", ".join(f"MAX(CASE WHEN level = '{lv}' THEN total END) AS {lv}" for lv in KEYS) + " FROM t GROUP BY fy, metric"
+    kept = (f"SELECT * FROM detail WHERE NOT (fy = {LOST_YEAR - 1} AND rep_name = '1-URGENT') "
+            f"AND NOT (fy = {LOST_YEAR - 2} AND cust_code = '10')")
+    past_only = {f"past_{SHORT[lv]}": wide_sql(PAST_COLS[lv]) for lv in KEYS}
+    bad = {f"bad_{SHORT[lv]}": wide_sql(PAST_COLS[lv], src="kept") for lv in KEYS}
+    q["recon_absolute_faults"] = with_(
+        kept=kept, **past_only, **bad, bef=before,
+        aft=totals_union({lv: f"bad_{SHORT[lv]}" for lv in KEYS},
+                         {lv: [c for c in sales_only(PAST_YCOLS) if fy_of(c) != LOST_YEAR] for lv in KEYS}),
+        x=absolute) + "SELECT *, (status = 'lost' OR COALESCE(severity IN ('severe', 'warning'), FALSE)) AS issue FROM x"
+    q["totals_text"] = with_(**{f"cur_{SHORT[lv]}": cur_sql(KEYS[lv]) for lv in KEYS}) + " UNION ALL ".join(
+        f"SELECT '{lv}' AS level, {CUR_FY} AS fy, '{m}' AS metric, format('{{:,}}', CAST(SUM({m}_{CUR_FY}) AS BIGINT)) AS text "
+        f"FROM cur_{SHORT[lv]}" for lv in KEYS for m in ("sales", "profit"))
     q["recon_cross_level"] = with_(**am, t=all_totals, w=wide, x=cross_parts) + (
         "SELECT *, abs(total_a - total_b) AS abs_diff, (total_a IS DISTINCT FROM total_b) AS issue FROM x"
     )
@@ -401,6 +442,22 @@ def oracle_sql() -> dict[str, str]:
         "FROM bef b JOIN aft a USING (level, fy, metric) WHERE COALESCE(a.total, 0.0) <> COALESCE(b.total, 0.0)"
     )
 
+    overlap = (
+        "SELECT CAST(SUM(CASE WHEN c = 1 AND p = 0 THEN 1 ELSE 0 END) AS BIGINT) AS only_current, "
+        "CAST(SUM(CASE WHEN c = 0 AND p = 1 THEN 1 ELSE 0 END) AS BIGINT) AS only_past, "
+        "CAST(SUM(CASE WHEN c = 1 AND p = 1 THEN 1 ELSE 0 END) AS BIGINT) AS both "
+        "FROM (SELECT k, MAX(c) AS c, MAX(p) AS p FROM (SELECT corp_code AS k, 1 AS c, 0 AS p FROM cur_co "
+        "UNION ALL SELECT corp_code AS k, 0 AS c, 1 AS p FROM past_co) GROUP BY k)"
+    )
+    around = "(SELECT COUNT(*) FROM m_co m LEFT JOIN nation n ON m.corp_code = CAST(n.n_nationkey AS VARCHAR) " \
+             "WHERE COALESCE(m.corp_name, n.n_name) IS NULL) AS null_names, 0 AS n_advice"
+    q["quarter_job_report"] = q["recon_relative"].replace("SELECT 'merge' AS checkpoint", f"SELECT o.*, {around}, 'final' AS checkpoint").replace(
+        "FROM bef b JOIN aft a USING (level, fy, metric)", f"FROM bef b JOIN aft a USING (level, fy, metric), ({overlap}) o")
+    verdict = q["recon_verdict"]
+    head, tail = verdict.rsplit("SELECT n_columns, severe, issues,", 1)
+    q["annual_job_report"] = head + (
+        f"SELECT ab.*, v.*, o.*, {around} FROM ab, (SELECT n_columns, severe, issues,{tail}) v, ({overlap}) o")
+
     qm = all_merged_ctes("overwrite")
     final = {}
     for lv in KEYS:
@@ -439,11 +496,23 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT {', '.join(CUST_K + [typed(c, f'COALESCE({c}, 0)') for c in ALL_YCOLS])} FROM m"
     )
     q["csv_cp932_roundtrip"] = q["summary_customer"]
-    q["parquet_roundtrip"] = q["summary_customer"]
-    q["availability_policy"] = with_(c1=cur_sql(CORP_K), c2=cur_sql(CUST_K)) + (
-        "SELECT 'corp' AS level, COUNT(*) AS rows FROM c1 UNION ALL SELECT 'customer' AS level, COUNT(*) AS rows FROM c2"
-    )
+    level_sums = lambda levels, extra="": with_(**{f"cur_{SHORT[lv]}": cur_sql(KEYS[lv]) for lv in levels}) + " UNION ALL ".join(
+        f"SELECT '{lv}' AS level, COUNT(*) AS rows, CAST(SUM(sales_{CUR_FY}) AS BIGINT) AS sales, "
+        f"CAST(SUM(profit_{CUR_FY}) AS BIGINT) AS profit{extra} FROM cur_{SHORT[lv]}" for lv in levels)
+    q["parquet_roundtrip"] = level_sums(list(KEYS))
+    q["detail_projected"] = with_(cur=cur_sql(CORP_K)) + f"SELECT corp_code, sales_{CUR_FY} FROM cur"
+    q["master_missing_lenient"] = with_(**std_ctes("corp"), m=merged_sql("corp", "overwrite")) + out(CORP_K + ["corp_name"])
+    q["availability_policy"] = level_sums(["corp", "customer"], ", TRUE AS all_stops")
     q["export_csv_roundtrip"] = q["summary_customer"]
+    places = []
+    for lv, order in (("customer", ""), ("customer_product", "office ASC NULLS FIRST, ")):
+        places.append(
+            with_(**merged_level_ctes(lv)) + f"SELECT '{lv}' AS level, row_number() OVER (ORDER BY COALESCE({sc}, 0) DESC NULLS FIRST, "
+            f"{order}{tie(KEYS[lv])}) AS position, {', '.join(KEYS[lv])}, CAST(COALESCE({sc}, 0) AS BIGINT) AS {sc} FROM m")
+    q["export_rank_order"] = " UNION ALL BY NAME ".join(f"SELECT * FROM ({x})" for x in places)
+    for pol in ("annual", "quarter"):
+        q[f"reference_job_legacy_{pol}"] = " UNION ALL BY NAME ".join(
+            f"SELECT '{lv}' AS level, * FROM ({ranking_sql(lv, pol)})" for lv in KEYS)
     q["reference_job_corp"] = ranking_sql("corp", "annual")
     q["reference_job_product"] = ranking_sql("customer_product", "annual")
     ctes = {}
@@ -469,5 +538,5 @@ def oracle_sql() -> dict[str, str]:
     q["merge_observed_totals"] = with_(**ctes) + " UNION ALL ".join(parts)
     for pol in ("annual", "quarter"):
         for lv in KEYS:
-            q[f"{pol}_ranking_{'product' if lv == 'customer_product' else lv}"] = ranking_sql(lv, pol)
+            q[f"{pol}_{'product' if lv == 'customer_product' else lv}_rank"] = ranking_sql(lv, pol)
     return q

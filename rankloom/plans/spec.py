@@ -153,8 +153,6 @@ class MergePolicy:
                     keep null keys, as a same-name full join without coalesce)
     conflict:       'fill_null' (past fills earlier years only where the
                     current table is null) or 'overwrite' (past wins)
-    fill:           'current_sales' (only current sales null->0) or 'all'
-                    (every year metric null->0)
     final_type:     None (keep types) or 'double'
     drop_zero_rows: remove rows whose every year metric is 0 or null
     product_order:  'sales' (current sales desc, office) or 'office'
@@ -170,7 +168,6 @@ class MergePolicy:
     missing_master: str = "error"
     keys: str = "coalesce"
     conflict: str = "fill_null"
-    fill: str = "current_sales"
     final_type: str | None = None
     drop_zero_rows: bool = False
     product_order: str = "sales"
@@ -189,7 +186,6 @@ ANNUAL = MergePolicy(
     missing_master="error",
     keys="coalesce",
     conflict="fill_null",
-    fill="current_sales",
     final_type=None,
     drop_zero_rows=False,
     product_order="sales",
@@ -203,7 +199,6 @@ QUARTER = MergePolicy(
     missing_master="skip",
     keys="coalesce",
     conflict="overwrite",
-    fill="all",
     final_type="double",
     drop_zero_rows=True,
     product_order="office",

@@ -89,6 +89,11 @@ def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def tune_for_wide_plans(spark: SparkSession) -> None:
-    """Switch constraint propagation off for the wide merge plans."""
+def prepare(spark: SparkSession) -> SparkSession:
+    """Give a session built elsewhere the two settings of :func:`local_session`
+    that the job needs.  Called where a job or a registered query starts,
+    always and before anything is planned, so that no plan depends on what
+    ran before; operators and readers never change the session."""
     spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    return spark

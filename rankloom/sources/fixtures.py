@@ -80,6 +80,11 @@ def _detail_view(
         "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount"
     )
 
+    # inner joins drop null keys; said here, so that the scans skip them and none is shuffled
+    orders = orders.where("o_orderkey IS NOT NULL AND o_custkey IS NOT NULL")
+    lineitem = lineitem.where("l_orderkey IS NOT NULL AND l_partkey IS NOT NULL")
+    customer = customer.where("c_custkey IS NOT NULL AND c_nationkey IS NOT NULL")
+    part = part.where("p_partkey IS NOT NULL")
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey)
     cust = customer.join(geo, customer.c_nationkey == geo.n_nationkey)
     ords = orders.join(cust, orders.o_custkey == cust.c_custkey)

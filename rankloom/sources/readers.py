@@ -8,35 +8,39 @@ from pyspark.sql import functions as F
 
 from ..functions.naming import (
     LEGACY_CUSTOMER_RENAMES,
-    LEGACY_CUSTOMER_RENAMES_EN,
     LEGACY_PRODUCT_RENAMES,
-    LEGACY_PRODUCT_RENAMES_EN,
     REFERENCE_KEY_NAMES,
+    from_reference,
     from_reference_detail,
 )
-from ..plans.spec import LEVELS, LevelSpec
+from ..plans.spec import LEVELS, FiscalSpec, LevelSpec, MergePolicy
 
-_STANDARD_CHARSETS = {"utf-8", "utf8", "utf-16", "utf-32", "iso-8859-1", "us-ascii"}
 DETAIL_METRICS = ("qty", "area", "sales", "profit")
 
 
 def _csv_reader(spark: SparkSession, encoding: str):
-    if encoding.lower() not in _STANDARD_CHARSETS:
-        # Spark 4 rejects vendor charsets unless the legacy switch is on;
-        # use 'windows-31j' (MS932) for cp932 files: plain Shift_JIS cannot
-        # decode vendor characters such as the square-metre sign.
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    """Spark 4 rejects vendor charsets unless ``spark.sql.legacy.javaCharsets``
+    is on (see ``session.prepare``); cp932 files need 'windows-31j' (MS932),
+    since plain Shift_JIS cannot decode such characters as the square-metre
+    sign."""
     return spark.read.option("header", True).option("encoding", encoding).option("inferSchema", False)
 
 
+def _missing(e: AnalysisException) -> bool:
+    return e.getCondition() == "PATH_NOT_FOUND"
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True if ``path`` exists.  Creating a file-source DataFrame lists the
-    path eagerly (no data is read) and raises PATH_NOT_FOUND if absent."""
+    path eagerly (no data is read) and raises PATH_NOT_FOUND if absent; any
+    other failure (access, file system) is raised, not taken for absence."""
     try:
         spark.read.format("text").load(path)
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as e:
+        if _missing(e):
+            return False
+        raise
 
 
 def read_detail_csv(
@@ -91,11 +95,14 @@ def read_master_csv(
 
 
 def optional_parquet(spark: SparkSession, path: str) -> DataFrame | None:
-    """Parquet table or ``None`` when missing or unreadable (R-7)."""
+    """Parquet table or ``None`` when the path is missing (R-7).  A table
+    that exists and can't be read is an error, never an empty history."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if _missing(e):
+            return None
+        raise
 
 
 def read_levels(
@@ -114,25 +121,29 @@ def read_levels(
     return {lv.name: optional_parquet(spark, paths[lv.name]) for lv in levels}
 
 
-def rename_legacy_coupled(
-    cust_past: DataFrame | None, prod_past: DataFrame | None, reference_names: bool = False
-) -> tuple[DataFrame | None, DataFrame | None]:
-    """Legacy rename, annual style (P-4): skipped for both tables if either
-    is absent; the customer code and name are renamed together, keyed on the
-    presence of the code column."""
+def rename_legacy_coupled(cust_past: DataFrame | None, prod_past: DataFrame | None) -> tuple[DataFrame | None, DataFrame | None]:
+    """Legacy rename of reference-named past tables, annual style (P-4):
+    skipped for both tables if either is absent; the customer code and name
+    are renamed together, keyed on the presence of the code column."""
     if cust_past is None or prod_past is None:
         return cust_past, prod_past
-    cust_map = LEGACY_CUSTOMER_RENAMES if reference_names else LEGACY_CUSTOMER_RENAMES_EN
-    prod_map = LEGACY_PRODUCT_RENAMES if reference_names else LEGACY_PRODUCT_RENAMES_EN
-    code = next(iter(cust_map))
-    if code in cust_past.columns:
-        cust_past = cust_past.withColumnsRenamed(cust_map)
-    if next(iter(prod_map)) in prod_past.columns:
-        prod_past = prod_past.withColumnsRenamed(prod_map)
-    return cust_past, prod_past
-
-
-def rename_legacy(df: DataFrame | None, mapping: dict[str, str]) -> DataFrame | None:
-    """Legacy rename, independent style (P-5): each name on its own presence
+    if next(iter(LEGACY_CUSTOMER_RENAMES)) in cust_past.columns:
+        cust_past = cust_past.withColumnsRenamed(LEGACY_CUSTOMER_RENAMES)
+    return cust_past, prod_past.withColumnsRenamed(LEGACY_PRODUCT_RENAMES)
+
+
+def rename_legacy_independent(cust_past: DataFrame | None, prod_past: DataFrame | None) -> tuple[DataFrame | None, DataFrame | None]:
+    """Legacy rename, quarter style (P-5): each name on its own presence
     (``withColumnsRenamed`` ignores absent names)."""
-    return None if df is None else df.withColumnsRenamed(mapping)
+    return (None if cust_past is None else cust_past.withColumnsRenamed(LEGACY_CUSTOMER_RENAMES),
+            None if prod_past is None else prod_past.withColumnsRenamed(LEGACY_PRODUCT_RENAMES))
+
+
+def read_past(spark: SparkSession, paths: dict[str, str], fiscal: FiscalSpec, policy: MergePolicy,
+              levels: tuple[LevelSpec, ...] = LEVELS) -> dict[str, DataFrame | None]:
+    """Reference-named past tables with English names: legacy names are
+    renamed first, while the columns still have their Japanese names."""
+    past = read_levels(spark, paths, required=policy.missing_past == "error", levels=levels)
+    rename = rename_legacy_coupled if policy.name == "annual" else rename_legacy_independent
+    past["customer"], past["customer_product"] = rename(past.get("customer"), past.get("customer_product"))
+    return {k: None if v is None else from_reference(v, fiscal) for k, v in past.items()}

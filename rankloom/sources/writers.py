@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from ..functions.naming import result_file, summary_file, to_reference
+from ..functions.naming import past_file, result_file, summary_file, to_reference
 from ..plans.spec import EXPORT_DEFAULT_CHUNK, EXPORT_TIERS, FiscalSpec
 
 
@@ -17,13 +17,15 @@ def write_summary(df: DataFrame, out_dir: str, partition_col: str = "level", mod
 
 def level_paths(base: str, term: str = "annual", kind: str = "summary", reference_names: bool = False,
                 levels: tuple[str, ...] = ("corp", "customer", "customer_product")) -> dict[str, str]:
-    """Output naming (W-4): one path per level under ``base``."""
+    """File naming (W-4): one path per level under ``base``.  ``kind`` is
+    'summary' (current tables), 'past' (their terms have labels of their
+    own) or 'result'."""
     out = {}
     for lv in levels:
         if reference_names:
-            name = summary_file(term, lv) if kind == "summary" else result_file(lv)
+            name = {"summary": summary_file, "past": past_file}.get(kind, lambda _, level: result_file(level))(term, lv)
         else:
-            name = f"term={term}/level={lv}" if kind == "summary" else f"result/level={lv}"
+            name = f"result/level={lv}" if kind == "result" else f"term={term}/level={lv}"
         out[lv] = f"{base.rstrip('/')}/{name}"
     return out
 
@@ -84,6 +86,24 @@ def export_level(
     return True
 
 
+def read_export(spark: SparkSession, path: str) -> DataFrame:
+    """An exported table with ``position``, its row's place in the export:
+    part files in the order of their names, lines in file order.
+
+    Lines are numbered within their file (at most one chunk of rows each) and
+    moved by the number of lines in the files before; only the list of files
+    is ordered as a whole."""
+    rows = spark.read.option("header", True).csv(path).select(
+        "*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_id"))
+    files = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_lines"))
+    before = files.select("_file", F.coalesce(F.sum("_lines").over(
+        Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    numbered = rows.withColumn("_line", F.row_number().over(Window.partitionBy("_file").orderBy("_block", "_id")))
+    return numbered.join(before, "_file").withColumn("position", F.col("_before") + F.col("_line")).drop(
+        "_file", "_block", "_id", "_line", "_before")
+
+
 def available_levels(spark, paths: dict[str, str], policy: str = "all") -> tuple[list[str], list[str]]:
     """W-7 ('all': any missing input stops the run) and W-8 ('available':
     run the levels that exist, fail only if none).  Returns (present, missing)."""
@@ -96,7 +116,3 @@ def available_levels(spark, paths: dict[str, str], policy: str = "all") -> tuple
     if policy == "available" and not present:
         raise FileNotFoundError("no level table found")
     return present, missing
-
-
-def null_to(df: DataFrame, cols: list[str], value=0) -> DataFrame:
-    return df.select(*[F.coalesce(F.col(c), F.lit(value)).alias(c) if c in cols else F.col(c) for c in df.columns])

@@ -103,8 +103,8 @@ def test_run_merge_years_observes_totals_while_writing(spark, tmp_out):
 
     d = "/root/testdata/sf0.001"
     paths = writers.level_paths(tmp_out, kind="result")
-    tables, totals = jobs.run_merge_years(C.cur_all(spark, d), C.past_all(spark, d), C.corp_master(spark, d), C.FISCAL, ANNUAL, paths)
-    got = {(r["level"], r["fy"], r["metric"]): r["total"] for r in totals.collect()}
-    for lv, df in tables.items():
-        assert got[(lv, 2001, "sales")] == float(df.agg(F.sum("sales_2001")).collect()[0][0])
-    assert {r["level"]: r["rows"] for r in totals.collect()}["corp"] == tables["corp"].count()
+    run = jobs.run_merge_years(C.cur_all(spark, d), C.past_all(spark, d), C.corp_master(spark, d), C.FISCAL, ANNUAL, paths)
+    got = {(r["level"], r["fy"], r["metric"]): r["total"] for r in run.totals.collect()}
+    for lv, df in run.tables.items():
+        assert got[(lv, 2001, "sales")] == df.agg(F.sum("sales_2001")).collect()[0][0]
+    assert {r["level"]: r["rows"] for r in run.totals.collect()}["corp"] == run.tables["corp"].count()

@@ -5,16 +5,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from rankloom.plans import catalog, oracle
 from tools.compare import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
 
-SUBSET = [
-    "summary_customer_product", "summary_grouping_sets", "merge_customer", "merge_customer_product",
-    "merge_conflict_fill_null", "merge_left_key_policy", "product_reaggregate_stacked", "master_join",
-    "backfill_customer_fanout", "dedupe_subset", "rank_product_top", "rank_custom_office",
-    "recon_absolute", "recon_relative", "key_overlap", "table_profile", "quarter_ranking_product",
-]
+QUERIES, ORACLES = catalog.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -31,14 +27,14 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLES) and set(QUERIES) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", SUBSET)
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     srows = [tuple(r) for r in df.collect()]
-    cur = con.execute(E.oracle_sql()[name])
+    cur = con.execute(ORACLES[name])
     dcols = [d[0] for d in cur.description]
     drows = cur.fetchall()
     assert sorted(df.columns) == sorted(dcols)
@@ -51,8 +47,8 @@ def _plan(df) -> str:
 
 
 def test_plans_scale_shape(spark):
-    q = E.queries()
-    plan = _plan(q["annual_ranking_corp"](spark, SF))
+    q = QUERIES
+    plan = _plan(q["annual_corp_rank"](spark, SF))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert "BroadcastHashJoin" in plan  # size-checked master broadcast
     # the fiscal range reaches the orders scan
@@ -83,3 +79,43 @@ def test_stacked_merge_needs_fewer_shuffles_than_join(spark):
     # directly above the union sits the partial aggregate, not an exchange
     above_union = stacked.split("Union")[0].strip().splitlines()[-1]
     assert "Exchange" not in above_union
+
+
+def test_wide_table_needs_one_exchange_on_its_keys(spark):
+    from rankloom.plans import catalog as C
+    from rankloom.plans.spec import CUSTOMER_PRODUCT
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(C.past_level(spark, SF, CUSTOMER_PRODUCT))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "pivotfirst" not in plan
+    assert len(re.findall(r"Exchange hashpartitioning\(r_name", plan)) <= 1
+
+
+def test_null_join_keys_stay_at_the_scan(spark):
+    for setting in ("true", "false"):
+        spark.conf.set("spark.sql.constraintPropagation.enabled", setting)
+        plan = _plan(catalog.cur_detail(spark, SF))
+        assert "IsNotNull(l_orderkey)" in plan and "IsNotNull(l_partkey)" in plan
+
+
+def test_no_year_is_left_out(spark):
+    """The past table and the detail agree on every year's sales."""
+    from pyspark.sql import functions as F
+
+    years = {r["fy"]: r["sales"] for r in QUERIES["fiscal_year_totals"](spark, SF).collect()}
+    wide = QUERIES["past_wide_customer"](spark, SF)
+    detail = catalog.past_detail(spark, SF).groupBy("cust_code", "cust_name", "fy").agg(F.sum("sales").cast("long").alias("s"))
+    exact = {r["fy"]: r["s"] for r in detail.groupBy("fy").agg(F.sum("s").alias("s")).collect()}
+    sums = wide.agg(*[F.sum(f"sales_{fy}").alias(str(fy)) for fy in exact]).head().asDict()
+    assert {int(k): v for k, v in sums.items()} == exact
+    assert set(exact) | {2001} == set(years)
+    assert all(abs(exact[fy] - years[fy]) <= wide.count() for fy in exact)  # truncation per customer
+
+
+def test_plans_do_not_depend_on_what_ran_before(spark):
+    spark.conf.set("spark.sql.constraintPropagation.enabled", "true")
+    QUERIES["summary_corp"](spark, SF)
+    assert spark.conf.get("spark.sql.constraintPropagation.enabled") == "false"

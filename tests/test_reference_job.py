@@ -5,14 +5,15 @@ from pyspark.sql import functions as F
 from rankloom.functions.naming import to_reference
 from rankloom.plans import jobs
 from rankloom.plans.spec import ANNUAL, QUARTER, FiscalSpec
+from rankloom.session import prepare
 from rankloom.sources.writers import level_paths
 
 FS = FiscalSpec(2025, start_year=2024)
 DETAIL = ["法人コード", "得意先コード", "得意先名", "営業所名", "第1階層", "商品コード", "商品名", "売上数", "㎡", "売上金額", "粗利金額"]
 
 
-def _files(spark, base):
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+def _files(spark, base, policy="annual"):
+    prepare(spark)
     rows = [
         ("001", "C1", "髙﨑商店", "札幌", "床材", "P1", "品①", "2", "3.5", "1000.7", "100.2"),
         ("001", "C1", "髙﨑商店", "札幌", "床材", "P2", "品②", "1", "1", "500", "-20.9"),
@@ -30,7 +31,7 @@ def _files(spark, base):
             "office string, cust_code string, cust_name string, category string, prod_code string, prod_name string, area_2024 double, sales_2024 bigint, profit_2024 bigint",
         ),
     }
-    paths = level_paths(f"{base}/past", "annual", "summary", reference_names=True)
+    paths = level_paths(f"{base}/past", policy, "past", reference_names=True)
     for lv, df in past.items():
         to_reference(df, FS).write.parquet(paths[lv])
     return paths
@@ -62,7 +63,7 @@ def test_command_line_stages(spark, tmp_out, capsys):
     assert main(["summarise", "--detail", f"{tmp_out}/detail", "--out", f"{tmp_out}/s", *common]) == 0
     assert main(["merge", "--summary-dir", f"{tmp_out}/s", "--past-dir", f"{tmp_out}/past", "--master", f"{tmp_out}/master",
                  "--out", f"{tmp_out}/r", *common]) == 0
-    assert main(["export", "--result-dir", f"{tmp_out}/r", "--out", f"{tmp_out}/x"]) == 0
+    assert main(["export", "--result-dir", f"{tmp_out}/r", "--out", f"{tmp_out}/x", *common]) == 0
     lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
     assert sorted(lines[-1]["exported"]) == ["corp", "customer", "customer_product"]
     totals = {(t["level"], t["fy"], t["metric"]): t["total"] for t in lines[1]["totals"]}
