@@ -103,10 +103,12 @@ def _window_minima(values: np.ndarray, width: int) -> np.ndarray:
 
 def pieces_of(docs: list[bytes], length: int, anchor: int) -> tuple[np.ndarray, ...]:
     """(document, start, windows, place of the anchor from start, anchor's
-    hash, hash of the piece's bytes) of the pieces of some documents."""
+    hash, hash of the piece's bytes, repetitions) of the pieces of some
+    documents.  In periodic text the same short piece follows itself; such
+    a run is one row."""
     joined = b"".join(docs)
     buf = np.frombuffer(joined, np.uint8)
-    empty = tuple(np.empty(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.uint64, np.uint64))
+    empty = tuple(np.empty(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.uint64, np.uint64, np.int64))
     if len(buf) < length:
         return empty
     sizes = np.array([len(d) for d in docs])
@@ -128,13 +130,18 @@ def pieces_of(docs: list[bytes], length: int, anchor: int) -> tuple[np.ndarray,
     last = windows[np.searchsorted(windows, np.append(first[1:], len(at))) - 1]
     digest = xxhash.xxh3_64_intdigest
     body = np.array([digest(joined[a:b + length]) for a, b in zip(first.tolist(), last.tolist())], np.uint64)
-    doc = owner[first]
-    return doc, first - (ends - sizes)[doc], last - first + 1, at[first] - first, h[at[first]], body
+    doc, key, n = owner[first], h[at[first]], last - first + 1
+    again = np.append(False, (doc[1:] == doc[:-1]) & (key[1:] == key[:-1]) & (body[1:] == body[:-1])
+                      & (n[1:] == n[:-1]) & (first[1:] == last[:-1] + 1))
+    run = np.flatnonzero(~again)
+    times = np.diff(np.append(run, len(first)))
+    first, doc, n, key, body = first[run], doc[run], n[run], key[run], body[run]
+    return doc, first - (ends - sizes)[doc], n, at[first] - first, key, body, times
 
 
 def all_pieces(docs: DataFrame, length: int, anchor: int) -> DataFrame:
-    """(key, body, doc_id, tail, a, n, o) of every piece of ``docs`` (doc_id, tail, text)."""
-    names = ["key", "body", "doc_id", "tail", "a", "n", "o"]
+    """(key, body, doc_id, tail, a, n, o, reps) of every piece of ``docs`` (doc_id, tail, text)."""
+    names = ["key", "body", "doc_id", "tail", "a", "n", "o", "reps"]
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
@@ -146,34 +153,35 @@ def all_pieces(docs: DataFrame, length: int, anchor: int) -> DataFrame:
                     block.append(raw[at].as_py())
                     size += len(block[-1])
                     at += 1
-                doc, a, n_, o, key, body = pieces_of(block, length, anchor)
+                doc, a, n_, o, key, body, reps = pieces_of(block, length, anchor)
                 doc = doc + begin
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key.view(np.int64)), pa.array(body.view(np.int64)), pa.array(ids[doc], pa.int64()),
                      pa.array(tails[doc], pa.int32()), pa.array(a, pa.int64()),
-                     pa.array(n_.astype(np.int32)), pa.array(o.astype(np.int32))], names)
+                     pa.array(n_.astype(np.int32)), pa.array(o.astype(np.int32)), pa.array(reps.astype(np.int32))], names)
 
     return docs.select("doc_id", "tail", "text").mapInArrow(
-        batches, "key long, body long, doc_id long, tail int, a long, n int, o int")
+        batches, "key long, body long, doc_id long, tail int, a long, n int, o int, reps int")
 
 
 def shared_pieces(pieces: DataFrame) -> DataFrame:
     """Pieces whose anchor occurs at least twice: (key, doc_id, tail, a, n,
-    o) and ``times`` their bytes occur, whether the row is the ``first`` of
+    o, reps) and ``times`` their bytes occur, whether the row is the ``first`` of
     those, and how many different pieces (``kinds``) the anchor has."""
-    names = ["key", "doc_id", "tail", "a", "n", "o", "times", "first", "kinds"]
+    names = ["key", "doc_id", "tail", "a", "n", "o", "reps", "times", "first", "kinds"]
 
     def judged(t: pa.Table) -> pa.RecordBatch:
         key, body = np.asarray(t["key"]), np.asarray(t["body"])
         new_key = np.append(True, key[1:] != key[:-1])
         new = new_key | np.append(True, body[1:] != body[:-1])
         group, kind = np.cumsum(new_key) - 1, np.cumsum(new) - 1
-        rows, times = np.bincount(group)[group], np.bincount(kind)[kind]
+        reps = np.asarray(t["reps"])
+        rows, times = (np.bincount(of, reps).astype(np.int64)[of] for of in (group, kind))
         kinds = np.bincount(group[new])[group]
         keep = np.flatnonzero(rows > 1)
         t = t.take(pa.array(keep))
         return pa.RecordBatch.from_arrays(
-            [*[t[c].combine_chunks() if t.num_rows else pa.array([], t.schema.field(c).type) for c in names[:6]],
+            [*[t[c].combine_chunks() if t.num_rows else pa.array([], t.schema.field(c).type) for c in names[:7]],
              pa.array(times[keep], pa.int64()), pa.array(new[keep]), pa.array(kinds[keep], pa.int64())], names)
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,7 +201,7 @@ def shared_pieces(pieces: DataFrame) -> DataFrame:
 
     n = partitions(pieces.sparkSession)
     dealt = pieces.repartition(n, "key").sortWithinPartitions("key", "body", "doc_id", "tail", "a")
-    return dealt.mapInArrow(batches, "key long, doc_id long, tail int, a long, n int, o int, "
+    return dealt.mapInArrow(batches, "key long, doc_id long, tail int, a long, n int, o int, reps int, "
                                      "times long, first boolean, kinds long")
 
 
@@ -434,7 +442,7 @@ def covered(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot_pie
     overlap and touch."""
     shared = materialize(shared_pieces(all_pieces(docs, length, anchor)))
     twice = shared.filter("times > 1").select(
-        "doc_id", "tail", F.col("a").alias("low"), (F.col("a") + F.col("n") - 1 + length).alias("high"))
+        "doc_id", "tail", F.col("a").alias("low"), (F.col("a") + F.col("n") * F.col("reps") - 1 + length).alias("high"))
     parts = piece_texts(docs, shared.filter("first and kinds > 1"), length, hot_pieces)
     return materialize(twice.unionByName(indexed(parts, length)))
 
