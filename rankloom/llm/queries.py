@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import extract, lines, mix, packing, quality, repeats, simhash, sketch, toxicity
+from . import extract, lines, mix, packing, quality, repeats, search, simhash, sketch, toxicity
 from .common import table
 
 
@@ -24,6 +24,13 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every document whose id is divisible by 100."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    asked = docs.filter("doc_id % 100 = 0").withColumnRenamed("doc_id", "query_id")
+    return search.search(docs, asked)
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = quality.classify(docs, table(spark, sf_dir, "labels"), keep=["doc_id"])
@@ -65,6 +72,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprints": op1_fingerprints,
         "op2_packing": op2_packing,
+        "op3_bm25_topk": op3_bm25_topk,
         "op4_quality": op4_quality,
         "op5_repeats": op5_repeats,
         "op6_line_dedup": op6_line_dedup,

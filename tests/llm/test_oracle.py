@@ -22,5 +22,4 @@ def test_matches_sql(spark, name):
 
 
 def test_every_operator_is_registered():
-    assert {n.split("_")[0] for n in q.queries()} == {f"op{i}" for i in (1, 2, 4, 5, 6, 7, 8, 9, 10)} | (
-        {"op3"} if "op3_bm25_topk" in q.queries() else set())
+    assert {n.split("_")[0] for n in q.queries()} == {f"op{i}" for i in range(1, 11)}
