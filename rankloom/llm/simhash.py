@@ -154,8 +154,8 @@ def linked(key: np.ndarray, fps: np.ndarray, table: np.ndarray, bits: int) -> np
 
 
 def block_edges(blocks: DataFrame, bits: int, n_pivots: int) -> DataFrame:
-    """Edges (u, v), u > v unsigned-agnostic, from rows dealt and sorted by
-    (block, key, fp)."""
+    """Edges (u, v) from rows dealt and sorted by (block, key, fp): u a member
+    of a block, v the smallest one it is joined to there."""
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for b in it:
