@@ -16,14 +16,16 @@ most pieces have is dealt over many tasks) and looks each rank up in the
 plan.
 
 Ids: a document's text by the byte-level BPE vocabulary, then the end id.
-The vocabulary's rank file is used for the merges, which gives the same ids
-as its tokenizers file (the tests compare them) at a fraction of the time;
-words are remembered within a Python worker, up to ``MEMO`` of them.
+The ids are those of its tokenizers file, as loaded and without special tokens
+put around the text.  Where the text has one of the file's added tokens, that
+is one id; the parts between are encoded with the vocabulary's rank file, which
+gives the same ids (the tests compare them) at a fraction of the time; words
+are remembered within a Python worker, up to ``MEMO`` of them.
 
 Defined cases
 * null or empty text: one piece that holds the end id alone;
-* text of any length is cut as a whole; strings of special tokens are
-  ordinary text;
+* text of any length is cut as a whole; strings of added tokens in it
+  (``<|endoftext|>``) become the one id that the tokenizers file gives them;
 * null doc_id, repeated doc_ids, repeated rows: each row is cut and packed
   on its own;
 * empty input: empty output;
@@ -33,6 +35,8 @@ Defined cases
 from __future__ import annotations
 
 import base64
+import json
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -77,7 +81,7 @@ class _Ids(dict):
 
 @lru_cache(maxsize=2)
 def encoder(vocabulary: str = VOCABULARY):
-    """text -> ids as little-endian unsigned 32-bit bytes."""
+    """Ordinary text, without added tokens -> ids as little-endian unsigned 32-bit bytes."""
     import public_tokenizers
     import tiktoken
 
@@ -98,6 +102,40 @@ def encoder(vocabulary: str = VOCABULARY):
     return ids
 
 
+@lru_cache(maxsize=2)
+def added_tokens(vocabulary: str = VOCABULARY) -> dict[str, int]:
+    """The added tokens of the tokenizers file and their ids; none where there is only a rank file."""
+    import public_tokenizers
+
+    if not os.path.exists(public_tokenizers.path(f"{vocabulary}.json")):
+        return {}
+    with open(public_tokenizers.path(f"{vocabulary}.json"), encoding="utf-8") as f:
+        added = json.load(f).get("added_tokens") or []
+    for t in added:
+        if t["single_word"] or t["lstrip"] or t["rstrip"]:
+            raise ValueError(f"{vocabulary}: added token {t['content']!r} does not stand for its string alone")
+    return {t["content"]: t["id"] for t in added}
+
+
+@lru_cache(maxsize=2)
+def text_encoder(vocabulary: str = VOCABULARY):
+    """Any text -> ids as little-endian unsigned 32-bit bytes."""
+    ordinary = encoder(vocabulary)
+    added = {t: np.array([i], dtype="<u4").tobytes() for t, i in added_tokens(vocabulary).items()}
+    if not added:
+        return ordinary
+    # the longest of those that start at one place
+    split = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")").split
+
+    def ids(text: str) -> bytes:
+        parts = split(text)
+        if len(parts) == 1:
+            return ordinary(text)
+        return b"".join(added[p] if i % 2 else ordinary(p) for i, p in enumerate(parts))
+
+    return ids
+
+
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of each piece: whole pieces at the end, what is left
     over at the start."""
@@ -113,7 +151,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID,
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary)
+        encode = text_encoder(vocabulary)
         for b in it:
             rows = []
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text")):

@@ -99,6 +99,24 @@ def test_memo_equals_whole_text():
         assert encode(text) == np.array(t.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes(), repr(text)
 
 
+def test_added_tokens_have_the_ids_of_the_file_as_loaded(spark):
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    r = random.Random(7)
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, f"{end}{end}x", f"a  {end}  b\n", f"<|{end}|>", f"<|endoftext{end[1:]}", f" {end}",
+             end[:-1], end.upper(), f"x{end}\u00e9 \u00fc", f"{'word ' * 1500}{end} {'word ' * 1500}"]
+    texts += ["".join(r.choice([end, " ", "  ", "\n", "a", " it's", "<|", "|>", "9"]) for _ in range(12)) for _ in range(200)]
+    assert t.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    rows = packing.pieces(docs(spark, list(enumerate(texts)))).collect()
+    by = {(p["doc_id"], p["piece"]): (p["start"], p["length"], p["ids_crc32"]) for p in rows}
+    want = {}
+    for d, text in enumerate(texts):
+        ids = np.array([*t.encode(text, add_special_tokens=False).ids, 2], dtype="<u4")
+        for i, (start, length) in enumerate(packing.cut(len(ids), 1024)):
+            want[d, i] = (start, length, zlib.crc32(ids[start:start + length].tobytes()))
+    assert by == want
+
+
 def test_edge_cases(spark):
     rows = [(1, None), (2, ""), (None, "a b"), (3, "word " * 3000), (3, "word " * 3000), (1, None)]
     out = packing.pack_documents(docs(spark, rows).withColumnRenamed("lang", "length")).collect()
