@@ -157,11 +157,11 @@ def all_pieces(docs: DataFrame, length: int, anchor: int) -> DataFrame:
                 doc = doc + begin
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key.view(np.int64)), pa.array(body.view(np.int64)), pa.array(ids[doc], pa.int64()),
-                     pa.array(tails[doc], pa.int32()), pa.array(a, pa.int64()),
+                     pa.array(tails[doc], pa.int64()), pa.array(a, pa.int64()),
                      pa.array(n_.astype(np.int32)), pa.array(o.astype(np.int32)), pa.array(reps.astype(np.int32))], names)
 
     return docs.select("doc_id", "tail", "text").mapInArrow(
-        batches, "key long, body long, doc_id long, tail int, a long, n int, o int, reps int")
+        batches, "key long, body long, doc_id long, tail long, a long, n int, o int, reps int")
 
 
 def shared_pieces(pieces: DataFrame) -> DataFrame:
@@ -201,7 +201,7 @@ def shared_pieces(pieces: DataFrame) -> DataFrame:
 
     n = partitions(pieces.sparkSession)
     dealt = pieces.repartition(n, "key").sortWithinPartitions("key", "body", "doc_id", "tail", "a")
-    return dealt.mapInArrow(batches, "key long, doc_id long, tail int, a long, n int, o int, reps int, "
+    return dealt.mapInArrow(batches, "key long, doc_id long, tail long, a long, n int, o int, reps int, "
                                      "times long, first boolean, kinds long")
 
 
@@ -353,7 +353,7 @@ def indexed(parts: DataFrame, length: int) -> DataFrame:
         def done(rows):
             cols = list(zip(*rows)) if rows else [()] * 4
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64()))],
+                [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int64()))],
                 ["doc_id", "tail", "low", "high"])
 
         block: list[Piece] = []
@@ -390,7 +390,7 @@ def indexed(parts: DataFrame, length: int) -> DataFrame:
 
     n = partitions(parts.sparkSession)
     dealt = parts.repartition(n, "key").sortWithinPartitions("key")
-    return dealt.mapInArrow(batches, "doc_id long, tail int, low long, high long")
+    return dealt.mapInArrow(batches, "doc_id long, tail long, low long, high long")
 
 
 def piece_texts(docs: DataFrame, wanted: DataFrame, length: int, hot_pieces: int) -> DataFrame:
@@ -402,7 +402,7 @@ def piece_texts(docs: DataFrame, wanted: DataFrame, length: int, hot_pieces: int
                        F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("tail") == F.col("_t"))).select(
         "doc_id", "tail", "text", "pieces")
     names = ["key", "doc_id", "tail", "a", "o", "raw", "wanted"]
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.bool_()]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.bool_()]
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
@@ -426,15 +426,15 @@ def piece_texts(docs: DataFrame, wanted: DataFrame, length: int, hot_pieces: int
             cols = list(zip(*rows)) if rows else [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
 
-    return joined.mapInArrow(batches, "key long, doc_id long, tail int, a long, o int, raw binary, wanted boolean")
+    return joined.mapInArrow(batches, "key long, doc_id long, tail long, a long, o int, raw binary, wanted boolean")
 
 
 # -- the operator ------------------------------------------------------------
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """``_tail``, from the text, tells rows with one doc_id apart."""
+    """``_tail``, a 64-bit hash of the text, tells rows with one doc_id apart."""
     return docs.withColumn("text", text_or_empty()).withColumn("doc_id", F.col("doc_id").cast("long")).withColumn(
-        "_tail", F.pmod(F.xxhash64("text"), F.lit(1 << 31)).cast("int"))
+        "_tail", F.xxhash64("text"))
 
 
 def covered(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot_pieces: int = HOT_PIECES) -> DataFrame:

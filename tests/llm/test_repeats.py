@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import xxhash
 
 from rankloom.llm import queries, repeats
 
@@ -112,6 +113,25 @@ def test_classes_cover_each_window_once_and_agree():
         assert windows == Counter(range(51))
 
 
+def test_texts_of_one_doc_id_with_half_a_hash_in_common(spark):
+    r = random.Random(9)
+    passage, other = ("".join(r.choice("abcdefgh ") for _ in range(n)) for n in (260, 500))
+    seen, pair = {}, None
+    for i in range(400_000):
+        text = f"{passage} {i}" if i % 2 else f"{i} {other}"
+        h = xxhash.xxh64_intdigest(text.encode(), 42) % (1 << 31)
+        if h in seen and (seen[h] - i) % 2:
+            pair = (seen[h], i)
+            break
+        seen[h] = i
+    found = [f"{passage} {i}" if i % 2 else f"{i} {other}" for i in pair]
+    want = Counter(slow([*found, passage], 200))
+    for doc_id in (None, 5):
+        got = removed(spark, [(doc_id, t) for t in [*found, passage]])
+        assert Counter(x for _, x in got) == want
+    assert sorted(w[1] for w in want) == [0, 260, 260]
+
+
 def test_edge_cases(spark):
     x = "".join(random.Random(1).choice("abcdefgh") for _ in range(260))
     rows = [(1, None), (2, ""), (None, x), (3, x[30:] + "tail"), (4, "short"), (5, "q" + x[:199]), (6, x[61:260] + "!")]
