@@ -19,7 +19,12 @@ its task, whatever its length.
 Defined cases
 * null or empty html, or a page without content: the empty string;
 * broken markup: unclosed elements end with their parents, stray end tags
-  are ignored, an unclosed comment, script or style reaches to the end;
+  are ignored, an unclosed comment, script, style, textarea or iframe reaches
+  to the end; a quote opens a quoted value only after an equals sign;
+* what is not shown where its element works (noscript, template, object,
+  canvas, audio, video, select, datalist, descriptions in svg and math) goes
+  if the element has its end tag, and is ordinary text if not; text within
+  svg and math is text of the block around it;
 * character references are decoded once; what is no reference stays;
 * null page_id or url pass through; repeated rows stay; empty input: empty
   output; other columns pass through, an existing text, n_chars or n_blocks
@@ -51,7 +56,10 @@ CLAIM, ADJACENT, SIBLING = 3.0, 1.0, 0.8
 
 #: Element names of HTML by what they do here, and words that name page furniture.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style noscript template textarea iframe object svg math canvas audio video select datalist".split())
+RAW = set("script style textarea iframe".split())
+HIDDEN = set("noscript template object canvas audio video select datalist".split())
+#: Elements with their own kind of markup, and what they hold but do not show.
+FOREIGN, FOREIGN_HIDDEN = {"svg", "math"}, set("title desc metadata annotation annotation-xml".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
     "span strike strong sub sup time tt u var wbr br nobr center button input".split())
@@ -73,11 +81,14 @@ FURNITURE_WORDS = set(
 COMMENT_WORDS = set("comment comments commentlist discussion disqus reply replies respond responses".split())
 NOT_ITSELF, PAGE_WORDS = set("has no with without".split()), set("site page top global main masthead".split())
 PROSE_TAGS = set("p blockquote pre dd figcaption h1 h2 h3 h4 h5 h6".split())
+#: Start tags that end an open svg or math.
+BREAKS = PROSE_TAGS | HOLDERS | CONTENT_TAGS | set(CLOSES) | set("figure details address hr".split()) | (
+    FURNITURE_TAGS - FOREIGN_HIDDEN)
 HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?|"
-    r"</?([A-Za-z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|</?[A-Za-z][^>]*+>?", re.S)
+    r"</?([A-Za-z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+|))*+)>|</?[A-Za-z][^>]*+>?", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b\s*+(?:=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s\"'>]++))?", re.I)
 WORDS = re.compile(r"[a-z0-9]+")
 HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -122,25 +133,28 @@ def blocks(html: str) -> list[Block]:
     out: list[Block] = []
     parts: list[str] = []
     stack: list[tuple] = []  # (tag, is block, content, furniture, identity)
-    linked = links = identity = at = 0
+    hidden: dict[int, tuple] = {}  # identity -> where the open hidden element began
+    linked = links = identity = at = begin = foreign = 0
     path: tuple = ()
 
     def end_block():
-        nonlocal linked
-        if parts:
-            text = " ".join(unescape("".join(parts)).split())
+        nonlocal linked, begin
+        if len(parts) > begin:
+            text = " ".join(unescape("".join(parts[begin:])).split())
             if text:
                 holder = next((e for e in reversed(stack) if e[1]), ("", True, False, 0, 0))
                 out.append(Block(text, min(linked, len(text)), holder[0], path, holder[2], holder[3]))
-            parts.clear()
+            begin = len(parts)
         linked = 0
 
     def close_to(depth: int):
-        nonlocal path, links
+        nonlocal path, links, foreign
         if any(e[1] for e in stack[depth:]):
             end_block()
         for e in stack[depth:]:
             links -= e[0] == "a"
+            foreign -= e[0] in FOREIGN
+            hidden.pop(e[4], None)
             path = path[:-1] if e[1] else path
         del stack[depth:]
 
@@ -164,7 +178,12 @@ def blocks(html: str) -> list[Block]:
         if html[m.start() + 1] == "/":
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
             if depth is not None and not (tag in INLINE and any(e[1] for e in stack[depth + 1:])):
+                start = hidden.get(stack[depth][4])
                 close_to(depth)
+                if start:  # it is closed: what it holds goes
+                    blocks_then, parts_then, begin, linked = start
+                    del out[blocks_then:], parts[parts_then:]
+                    parts.append(" ")
             continue
         if tag in RAW:
             if not m[0].endswith("/>"):
@@ -172,6 +191,20 @@ def blocks(html: str) -> list[Block]:
                 at = stop.end() if stop else len(html)
             parts.append(" ")
             continue
+        if foreign and tag in BREAKS:
+            close_to(next(i for i, e in enumerate(stack) if e[0] in FOREIGN))
+        if tag not in VOID and (tag in HIDDEN or tag in FOREIGN or foreign):
+            if tag in ("svg", "text") or tag in HIDDEN:
+                parts.append(" ")
+            if not m[0].endswith("/>"):
+                identity += 1
+                above = stack[-1] if stack else ("", True, False, 0, 0)
+                stack.append((tag, False, *above[2:4], identity))
+                if tag in HIDDEN or (foreign and tag in FOREIGN_HIDDEN):
+                    hidden[identity] = (len(out), len(parts), begin, linked)
+                foreign += tag in FOREIGN
+                links += tag == "a"
+            continue
         is_block = tag not in INLINE
         if tag in VOID:
             if is_block and tag not in ("meta", "link", "base"):
@@ -183,7 +216,7 @@ def blocks(html: str) -> list[Block]:
                 if stack[i][0] == "p" or stack[i][0] in CLOSES.get(tag, ()):
                     close_to(i)
                     break
-                if stack[i][0] in HOLDERS and stack[i][0] not in CLOSES.get(tag, ()):
+                if stack[i][0] in HIDDEN or (stack[i][0] in HOLDERS and stack[i][0] not in CLOSES.get(tag, ())):
                     break
             end_block()
         elif tag == "a" and links:
@@ -202,8 +235,8 @@ def blocks(html: str) -> list[Block]:
         if is_block:
             path += (identity,)
         elif bad and not above[3]:  # inline furniture is a block of its own
-            parts_before = parts[:]
-            parts.clear()
+            parts_before = parts[begin:]
+            begin = len(parts)
             stack[-1] = (tag, True, *stack[-1][2:])
             path += (identity,)
             if parts_before:

@@ -74,6 +74,30 @@ def test_broken_markup(spark):
     assert extract.blocks("<p>a &lt; b&nbsp;&amp;amp; c")[0].text == "a < b &amp; c"
 
 
+def test_no_text_goes_with_unclosed_elements_or_quotes(spark):
+    w = weights(spark)
+    one, two, three = (f"{n} paragraph of the article, long enough to look like text." for n in ("First", "Second", "Third"))
+
+    def text(page):
+        return extract.main_text(f"<body><nav><a href=/>Home</a></nav>{page}<footer>End</footer></body>", w)[0].split("\n")
+
+    for tag in ("svg", "object", "video", "audio", "canvas", "math", "select", "datalist", "noscript", "template"):
+        for start in (f"<{tag}>", f"<{tag} class='ad' src=x>"):
+            assert text(f"<article><p>{one}</p>{start}<p>{two}</p><p>{three}</p></article>") == [one, two, three], tag
+            assert text(f"<article><p>{one} {start}<p>{two}<p>{three}</article>") == [one, two, three], tag
+    for tag in ("object", "video", "audio", "canvas", "select", "datalist", "noscript", "template"):
+        for held in ("not shown", "<p>Not shown here, it is for others.</p>", "<option>a<option>b", "<source src=x><video>y</video>"):
+            assert text(f"<article><p>{one} <{tag}>{held}</{tag}> more</p><p>{two}</p></article>") == [f"{one} more", two], tag
+            assert text(f"<article><p>{one}</p><{tag}>{held}</{tag}><p>{two}</p></article>") == [one, two], tag
+    assert text(f"<article><p>{one} Here <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds.</p>"
+                f"<p>{two} <svg aria-hidden=true><title>Icon</title><path d='M0 0'/><g><text>Label</text></g></svg> so</p></article>"
+                ) == [f"{one} Here x=2 holds.", f"{two} Label so"]
+    assert text(f"<article><p title=Bob's>{one}</p><p>{two} We don't want to lose.</p></article>") == [
+        one, f"{two} We don't want to lose."]
+    assert text(f"<article><p ' title=5\">{one}</p><p>{two}</p><p title = 'a>b' id=\"c>d\">{three} \"q\"</p></article>") == [
+        one, two, f'{three} "q"']
+
+
 def test_edge_cases(spark):
     rows = [(1, "u", None, 5), (None, None, "<article><p>x</p></article>", 6), (2, "v", "", 7), (2, "v", "", 7)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, n_chars long")
