@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import extract, lines, mix, packing, quality, repeats, resample, search, simhash, sketch, toxicity
+from . import collocations, extract, lines, lm, mix, packing, quality, repeats, resample, search, simhash, sketch, toxicity
 from .common import table
 
 
@@ -68,11 +68,19 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "url", "text", "n_chars")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return resample.resample(docs, table(spark, sf_dir, "benchmark").select("text"))
 
 
+def op13_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprints": op1_fingerprints,
@@ -85,7 +93,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_source_mix": op9_source_mix,
         "op10_main_text": op10_main_text,
+        "op11_collocations": op11_collocations,
         "op12_resample": op12_resample,
+        "op13_lm_score": op13_lm_score,
     }
 
 

@@ -28,6 +28,7 @@ class Slice(NamedTuple):
     first: int            # rows first..last of the batch are in this slice
     last: int
     goes_on: bool         # the first row began in an earlier slice
+    ends: bool            # the last row ends in this slice
 
 
 class Splitter:
@@ -48,13 +49,13 @@ class Splitter:
         while i < n:
             j = int(np.searchsorted(off, off[i] + self.slice_bytes, side="right")) - 1
             if j > i:
-                yield self._cut(data, off[i : j + 1], i, False)
+                yield self._cut(data, off[i : j + 1], i, False, True)
                 i = j
                 continue
             at, end = int(off[i]), int(off[i + 1])
             while at < end:
                 stop = self._word_end(data, min(at + self.slice_bytes, end), end)
-                yield self._cut(data, np.array([at, stop]), i, at > off[i])
+                yield self._cut(data, np.array([at, stop]), i, at > int(off[i]), stop == end)
                 at = stop
             i += 1
 
@@ -66,7 +67,7 @@ class Splitter:
             at = min(at + 65536, end)
         return end
 
-    def _cut(self, data: np.ndarray, off: np.ndarray, row: int, goes_on: bool) -> Slice:
+    def _cut(self, data: np.ndarray, off: np.ndarray, row: int, goes_on: bool, ends: bool) -> Slice:
         raw = data[off[0] : off[-1]]
         at = off - off[0]
         inside = self.word[raw]
@@ -76,15 +77,15 @@ class Splitter:
         start[heads] = inside[heads]  # texts lie side by side
         starts = np.flatnonzero(start)
         kept = _LOWER[raw[inside]]
-        ends = np.append(np.flatnonzero(start[inside]), len(kept)).astype(np.int32)
-        words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(kept))
+        stops = np.append(np.flatnonzero(start[inside]), len(kept)).astype(np.int32)
+        words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(stops), pa.py_buffer(kept))
         place = np.searchsorted(at, starts, side="right") - 1
         gap = np.ones(len(starts), bool)
         if len(starts):
             seen = np.cumsum(self.breaks[raw], dtype=np.int32)[starts]
             gap[1:] = (seen[1:] != seen[:-1]) | (place[1:] != place[:-1])
             gap[0] = not goes_on or seen[0] > 0
-        return Slice(words, place + row, gap, row, row + len(at) - 2, goes_on)
+        return Slice(words, place + row, gap, row, row + len(at) - 2, goes_on, ends)
 
 
 def _raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
