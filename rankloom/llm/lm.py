@@ -17,8 +17,9 @@ training documents.
 
 * **Blocks.**  A task packs its texts into blocks of about ``BLOCK_WORDS``
   words with a dictionary of their own; a text may go through several.
-* **Words** are counted by one aggregate over the dictionaries, numbered, and
-  the numbers and counts go back to the blocks.
+* **Words** of the dictionaries meet by a hash, as compressed lists; their
+  counts are summed and they are numbered there, and the numbers and counts go
+  back to the blocks that have them.
 * **Runs.**  A block asks once for each distinct run of two or three words
   it has, with its own counts; runs meet by a hash of the whole run, their
   counts are summed, and each block gets the sums of what it asked for.  A run
@@ -39,6 +40,7 @@ their names, are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -50,20 +52,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, release, scratch_path
-from ..operators.numbering import number_rows
 from .common import ASCII_SPACE, require, text_or_empty
-from .words import Splitter, narrow, pack, unpack
+from .words import Splitter, narrow, pack, pack_words, unpack, unpack_words
 
 FOLDS = 10
 ADDED = 0.1            # of the base score
-BLOCK_WORDS = 1 << 20
-PART_WORDS = 1 << 20   # words whose runs meet in one task
+BLOCK_WORDS = 1 << 19
+PART_WORDS = 1 << 19   # words whose runs meet in one task
 ROUNDS = 12
 BUCKETS = 40           # powers of two of a context's frequency
 BEGIN, END = 0, 1      # tokens that are no words; words follow
 HELD_OUT, TRAIN, DELETED = 0, 1, 2
 
 
+def _crc(words: pa.Array) -> np.ndarray:
+    return np.array([zlib.crc32(w) for w in words.cast(pa.binary()).to_pylist()], np.int64)
+
+
 class _Texts:
     """Texts of one task until they fill a block."""
 
@@ -111,25 +116,28 @@ class _Texts:
         self.size += len(mark)
 
     def take(self):
-        """(skip, tokens, docs, sizes, words, counts): the dictionary's words
-        with their counts in all texts, in training and in its held-out part."""
+        """(skip, tokens, docs, sizes, words, counts, place): the dictionary's
+        words in the order of their hash, with their counts in all texts, in
+        training and in its held-out part, and the token that stands for each
+        (most frequent first)."""
         coded = pa.concat_arrays(self.words).dictionary_encode()
         code, mark = coded.indices.to_numpy(zero_copy_only=False), np.concatenate(self.marks)
-        order = np.argsort(-np.bincount(code, minlength=len(coded.dictionary)), kind="stable")
-        rank = np.empty(len(order), np.int32)
-        rank[order] = np.arange(2, len(order) + 2)
+        frequent = np.argsort(-np.bincount(code, minlength=len(coded.dictionary)), kind="stable")
+        rank = np.empty(len(frequent), np.int32)
+        rank[frequent] = np.arange(2, len(frequent) + 2)
+        order = np.argsort(_crc(coded.dictionary), kind="stable")
         tokens = mark.astype(np.int32)
         tokens[mark < 0] = rank[code]
-        kind = np.repeat([k for _, _, k in self.docs], self.sizes)
-        counts = [np.bincount(tokens[self.skip:][kind[self.skip:] >= k], minlength=len(order) + 2)[2:] for k in (HELD_OUT, TRAIN, DELETED)]
-        out = self.skip, tokens, self.docs, self.sizes, coded.dictionary.take(pa.array(order)), counts
+        kind = np.repeat(np.array([k for _, _, k in self.docs], np.int8), self.sizes)
+        counts = [np.bincount(tokens[self.skip:][kind[self.skip:] >= k], minlength=len(order) + 2)[rank[order]] for k in (HELD_OUT, TRAIN, DELETED)]
+        out = self.skip, tokens, self.docs, self.sizes, coded.dictionary.take(pa.array(order)), counts, rank[order]
         self._new()
         return out
 
 
 def _block_schema(id_type: str) -> str:
-    return (f"block long, deleted boolean, skip int, n_words long, tokens binary, "
-            f"docs array<struct<row: long, doc_id: {id_type}, kind: int, size: long>>, vocab array<struct<word: string, m: long, n: long, d: long>>")
+    return (f"block long, deleted boolean, skip int, n_words long, n long, d long, texts long, deleted_texts long, tokens binary, "
+            f"docs array<struct<row: long, doc_id: {id_type}, kind: int, size: long>>, words binary, counts binary, place binary")
 
 
 def blocks(docs: DataFrame, doc_id: str, text: str, folds: int, block_words: int) -> DataFrame:
@@ -143,17 +151,20 @@ def blocks(docs: DataFrame, doc_id: str, text: str, folds: int, block_words: int
         packs, made, seen = (_Texts(), _Texts()), 0, 0
 
         def row(deleted: bool):
-            skip, tokens, held, sizes, words, counts = packs[deleted].take()
+            skip, tokens, held, sizes, words, counts, place = packs[deleted].take()
             rows, ids, kinds = zip(*held)
-            texts = pa.StructArray.from_arrays(
+            ended = np.repeat(kinds, sizes)[np.flatnonzero(tokens[skip:] == END) + skip]  # a text counts where it ends
+            texts = int((ended >= TRAIN).sum()), int((ended == DELETED).sum())
+            totals = int(counts[1].sum()) + texts[0], int(counts[2].sum()) + texts[1], *texts
+            listed = pa.StructArray.from_arrays(
                 [pa.array(rows, pa.int64()), pa.array(ids, id_arrow), pa.array(kinds, pa.int32()), pa.array(sizes, pa.int64())],
                 ["row", "doc_id", "kind", "size"])
-            vocab = pa.StructArray.from_arrays([words, *[pa.array(x, pa.int64()) for x in counts]], ["word", "m", "n", "d"])
-            one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
             return pa.RecordBatch.from_arrays(
                 [pa.array([task + made], pa.int64()), pa.array([deleted]), pa.array([skip], pa.int32()), pa.array([len(tokens)], pa.int64()),
-                 pa.array([pack(tokens)], pa.binary()), one(texts), one(vocab)],
-                ["block", "deleted", "skip", "n_words", "tokens", "docs", "vocab"])
+                 *[pa.array([int(x)], pa.int64()) for x in totals],
+                 pa.array([pack(tokens)], pa.binary()), pa.ListArray.from_arrays(pa.array([0, len(listed)], pa.int32()), listed),
+                 pa.array([pack_words(words)], pa.binary()), pa.array([pack(*[narrow(x) for x in counts])], pa.binary()), pa.array([pack(place)], pa.binary())],
+                ["block", "deleted", "skip", "n_words", "n", "d", "texts", "deleted_texts", "tokens", "docs", "words", "counts", "place"])
 
         id_arrow = None
         for batch in batches:
@@ -240,7 +251,7 @@ def _runs(tokens: np.ndarray, skip: int, kind: np.ndarray, gid: np.ndarray, m: n
     head[len(code):] = gid[first] + 1
     key = np.stack([head[asked], gid[second[asked]] << 32 | gid[third[asked]]], axis=1)
     part = (_hash(key) % np.uint64(parts)).astype(np.int64)
-    order = np.lexsort((key[:, 1], key[:, 0], part))
+    order = np.lexsort((key[:, 1], part << 33 | key[:, 0]))
     return _Runs(kind, owned, two, three, counts, asked[order], key[order], part[order], len(code))
 
 
@@ -248,25 +259,63 @@ def _opened(r: dict, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     """(tokens, gid, n, d, runs) of a block; the last three by place in its dictionary."""
     tokens, (gid, m, n, d) = unpack(r["tokens"])[0], (x.astype(np.int64) for x in unpack(r["lexicon"]))
     gid = gid - 1
-    kind = np.repeat([x["kind"] for x in r["docs"]], [x["size"] for x in r["docs"]])
+    kind = np.repeat(np.array([x["kind"] for x in r["docs"]], np.int8), [x["size"] for x in r["docs"]])
     return tokens, gid, n, d, _runs(tokens, r["skip"], kind, gid, m, parts)
 
 
+def _spell(parts: int):
+    """A block's words and their counts, a list for each part."""
+
+    def spell(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            for r in batch.to_pylist():
+                words, counts = unpack_words(r["words"]), unpack(r["counts"])
+                edge = np.searchsorted(_crc(words) * parts >> 32, np.arange(parts + 1))
+                here = np.flatnonzero(np.diff(edge))
+                made = [(pack_words(words[edge[p]:edge[p + 1]]), pack(*[x[edge[p]:edge[p + 1]] for x in counts])) for p in here]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(here, pa.int64()), pa.array([r["block"]] * len(here), pa.int64()),
+                     pa.array([x for x, _ in made], pa.binary()), pa.array([x for _, x in made], pa.binary())],
+                    ["part", "block", "words", "counts"])
+
+    return spell
+
+
+def _number(parts: int):
+    """Numbers (moved by one, 0: not in training) and counts of one part's
+    words for every block that has them; and how many are in training."""
+
+    def number(rows: pd.DataFrame) -> pd.DataFrame:
+        part = int(rows["part"].iloc[0])
+        lists = [unpack_words(b) for b in rows["words"]]
+        code = pa.concat_arrays(lists).dictionary_encode()
+        known, code = len(code.dictionary), code.indices.to_numpy(zero_copy_only=False)
+        counts = [np.concatenate(x) for x in zip(*[unpack(b) for b in rows["counts"]])]
+        m, n, d = (np.bincount(code, x, minlength=known).astype(np.int64) for x in counts)
+        rank = np.empty(known, np.int64)
+        rank[np.argsort(-n, kind="stable")] = np.arange(known)
+        gid = np.where(n > 0, END + 2 + rank * parts + part, 0)
+        cuts = np.cumsum([len(x) for x in lists])[:-1]
+        body = [pack(*[narrow(x[c]) for x in (gid, m, n, d)]) for c in np.split(code, cuts)]
+        out = pd.DataFrame({"block": rows["block"], "part": part, "body": body, "known": 0})
+        return pd.concat([out, pd.DataFrame([(-1, part, b"", int((n > 0).sum()))], columns=out.columns)])
+
+    return number
+
+
 def _lexicon(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The numbers and counts of a block's words in the order of its
-    dictionary: numbers are moved by one, 0 is a word unknown in training."""
+    """A block's replies in the order of its tokens."""
     for batch in rows:
-        known, out = batch.column("known"), []
-        for i, size in enumerate(batch.column("size").to_pylist()):
-            gid, m, n, d = (np.zeros(size + 2, np.int64) for _ in range(4))
-            gid[[BEGIN, END]] = BEGIN + 1, END + 1
-            if known[i].is_valid:
-                values = known[i].values
-                place = values.field("place").to_numpy()
-                for name, into in (("gid", gid), ("m", m), ("n", n), ("d", d)):
-                    into[place] = values.field(name).to_numpy()
-            out.append(pack(narrow(gid), narrow(m), narrow(n), narrow(d)))
-        kept = [c for c in batch.schema.names if c not in ("known", "size")]
+        out = []
+        for r in batch.select(["place", "numbers"]).to_pylist():
+            place = unpack(r["place"])[0]
+            lexicon = np.zeros((4, len(place) + 2), np.int64)
+            lexicon[0, [BEGIN, END]] = BEGIN + 1, END + 1
+            got = [unpack(x["body"]) for x in sorted(r["numbers"] or [], key=lambda x: x["part"])]
+            for i, x in enumerate(zip(*got)):
+                lexicon[i, place] = np.concatenate(x)
+            out.append(pack(*[narrow(x) for x in lexicon]))
+        kept = ["block", "deleted", "skip", "tokens", "docs"]
         yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + [pa.array(out, pa.binary())], names=[*kept, "lexicon"])
 
 
@@ -282,7 +331,9 @@ def _requests(parts: int):
                     a, b = edge[p], edge[p + 1]
                     n, d = runs.counts[runs.asked[a:b]].T
                     head, tail = runs.key[a:b].T
-                    made.append(pack(narrow(np.diff(head, prepend=0)), narrow(tail >> 32), narrow(tail & ((1 << 32) - 1)), narrow(n), narrow(d)))
+                    second = tail >> 32  # as the difference to the run before, where the first word is the same
+                    step = second - np.where(np.diff(head, prepend=-1) == 0, np.concatenate([[0], second[:-1]]), 0)
+                    made.append(pack(narrow(np.diff(head, prepend=0)), narrow(step), narrow(tail & ((1 << 32) - 1)), narrow(n), narrow(d)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(here, pa.int64()), pa.array([r["block"]] * len(here), pa.int64()),
                      pa.array([r["deleted"]] * len(here), pa.bool_()), pa.array(made, pa.binary())], ["part", "block", "deleted", "body"])
@@ -290,12 +341,22 @@ def _requests(parts: int):
     return ask
 
 
+def _seconds(head_step: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """Second words from their differences, which begin anew with every first word."""
+    total = np.cumsum(step)
+    new = head_step != 0
+    new[:1] = True
+    heads = np.flatnonzero(new)
+    before = np.concatenate([[0], total[heads[1:] - 1]])
+    return total - before[np.cumsum(new) - 1]
+
+
 def _sums(rows: pd.DataFrame) -> pd.DataFrame:
     """The counts of one part's runs, for every block that asks."""
     got = [[x.astype(np.int64) for x in unpack(b)] for b in rows["body"]]
     size = [len(x[0]) for x in got]
     head = np.concatenate([np.cumsum(x[0]) for x in got])
-    tail = np.concatenate([x[1] << 32 | x[2] for x in got])
+    tail = np.concatenate([_seconds(x[0], x[1]) << 32 | x[2] for x in got])
     n, d = np.concatenate([x[3] for x in got]), np.concatenate([x[4] for x in got])
     order = np.lexsort((tail, head))
     new = np.ones(len(order), bool)
@@ -434,22 +495,18 @@ def score(docs: DataFrame, folds: int = FOLDS, doc_id: str = "doc_id", text: str
     id_type = docs.schema[doc_id].dataType.simpleString()
     at = scratch_path(spark, "lm")
     held = materialize(blocks(docs, doc_id, text, folds, block_words), at)
-    vocab = held.select("block", F.posexplode("vocab").alias("place", "v")).select("block", (F.col("place") + 2).alias("place"), "v.*")
-    words = vocab.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("m", "n", "d")]).filter(F.col("n") > 0)
-    words = number_rows(words, [F.desc("n"), F.asc("word")], "gid").withColumn("gid", F.col("gid") + 2)
-    one = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "d")], F.count(F.lit(1)).alias("v")).head()
-    # a text that goes through several blocks counts where it ends, as its end does
-    kinds = held.select("n_words", F.explode("docs").alias("x"))
-    texts = {r["kind"]: r["n"] for r in kinds.select("x.row", "x.kind").distinct().groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
     size = held.agg(F.coalesce(F.sum("n_words"), F.lit(0)).alias("n")).head()["n"]
-    trained = texts.get(TRAIN, 0) + texts.get(DELETED, 0)
-    totals = Totals(one["n"] + trained, trained, one["v"] + (trained > 0), one["d"] + texts.get(DELETED, 0), texts.get(DELETED, 0))
     parts = max(1, -(-size // part_words))
+    numbers = materialize(held.select("block", "words", "counts").mapInArrow(
+        _spell(parts), "part long, block long, words binary, counts binary").groupBy("part").applyInPandas(
+        _number(parts), "block long, part long, body binary, known long"))
+    vocabulary = numbers.agg(F.coalesce(F.sum("known"), F.lit(0)).alias("v")).head()["v"]
+    one = held.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "d", "texts", "deleted_texts")]).head()
+    totals = Totals(one["n"], one["texts"], vocabulary + (one["texts"] > 0), one["d"], one["deleted_texts"])
 
-    back = vocab.select("block", "place", "word").join(words, "word").groupBy("block").agg(
-        F.collect_list(F.struct("place", "gid", "m", "n", "d")).alias("known"))  # at most a block's dictionary
     docs_type = f"array<struct<row: long, doc_id: {id_type}, kind: int, size: long>>"
-    ready = materialize(held.select("block", "deleted", "skip", "tokens", "docs", F.size("vocab").alias("size")).join(
+    back = numbers.filter("block >= 0").groupBy("block").agg(F.collect_list(F.struct("part", "body")).alias("numbers"))
+    ready = materialize(held.select("block", "deleted", "skip", "tokens", "docs", "place").join(
         back, "block", "left").mapInArrow(_lexicon, f"block long, deleted boolean, skip int, tokens binary, docs {docs_type}, lexicon binary"))
     release(spark, at)
     message = "block long, deleted boolean, part long, body binary"

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -123,3 +123,15 @@ def unpack(blob: bytes) -> list[np.ndarray]:
 def narrow(a: np.ndarray) -> np.ndarray:
     """The same non-negative numbers in 4 bytes each, where they fit."""
     return a.astype(np.int32) if not len(a) or int(a.max()) < 1 << 31 else a.astype(np.int64)
+
+
+def pack_words(words: pa.Array) -> bytes:
+    """A string array without nulls as compressed bytes."""
+    off, data = _raw(words)
+    return pack(np.diff(off).astype(np.int32), data[off[0]:off[-1]].view(np.int8))
+
+
+def unpack_words(blob: bytes) -> pa.Array:
+    size, data = unpack(blob)
+    off = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+    return pa.StringArray.from_buffers(len(size), pa.py_buffer(off), pa.py_buffer(data))
