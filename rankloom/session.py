@@ -46,9 +46,9 @@ def shared_dir(spark: SparkSession) -> str:
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: a folder shared by the driver and all "
                 f"executors is needed on {master}")
-        d = tempfile.mkdtemp(prefix="rankloom-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
+        # the setting itself is the cluster's and can't be changed in a session
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="rankloom-ckpt-"))
+        d = spark.sparkContext.getCheckpointDir()
     return d.rstrip("/")
 
 

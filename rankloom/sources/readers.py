@@ -14,16 +14,21 @@ from ..functions.naming import (
     from_reference_detail,
 )
 from ..plans.spec import LEVELS, FiscalSpec, LevelSpec, MergePolicy
+from .csvio import read_csv
 
 DETAIL_METRICS = ("qty", "area", "sales", "profit")
 
 
-def _csv_reader(spark: SparkSession, encoding: str):
-    """Spark 4 rejects vendor charsets unless ``spark.sql.legacy.javaCharsets``
-    is on (see ``session.prepare``); cp932 files need 'windows-31j' (MS932),
-    since plain Shift_JIS cannot decode such characters as the square-metre
-    sign."""
-    return spark.read.option("header", True).option("encoding", encoding).option("inferSchema", False)
+#: cp932 files need 'windows-31j' (MS932), since plain Shift_JIS cannot decode
+#: such characters as the square-metre sign.  Spark 4 rejects vendor charsets
+#: unless ``spark.sql.legacy.javaCharsets`` is on (see ``session.prepare``).
+CP932 = "windows-31j"
+
+
+def rejected_rows(spark: SparkSession, path: str, encoding: str = CP932) -> DataFrame:
+    """(file, record, reason) of the records that :func:`read_detail_csv` and
+    :func:`read_master_csv` leave out."""
+    return read_csv(spark, path, encoding).rejected
 
 
 def _missing(e: AnalysisException) -> bool:
@@ -46,7 +51,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def read_detail_csv(
     spark: SparkSession,
     path: str,
-    encoding: str = "windows-31j",
+    encoding: str = CP932,
     reference_names: bool = True,
     usecols: list[str] | None = None,
     required: bool = False,
@@ -56,6 +61,8 @@ def read_detail_csv(
 
     All columns are read as strings (no inference pass over the data); the
     four metrics are cast to double, so codes keep their leading zeros.
+    Quoted cells may hold anything (``csvio``); a short or long record is
+    left out and reported by :func:`rejected_rows`.
     A missing file returns ``None`` unless ``required``.  ``usecols`` keeps
     only those (English) columns, in that order.  ``metric_type`` may be an
     exact decimal type instead of the original's double."""
@@ -63,7 +70,7 @@ def read_detail_csv(
         if required:
             raise FileNotFoundError(path)
         return None
-    df = _csv_reader(spark, encoding).csv(path)
+    df = read_csv(spark, path, encoding).rows
     if reference_names:
         df = from_reference_detail(df)
     casts = [F.col(c).cast(metric_type).alias(c) if c in DETAIL_METRICS else F.col(c) for c in df.columns]
@@ -76,7 +83,7 @@ def read_detail_csv(
 def read_master_csv(
     spark: SparkSession,
     path: str,
-    encoding: str = "windows-31j",
+    encoding: str = CP932,
     reference_names: bool = True,
     required: bool = True,
 ) -> DataFrame | None:
@@ -86,7 +93,7 @@ def read_master_csv(
         if required:
             raise FileNotFoundError(path)
         return None
-    df = _csv_reader(spark, encoding).csv(path)
+    df = read_csv(spark, path, encoding).rows
     if reference_names:
         df = df.withColumnsRenamed(
             {REFERENCE_KEY_NAMES["corp_code"]: "corp_code", REFERENCE_KEY_NAMES["corp_name"]: "corp_name"}

@@ -8,6 +8,9 @@ from pyspark.sql.types import NumericType
 
 from ..functions.naming import past_file, result_file, summary_file, to_reference
 from ..plans.spec import EXPORT_DEFAULT_CHUNK, EXPORT_TIERS, FiscalSpec
+from .csvio import manifest, read_csv, write_csv
+
+MANIFEST = "_manifest"  # hidden from readers by its first letter
 
 
 def write_summary(df: DataFrame, out_dir: str, partition_col: str = "level", mode: str = "overwrite") -> None:
@@ -71,31 +74,40 @@ def export_level(
     max_records_per_file: int | None = None,
     encoding: str = "UTF-8",
 ) -> bool:
-    """W-5: one ordered CSV table with a header row.
+    """W-5: one ordered CSV table with a header row, and beside its files a
+    manifest of their bytes, checksums and records (``_manifest``).
 
     ``on_null``: 'zero' fills numeric nulls, 'blank' leaves them empty.
+    Texts come back as they are: blanks at either end, quotes, line breaks,
+    and the difference between an empty text and none.
     ``header_if_empty=False`` writes nothing at all for an empty table.
     Returns whether anything was written."""
     out = export_ready(df, on_null)
     if not header_if_empty and out.isEmpty():
         return False
-    w = out.write.mode("overwrite").option("header", True).option("encoding", encoding)
-    if max_records_per_file:
-        w = w.option("maxRecordsPerFile", max_records_per_file)
-    w.csv(path)
+    write_csv(out, path, encoding, max_records_per_file)
+    manifest(df.sparkSession, path, encoding).coalesce(1).write.mode("overwrite").json(f"{path.rstrip('/')}/{MANIFEST}")
     return True
 
 
+def check_export(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """(file, expected, found) of every file that is not as its export wrote
+    it: changed, missing or added.  Empty for a whole export."""
+    schema = "file string, length long, sha256 string, rows long"
+    said = spark.read.schema(schema).json(f"{path.rstrip('/')}/{MANIFEST}")
+    as_one = lambda t, name: t.select("file", F.struct("length", "sha256", "rows").alias(name))
+    both = as_one(said, "expected").join(as_one(manifest(spark, path, encoding), "found"), "file", "full")
+    return both.filter(~F.col("expected").eqNullSafe(F.col("found")))
+
+
 def read_export(spark: SparkSession, path: str) -> DataFrame:
     """An exported table with ``position``, its row's place in the export:
     part files in the order of their names, lines in file order.
 
-    Lines are numbered within their file (at most one chunk of rows each) and
-    moved by the number of lines in the files before; only the list of files
-    is ordered as a whole."""
-    rows = spark.read.option("header", True).csv(path).select(
-        "*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_id"))
+    Records are numbered within their file (at most one chunk of rows each)
+    and moved by the number of records in the files before; only the list of
+    files is ordered as a whole."""
+    rows = read_csv(spark, path, place=("_file", "_block", "_id")).rows
     files = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_lines"))
     before = files.select("_file", F.coalesce(F.sum("_lines").over(
         Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))

@@ -23,7 +23,7 @@ def spark():
 
     prepare(s)  # as every job does; the wide merge plans need it
     if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="rankloom-test-"))
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="rankloom-test-"))
     yield s
 
 
