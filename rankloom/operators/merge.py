@@ -53,12 +53,77 @@ def _year_value(c: str, fy: int, fiscal: FiscalSpec, policy: MergePolicy, cur_co
     return F.col(c) if c in cur_cols else null_double()
 
 
+def without_empty(past: dict[str, DataFrame | None]) -> dict[str, DataFrame | None]:
+    """F-5: a past table without rows counts as none (J-9, V-6).  Reads the
+    first row at most."""
+    return {k: None if p is None or p.isEmpty() else p for k, p in past.items()}
+
+
+#: How many heavy keys a side may have: a key of more than 1/64 of its rows is found.
+HEAVY_KEYS = 64
+
+
+def _whole(keys: list[str]) -> Column:
+    return reduce(and_, [F.col(f"`{k}`").isNotNull() for k in keys])
+
+
+def heavy_keys(df: DataFrame, keys: list[str], rows_in_task: int) -> dict[int, int]:
+    """Hashes of keys that hold more than ``rows_in_task`` rows, with their
+    approximate counts, from one pass with a frequency sketch of bounded size."""
+    hashed = f"xxhash64({', '.join(f'`{k}`' for k in keys)})"
+    got = df.filter(_whole(keys)).agg(F.expr(f"approx_top_k({hashed}, {HEAVY_KEYS}, {16 * HEAVY_KEYS})").alias("top")).head()["top"]
+    return {r["item"]: r["count"] for r in got or [] if r["count"] > rows_in_task}
+
+
+def full_join(cur: DataFrame, past: DataFrame, keys: list[str], rows_in_task: int = 1_000_000) -> DataFrame:
+    """``cur.join(past, keys, "full")`` where a key, or null, may hold a
+    large part of the rows of both sides.
+
+    Rows with a null in a key match nothing: they by-pass the join.  Keys
+    with more than ``rows_in_task`` rows are split: the side that has more
+    rows of a key deals them over salts by a hash of the whole row, the other
+    side's rows of that key go to every salt.  A key is only split where both
+    sides have it, so that a row sent to every salt always finds a match and
+    none comes out unmatched more than once.  All other rows have salt 0."""
+    left, right = heavy_keys(cur, keys, rows_in_task), heavy_keys(past, keys, rows_in_task)
+    extra_cur, extra_past = ([c for c in df.columns if c not in keys] for df in (cur, past))
+    cols = [*keys, *extra_cur, *extra_past]
+    nothing = lambda df, names: [F.lit(None).cast(df.schema[c].dataType).alias(c) for c in names]
+    loose = cur.filter(~_whole(keys)).select("*", *nothing(past, extra_past)).select(*cols).unionByName(
+        past.filter(~_whole(keys)).select("*", *nothing(cur, extra_cur)).select(*cols))
+    cur, past = cur.filter(_whole(keys)), past.filter(_whole(keys))
+    found = sorted({*left, *right})
+    if found:  # at most 2 * HEAVY_KEYS
+        for df in (cur, past):
+            there = df.select(F.xxhash64(*keys).alias("h")).filter(F.col("h").isin(found)).distinct().collect()
+            found = sorted(r["h"] for r in there)
+            if not found:
+                break
+    if not found:
+        return cur.join(past, keys, "full").select(*cols).unionByName(loose)
+    most = max(max(left.get(h, 0), right.get(h, 0)) for h in found)
+    salts = max(2, min(1024, -(-most // max(rows_in_task, 1))))
+    by_cur = [h for h in found if left.get(h, 0) >= right.get(h, 0)]
+    by_past = [h for h in found if h not in by_cur]
+
+    def salted(df: DataFrame, dealt: list[int], copied: list[int]) -> DataFrame:
+        h, one = F.xxhash64(*keys), lambda c: F.array(c.cast("int"))
+        is_in = lambda hs: h.isin(hs) if hs else F.lit(False)
+        salt = F.when(is_in(dealt), one(F.pmod(F.xxhash64(F.struct(*df.columns), F.lit(1)), F.lit(salts)))).when(
+            is_in(copied), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(one(F.lit(0)))
+        return df.withColumn("_salt", F.explode(salt))
+
+    both = salted(cur, by_cur, by_past).join(salted(past, by_past, by_cur), [*keys, "_salt"], "full")
+    return both.select(*cols).unionByName(loose)
+
+
 def merge_level(
     cur: DataFrame,
     past: DataFrame | None,
     level: LevelSpec,
     fiscal: FiscalSpec,
     policy: MergePolicy,
+    rows_in_task: int | None = None,
 ) -> DataFrame:
     """Full outer merge of one level (J-1..J-8).
 
@@ -70,6 +135,9 @@ def merge_level(
       only where null; year columns follow ``policy.conflict``; wanted year
       columns absent on both sides are null doubles; other past columns
       (current-year values, earlier-year quantity) are discarded.
+    * ``rows_in_task`` (keys='coalesce' only) splits keys with more rows than
+      that and lets null keys by-pass the join (:func:`full_join`); it looks
+      for them in one pass over each side first.
     """
     if past is None:
         return cur
@@ -89,7 +157,7 @@ def merge_level(
         key_cols = [cur[k].alias(k) for k in join_keys]
     else:
         p = past.withColumnsRenamed({c: c + PAST for c in past.columns if c not in join_keys})
-        joined = cur.join(p, join_keys, "full")
+        joined = cur.join(p, join_keys, "full") if rows_in_task is None else full_join(cur, p, join_keys, rows_in_task)
         key_cols = [F.col(k) for k in join_keys]
 
     id_cols = []

@@ -64,6 +64,17 @@ def ordered(df: DataFrame, order: list[Column]) -> DataFrame:
     return df.orderBy(*order) if order else df
 
 
+def by_ranges(df: DataFrame, rank_col: str, rows: int, chunk: int) -> DataFrame:
+    """Rows with a stored rank 1..``rows`` in its order: each partition takes
+    a range of whole chunks.  A rank says by itself where its row goes, so
+    nothing is sampled and no order is found again."""
+    chunks = max(1, -(-rows // chunk))
+    parts = min(chunks, max(200, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    per = chunk * -(-chunks // parts)
+    place = F.floor((F.col(rank_col) - 1) / per).cast("int")
+    return df.repartitionById(max(1, -(-rows // per)), place).sortWithinPartitions(rank_col)
+
+
 def top_n(df: DataFrame, order: list[Column], n: int = 5, rank_col: str = "rank") -> DataFrame:
     """O-6 preview: the first ``n`` rows (TakeOrderedAndProject: each task
     keeps its own top n) numbered 1..n.  The window runs over the n limited

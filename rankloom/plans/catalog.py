@@ -19,8 +19,9 @@ from ..functions.naming import (
     LEGACY_CUSTOMER_RENAMES, LEGACY_PRODUCT_RENAMES, REFERENCE_DETAIL_METRICS, REFERENCE_KEY_NAMES, from_reference, to_reference,
 )
 from ..operators import enrich, merge, rank, reconcile, shape, summarise
+from ..operators.numbering import number_rows
 from ..session import materialize, prepare, scratch_path
-from ..sources import readers, writers
+from ..sources import csvio, readers, writers
 from ..sources.fixtures import corp_master, detail_view, table
 from . import jobs
 from .spec import ANNUAL, CORP, CUSTOMER, CUSTOMER_PRODUCT, LEVELS, QUARTER, REP_NAME, FiscalSpec, LevelSpec
@@ -34,6 +35,7 @@ OFFICE_ORDER = ("EUROPE", "ASIA", "AMERICA", "AFRICA")  # MIDDLE EAST unlisted
 MASKED_REGION = "AFRICA"       # extract without codes for this region
 TOP = 10
 LOST_YEAR = 1999               # year that the faulty merge of recon_absolute_faults loses
+NAMELESS = "7"                 # the corporation without a name in master_lacks_name
 NAME_GROUPS = 400              # customers share so many names in backfill_customer_ambiguous
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -424,6 +426,109 @@ def q_csv_cp932_roundtrip(spark, d):
     return typed(summarise.summarise_level(back, CUSTOMER, FISCAL))
 
 
+#: Names as they occur in real files, by customer code; valid in Spark and DuckDB SQL.
+AWKWARD_NAME = """CASE CAST(cust_code AS BIGINT) % 7
+    WHEN 0 THEN concat('24" ', cust_name) WHEN 1 THEN concat('A "Q", ', cust_name)
+    WHEN 2 THEN concat(cust_name, chr(10), chr(10), 'second line') WHEN 3 THEN concat(cust_name, chr(92))
+    WHEN 4 THEN concat(' ', cust_name, ' ') WHEN 5 THEN '' ELSE NULL END"""
+
+
+def q_csv_quoted_roundtrip(spark, d):
+    """R-1: names with quotes, commas, line breaks, backslashes, blanks at
+    the ends, empty and missing ones, through a detail CSV."""
+    out = scratch_path(spark, "csv")
+    names = {**REFERENCE_KEY_NAMES, **REFERENCE_DETAIL_METRICS}
+    det = cur_detail(spark, d).select("cust_code", F.expr(AWKWARD_NAME).alias("cust_name"), "qty", "area", "sales", "profit")
+    csvio.write_csv(det.withColumnsRenamed({c: names[c] for c in det.columns}), out)
+    back = readers.read_detail_csv(spark, out, encoding="UTF-8", required=True, metric_type="decimal(20,4)")
+    return typed(summarise.summarise_level(back, CUSTOMER, FISCAL))
+
+
+def q_csv_rejected_rows(spark, d):
+    """Records with a cell too few or too many, and the others beside them."""
+    out = scratch_path(spark, "csv")
+    code, name = F.col("c_custkey"), F.col("c_name")
+    line = F.when(code % 5 == 0, F.concat_ws(",", code, name)).when(code % 5 == 1, F.concat_ws(",", code, name, F.lit("1,2"))).otherwise(
+        F.concat(code.cast("string"), F.lit(',"'), name, F.lit('"",",1')))
+    table(spark, d, "customer").select(line.alias("code,name,n")).write.option("header", True).option("sep", "\u0001").option(
+        "quote", "\u0000").csv(out)
+    read = csvio.read_csv(spark, out)
+    return read.rejected.select("record", "reason").unionByName(
+        read.rows.select(F.concat_ws("|", "code", "name", "n").alias("record"), F.lit(None).cast("string").alias("reason")))
+
+
+def q_export_values_roundtrip(spark, d):
+    """W-5 / C-4: the same names through the export, and what its manifest finds changed."""
+    base = scratch_path(spark, "values")
+    paths = writers.level_paths(base, "annual", "result")
+    writers.write_levels({"customer": cur_level(spark, d, CUSTOMER).withColumn("cust_name", F.expr(AWKWARD_NAME))}, paths)
+    done = jobs.export_levels(spark, paths, f"{base}/csv", FISCAL, ANNUAL, availability="available")
+    at = f"{base}/csv/{done[0]}"
+    return typed(writers.read_export(spark, at).drop("position")).withColumn(
+        "files_changed", F.lit(writers.check_export(spark, at).count()))
+
+
+def q_rank_persisted(spark, d):
+    """O-1, O-2: ranks stored with the written tables."""
+    run = _job_run(spark, d, ANNUAL, past_all(spark, d, materialized=True), rank_column="rank")
+    return _union([run.tables[lv.name].select(F.lit(lv.name).alias("level"), "rank", *lv.keys, F.col(FISCAL.sales_col).cast("long").alias(
+        FISCAL.sales_col)) for lv in LEVELS])
+
+
+def q_export_rank_ranges(spark, d):
+    """W-5, W-6: the export takes ranges of stored ranks; each row with its place."""
+    base = scratch_path(spark, "ranges")
+    paths = {lv: p for lv, p in writers.level_paths(base, "annual", "result").items() if lv != "corp"}
+    tables = {lv.name: typed(shape.fill_column(merged(spark, d, lv), FISCAL.sales_col, 0)) for lv in LEVELS if lv.name in paths}
+    writers.write_levels({lv.name: number_rows(tables[lv.name], rank.rank_order(tables[lv.name], lv, FISCAL, ANNUAL), "rank")
+                          for lv in LEVELS if lv.name in tables}, paths)
+    jobs.export_levels(spark, paths, f"{base}/csv", FISCAL, ANNUAL, rank_column="rank")
+    keys = {"customer": CUSTOMER.keys, "customer_product": CUSTOMER_PRODUCT.keys}
+    return _union([
+        writers.read_export(spark, f"{base}/csv/{lv}").select(
+            F.lit(lv).alias("level"), F.col("position").cast("long"), *keys[lv],
+            F.col(FISCAL.sales_col).cast("long").alias(FISCAL.sales_col))
+        for lv in paths])
+
+
+#: A code that a third of the rows share, and no code for some; valid in Spark and DuckDB SQL.
+SHARED_CODE = """CASE WHEN CAST(cust_code AS BIGINT) % 3 = 0 THEN '0' WHEN CAST(cust_code AS BIGINT) % 11 = 1 THEN NULL
+    ELSE cust_code END"""
+
+
+def q_merge_split_keys(spark, d):
+    """J-1..J-3 where one key has a third of the rows of both sides."""
+    shared = lambda t: t.drop("cust_name").withColumn("cust_code", F.expr(SHARED_CODE))
+    lv = LevelSpec("customer", ("cust_code",))
+    m = merge.merge_level(shared(cur_level(spark, d, CUSTOMER)), shared(past_level(spark, d, CUSTOMER)), lv, FISCAL, ANNUAL, rows_in_task=100)
+    return m.groupBy("cust_code").agg(F.count(F.lit(1)).alias("pairs"), *[
+        F.sum(FISCAL.col("sales", fy)).cast("long").alias(FISCAL.col("sales", fy)) for fy in (CUR_FY, CUR_FY - 1)])
+
+
+def q_merge_zero_row_past(spark, d):
+    """F-5, J-9, V-6: past tables that are there and have no rows."""
+    past_paths = writers.level_paths(scratch_path(spark, "past"), "annual", "past")
+    writers.write_levels({k: v.limit(0) for k, v in past_all(spark, d).items()}, past_paths)
+    run = _job_run(spark, d, ANNUAL, readers.read_levels(spark, past_paths))
+    return typed(run.tables["customer"]).withColumn("n_advice", F.lit(len(run.advice)))
+
+
+def q_master_lacks_name(spark, d):
+    """F-6: a corporation that neither the master nor the past names."""
+    past = past_all(spark, d, materialized=True)
+    past["corp"] = past["corp"].drop("corp_name")
+    master = corp_master(spark, d).withColumn("corp_name", F.when(F.col("corp_code") != NAMELESS, F.col("corp_name")))
+    run = _job_run(spark, d, ANNUAL, past, master=master)
+    return spark.createDataFrame([("corp", run.null_names)], "level string, null_names long")
+
+
+def q_rank_skipped(spark, d):
+    """O-5: the quarter job sorts nothing without the current sales."""
+    m = merged(spark, d, CUSTOMER, QUARTER).drop(FISCAL.sales_col)
+    order = rank.rank_order(m, CUSTOMER, FISCAL, QUARTER)
+    return typed(rank.ordered(m, order)).withColumn("sorted_by", F.lit(len(order)))
+
+
 def q_detail_projected(spark, d):
     """R-2: a projected read of the CSV, then the corp summary."""
     out = scratch_path(spark, "csv")
@@ -508,9 +613,9 @@ def q_merge_observed_totals(spark, d):
     return reconcile.as_double(_job_run(spark, d, ANNUAL, past_all(spark, d, materialized=True)).totals)
 
 
-def _job_run(spark, d, policy, past) -> jobs.MergeRun:
+def _job_run(spark, d, policy, past, master=None, **options) -> jobs.MergeRun:
     paths = writers.level_paths(scratch_path(spark, "merge"), policy.name, "result")
-    return jobs.run_merge_years(cur_all(spark, d, materialized=True), past, corp_master(spark, d), FISCAL, policy, paths)
+    return jobs.run_merge_years(cur_all(spark, d, materialized=True), past, master or corp_master(spark, d), FISCAL, policy, paths, **options)
 
 
 def q_annual_job_report(spark, d):
@@ -651,6 +756,15 @@ def _queries() -> dict[str, Query]:
         "table_profile": q_table_profile,
         "export_ready": q_export_ready,
         "csv_cp932_roundtrip": q_csv_cp932_roundtrip,
+        "csv_quoted_roundtrip": q_csv_quoted_roundtrip,
+        "csv_rejected_rows": q_csv_rejected_rows,
+        "export_values_roundtrip": q_export_values_roundtrip,
+        "rank_persisted": q_rank_persisted,
+        "export_rank_ranges": q_export_rank_ranges,
+        "merge_split_keys": q_merge_split_keys,
+        "merge_zero_row_past": q_merge_zero_row_past,
+        "master_lacks_name": q_master_lacks_name,
+        "rank_skipped": q_rank_skipped,
         "detail_projected": q_detail_projected,
         "master_missing_lenient": q_master_missing_lenient,
         "parquet_roundtrip": q_parquet_roundtrip,

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.naming import from_reference, to_reference
 from ..session import materialize, prepare, release, scratch_path
 from ..operators import enrich, merge, rank, reconcile, shape, summarise
+from ..operators.numbering import number_rows
 from ..sources import readers, writers
 from .spec import LEVELS, FiscalSpec, LevelSpec, MergePolicy
 
@@ -56,8 +57,9 @@ class MergeResult:
     The tables are built at once; the reports are built on first access,
     so a caller that only writes the tables pays no analysis for them."""
 
-    def __init__(self, tables: dict[str, DataFrame], reports: Callable[[], tuple]):
+    def __init__(self, tables: dict[str, DataFrame], reports: Callable[[], tuple], orders: dict[str, list]):
         self.tables = tables
+        self.orders = orders
         self._reports = reports
         self._built: tuple | None = None
 
@@ -90,15 +92,22 @@ def merge_years(
     fiscal: FiscalSpec,
     policy: MergePolicy,
     levels: tuple[LevelSpec, ...] = LEVELS,
+    on_merged: Callable[[str, DataFrame], DataFrame] | None = None,
+    order: bool = True,
 ) -> MergeResult:
     """C-2 (policy ANNUAL) and C-3 (policy QUARTER) as one function; the past
-    tables have English names (``readers.read_past`` renames legacy ones)."""
+    tables have English names (``readers.read_past`` renames legacy ones).
+    ``on_merged`` sees each level after the merge, before the master and all
+    that follows, and hands on the table to go on with.  Without ``order``
+    the tables are not sorted (``MergeResult.orders`` has their orders)."""
     names = [lv.name for lv in levels]
     by_name = {lv.name: lv for lv in levels}
     if master is None and policy.missing_master == "error":
         raise FileNotFoundError("corporation master is required by this policy")
 
     merged = merge.merge_levels(cur, past, levels, fiscal, policy)
+    if on_merged is not None:
+        merged = {n: on_merged(n, df) for n, df in merged.items()}
     if "corp" in merged:
         merged["corp"] = enrich.master_join(merged["corp"], master)
 
@@ -118,9 +127,10 @@ def merge_years(
         out[n] = df
 
     sales_everywhere = all(fiscal.sales_col in out[n].columns for n in ("corp", "customer") if n in out)
-    for n in names:
-        order = rank.rank_order(out[n], by_name[n], fiscal, policy, sales_present=None if policy.name == "annual" else sales_everywhere)
-        out[n] = rank.ordered(out[n], order)
+    orders = {n: rank.rank_order(out[n], by_name[n], fiscal, policy, sales_present=None if policy.name == "annual" else sales_everywhere)
+              for n in names}
+    if order:
+        out = {n: rank.ordered(out[n], orders[n]) for n in names}
 
     def reports():
         # totals before the merge
@@ -147,7 +157,7 @@ def merge_years(
         checkpoints = reconcile.checkpoint_report(marks) if any(t is not None for t in marks.values()) else None
         return report, verdict, checkpoints
 
-    return MergeResult(out, reports)
+    return MergeResult(out, reports, orders)
 
 
 @dataclass
@@ -194,6 +204,12 @@ def _held(totals: DataFrame | None) -> DataFrame | None:
     return None if totals is None else totals.sparkSession.createDataFrame(totals.collect(), totals.schema)
 
 
+def _observed_rows(level: str, cols: list[str], got: dict, fiscal: FiscalSpec) -> list[tuple]:
+    """Observed totals as rows of (level, fy, metric, total, rows)."""
+    info = fiscal.metric_of()
+    return [(level, info[c][1], info[c][0].name, None if got.get(c) is None else Decimal(str(got[c])), int(got["rows"])) for c in cols]
+
+
 def run_merge_years(
     cur: dict[str, DataFrame],
     past: dict[str, DataFrame | None],
@@ -203,12 +219,22 @@ def run_merge_years(
     paths: dict[str, str],
     levels: tuple[LevelSpec, ...] = LEVELS,
     reference_names: bool = False,
+    rank_column: str | None = None,
 ) -> MergeRun:
     """C-2 / C-3 end to end: check the inputs, write each ranked level table
     once (W-2/W-3), collect its row count and column totals with ``observe``
     during the same write job (A-7, A-12), and compare them with the totals
-    of the inputs -- the report never recomputes the merge."""
+    of the inputs -- the report never recomputes the merge.
+
+    A past table without rows (F-5, J-9) is no past: its level is the current
+    table.  The quarter job compares twice (V-9): inputs with the merge, and
+    the merge with what is written; the merge is observed while it is written
+    to the shared folder, from where the sort (which reads its input twice)
+    takes it.  ``rank_column`` stores each row's rank (O-1..O-4), which lets
+    the export read ranges of it."""
     absolute = policy.severity == "absolute"
+    past = merge.without_empty(past)
+    policy = policy.with_(missing_past="skip")  # whoever read the past has seen to that it is there
     metrics = _totals_metrics(policy)
     cur_totals = _held(reconcile.level_totals(cur, fiscal, rule="corp"))
     past_totals = _held(reconcile.level_totals(past, fiscal, metrics, rule="all_levels" if absolute else "corp"))
@@ -219,23 +245,33 @@ def run_merge_years(
     if cur.get("corp") is not None and past.get("corp") is not None:
         overlap = reconcile.key_overlap(cur["corp"], past["corp"], "corp_code")
 
-    result = merge_years(cur, past, master, fiscal, policy, levels)
     spark = next(iter(cur.values())).sparkSession
+    seen, held = [], []
+
+    def observed_merge(name: str, df: DataFrame) -> DataFrame:
+        cols = [c for c in fiscal.all_year_columns() if c in df.columns]
+        watched, obs = reconcile.observe_totals(df, f"{name} merged", cols)
+        held.append(scratch_path(spark, "merged"))
+        out = materialize(watched, held[-1])
+        seen.extend(_observed_rows(name, cols, obs.get, fiscal))
+        return out
+
+    result = merge_years(cur, past, master, fiscal, policy, levels, None if absolute else observed_merge, order=rank_column is None)
     rows, null_names = [], 0
     for lv in levels:
         df = result.tables[lv.name]
+        if rank_column is not None:
+            df = number_rows(df, result.orders[lv.name] or [F.lit(0)], rank_column)
         cols = [c for c in fiscal.all_year_columns() if c in df.columns]
         observed, obs = reconcile.observe_totals(df, lv.name, cols, "corp_name" if lv.name == "corp" else None)
         if reference_names:
             observed = to_reference(observed, fiscal)
         observed.write.mode("overwrite").option("compression", "snappy").parquet(paths[lv.name])
-        got = obs.get
-        info = fiscal.metric_of()
-        null_names += int(got["null_names"] or 0)
-        for c in cols:
-            v = got.get(c)
-            rows.append((lv.name, info[c][1], info[c][0].name, None if v is None else Decimal(str(v)), int(got["rows"])))
-    written = spark.createDataFrame(rows, f"level string, fy int, metric string, total {reconcile.EXACT}, rows long")
+        null_names += int(obs.get["null_names"] or 0)
+        rows += _observed_rows(lv.name, cols, obs.get, fiscal)
+    release(spark, *held)
+    as_totals = lambda r: spark.createDataFrame(r, f"level string, fy int, metric string, total {reconcile.EXACT}, rows long")
+    written = as_totals(rows)
     final = written.drop("rows")
     if absolute:
         final = final.filter(F.col("metric").isin(*metrics))
@@ -243,9 +279,12 @@ def run_merge_years(
         verdict = reconcile.verdict(report, reconcile.cross_level(final))
     else:
         before = reconcile.totals_precedence(cur_totals, past_totals)
-        report = None if before is None else reconcile.compare_relative(before, final, checkpoint="final")
+        merged = as_totals(seen).drop("rows")
+        report = None if before is None else reconcile.compare_relative(before, merged, checkpoint="merge").unionByName(
+            reconcile.compare_relative(merged, final, checkpoint="final"))
         verdict = None
-    marks = reconcile.checkpoint_report({"current": cur_totals, "past": past_totals, "final": written.drop("rows")})
+    marks = reconcile.checkpoint_report({"current": cur_totals, "past": past_totals, "merged": as_totals(seen).drop("rows") if seen else None,
+                                         "final": written.drop("rows")})
     tables = {lv.name: spark.read.parquet(paths[lv.name]) for lv in levels}
     return MergeRun(tables, written, report, verdict, marks, conflicts, advice, overlap, null_names)
 
@@ -260,6 +299,7 @@ def run_reference_job(
     policy: MergePolicy,
     levels: tuple[LevelSpec, ...] = LEVELS,
     metric_type: str = "double",
+    flavour: str | None = None,
 ) -> dict:
     """The original three stages on reference-shaped files.
 
@@ -269,10 +309,12 @@ def run_reference_job(
        names, legacy names tolerated) and the cp932 master -> ranked result
        tables ``{level}_転記用データ.parquet`` under ``out_dir/result``, with
        totals observed while writing.
-    3. Export: one ordered CSV per level under ``out_dir/export``.
+    3. Export: one ordered CSV per level under ``out_dir/export``, in the
+       ``flavour`` of the term (by default that of the policy's name).
 
     Missing detail -> nothing is done (as in the original); missing past or
-    master follow ``policy``.  Returns paths, totals and the export list."""
+    master follow ``policy``.  Returns paths, totals, the export list and the
+    number of records that the CSV readers left out."""
     prepare(spark)
     detail = readers.read_detail_csv(spark, detail_csv, required=False, metric_type=metric_type)
     if detail is None:
@@ -285,10 +327,12 @@ def run_reference_job(
 
     result_paths = writers.level_paths(f"{out_dir}/result", policy.name, "result", reference_names=True)
     run = run_merge_years(cur, past, master, fiscal, policy, result_paths, levels, reference_names=True)
-    exported = export_levels(spark, result_paths, f"{out_dir}/export", fiscal, policy,
-                             availability="all" if policy.name == "annual" else "available", levels=levels)
+    exported = export_levels(spark, result_paths, f"{out_dir}/export", fiscal, policy, levels=levels,
+                             **EXPORT_FLAVOURS[flavour or policy.name])
+    rejected = {name: readers.rejected_rows(spark, path).count() for name, path in (("detail", detail_csv), ("master", master_csv))
+                if name == "detail" or master is not None}
     return {"status": "ok", "summary": summary_paths, "result": result_paths, "run": run, "totals": run.totals,
-            "exported": exported}
+            "exported": exported, "rejected": rejected}
 
 
 #: Export flavours: which levels must be there, and what becomes of nulls and of empty tables.
@@ -309,12 +353,15 @@ def export_levels(
     on_null: str = "zero",
     header_if_empty: bool = True,
     levels: tuple[LevelSpec, ...] = LEVELS,
+    rank_column: str | None = None,
 ) -> list[str]:
     """C-4: availability check (W-7 all-or-nothing / W-8 best effort), read
     each result table (R-9), put it in rank order again (a read does not keep
     the order of part files), fill numeric nulls (P-16) and write one CSV
     table per level (W-5), in files of as many rows as the tier of the
-    table's size says (W-6).  Returns the exported levels."""
+    table's size says (W-6).  With the ``rank_column`` of the tables each file
+    takes a range of ranks, and nothing is sorted as a whole again; the
+    column itself is not exported.  Returns the exported levels."""
     by_name = {lv.name: lv for lv in levels}
     present, _missing = writers.available_levels(spark, paths, availability)
     done = []
@@ -322,7 +369,10 @@ def export_levels(
         df = from_reference(spark.read.parquet(paths[lv]), fiscal)
         named = df.columns != spark.read.parquet(paths[lv]).columns
         rows = df.count()  # from the file footers
-        df = rank.rank(df, by_name[lv], fiscal, policy)
+        if rank_column is None:
+            df = rank.rank(df, by_name[lv], fiscal, policy)
+        else:
+            df = rank.by_ranges(df, rank_column, rows, writers.export_chunk_size(rows)).drop(rank_column)
         df = to_reference(df, fiscal) if named else df
         if writers.export_level(df, f"{out_dir.rstrip('/')}/{lv}", on_null=on_null, header_if_empty=header_if_empty,
                                 max_records_per_file=writers.export_chunk_size(rows)):

@@ -10,7 +10,9 @@ constants so both sides name columns identically.
 from __future__ import annotations
 
 from ..sources.fixtures import DETAIL_SQL
-from .catalog import ASOF_CUT, CUR_FY, LOST_YEAR, MASKED_REGION, NAME_GROUPS, OFFICE_ORDER, PRELIM_END, TOP
+from .catalog import (
+    ASOF_CUT, AWKWARD_NAME, CUR_FY, LOST_YEAR, MASKED_REGION, NAME_GROUPS, NAMELESS, OFFICE_ORDER, PRELIM_END, SHARED_CODE, TOP,
+)
 
 FIRST_PAST = 1994  # stated here on its own: the data's first fiscal year
 
@@ -451,7 +453,7 @@ def oracle_sql() -> dict[str, str]:
     )
     around = "(SELECT COUNT(*) FROM m_co m LEFT JOIN nation n ON m.corp_code = CAST(n.n_nationkey AS VARCHAR) " \
              "WHERE COALESCE(m.corp_name, n.n_name) IS NULL) AS null_names, 0 AS n_advice"
-    q["quarter_job_report"] = q["recon_relative"].replace("SELECT 'merge' AS checkpoint", f"SELECT o.*, {around}, 'final' AS checkpoint").replace(
+    q["quarter_job_report"] = q["recon_relative"].replace("SELECT 'merge' AS checkpoint", f"SELECT o.*, {around}, 'merge' AS checkpoint").replace(
         "FROM bef b JOIN aft a USING (level, fy, metric)", f"FROM bef b JOIN aft a USING (level, fy, metric), ({overlap}) o")
     verdict = q["recon_verdict"]
     head, tail = verdict.rsplit("SELECT n_columns, severe, issues,", 1)
@@ -504,12 +506,37 @@ def oracle_sql() -> dict[str, str]:
     q["master_missing_lenient"] = with_(**std_ctes("corp"), m=merged_sql("corp", "overwrite")) + out(CORP_K + ["corp_name"])
     q["availability_policy"] = level_sums(["corp", "customer"], ", TRUE AS all_stops")
     q["export_csv_roundtrip"] = q["summary_customer"]
+    quoted = with_(named=f"SELECT * REPLACE ({AWKWARD_NAME} AS cust_name) FROM detail", cur=cur_sql(CUST_K, src="named"))
+    q["csv_quoted_roundtrip"] = quoted + out(CUST_K, CUR_COLS, "cur")
+    q["export_values_roundtrip"] = quoted + out(CUST_K, CUR_COLS, "cur").replace("SELECT ", "SELECT 0 AS files_changed, ", 1)
+    q["csv_rejected_rows"] = (
+        "SELECT CASE c_custkey % 5 WHEN 0 THEN concat(c_custkey, ',', c_name) WHEN 1 THEN concat(c_custkey, ',', c_name, ',1,2') "
+        "ELSE concat(c_custkey, '|', c_name, '\",|1') END AS record, "
+        "CASE WHEN c_custkey % 5 < 2 THEN 'number of cells' END AS reason FROM customer")
+    shared = lambda t: f"(SELECT * REPLACE ({SHARED_CODE} AS cust_code) FROM {t})"
+    two = [f"sales_{CUR_FY}", f"sales_{CUR_FY - 1}"]
+    q["merge_split_keys"] = with_(**std_ctes("customer")) + (
+        f"SELECT COALESCE(c.cust_code, p.cust_code) AS cust_code, COUNT(*) AS pairs, "
+        + ", ".join(f"CAST(SUM({s}.{x}) AS BIGINT) AS {x}" for s, x in zip("cp", two))
+        + f" FROM {shared('cur')} c FULL OUTER JOIN {shared('past')} p ON c.cust_code = p.cust_code GROUP BY 1")
+    q["merge_zero_row_past"] = with_(cur=cur_sql(CUST_K)) + out(CUST_K, CUR_COLS, "cur").replace("SELECT ", "SELECT 1 AS n_advice, ", 1)
+    q["master_lacks_name"] = with_() + (
+        "SELECT 'corp' AS level, COUNT(DISTINCT corp_code) AS null_names FROM detail "
+        f"WHERE fy BETWEEN {FIRST_PAST} AND {CUR_FY} AND corp_code = '{NAMELESS}'")
+    q["rank_skipped"] = with_(**merged_level_ctes("customer", "overwrite")) + (
+        f"SELECT 0 AS sorted_by, {', '.join(CUST_K + [typed(c) for c in ALL_YCOLS if c != sc])} FROM m")
+    ranks = [with_(**merged_level_ctes(lv)) + (
+        f"SELECT '{lv}' AS level, row_number() OVER (ORDER BY COALESCE({sc}, 0) DESC, "
+        f"{'office ASC NULLS FIRST, ' if lv == 'customer_product' else ''}{tie(KEYS[lv])}) AS rank, {', '.join(KEYS[lv])}, "
+        f"CAST(COALESCE({sc}, 0) AS BIGINT) AS {sc} FROM m") for lv in KEYS]
+    q["rank_persisted"] = " UNION ALL BY NAME ".join(f"SELECT * FROM ({x})" for x in ranks)
     places = []
     for lv, order in (("customer", ""), ("customer_product", "office ASC NULLS FIRST, ")):
         places.append(
             with_(**merged_level_ctes(lv)) + f"SELECT '{lv}' AS level, row_number() OVER (ORDER BY COALESCE({sc}, 0) DESC NULLS FIRST, "
             f"{order}{tie(KEYS[lv])}) AS position, {', '.join(KEYS[lv])}, CAST(COALESCE({sc}, 0) AS BIGINT) AS {sc} FROM m")
     q["export_rank_order"] = " UNION ALL BY NAME ".join(f"SELECT * FROM ({x})" for x in places)
+    q["export_rank_ranges"] = q["export_rank_order"]
     for pol in ("annual", "quarter"):
         q[f"reference_job_legacy_{pol}"] = " UNION ALL BY NAME ".join(
             f"SELECT '{lv}' AS level, * FROM ({ranking_sql(lv, pol)})" for lv in KEYS)

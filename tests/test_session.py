@@ -34,3 +34,36 @@ def test_summaries_leave_no_scratch(spark, tmp_out):
     before = set(os.listdir(folder))
     jobs.summarise_to_files(C.cur_detail(spark, "/root/testdata/sf0.001"), C.FISCAL, writers.level_paths(tmp_out), reference_names=False)
     assert not [f for f in set(os.listdir(folder)) - before if "summary" in f]
+
+
+def test_command_line_on_a_plain_session(tmp_path):
+    """Nothing but Spark's defaults: no scratch folder is configured."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root, conf = Path(__file__).resolve().parents[1], tmp_path / "conf"
+    conf.mkdir()
+    detail = "法人コード,得意先コード,得意先名,営業所名,第1階層,商品コード,商品名,売上数,㎡,売上金額,粗利金額\n"
+    (tmp_path / "d.csv").write_bytes((detail + '1,10,"甲, ""A""",東京,a,p,"24"" panel",1,2,300,40\n1,11,乙,東京,a\n').encode("cp932"))
+    (tmp_path / "m.csv").write_bytes("法人コード,法人名\n1,法人\n".encode("cp932"))
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from rankloom.plans.spec import LEVELS
+    from rankloom.sources import writers
+
+    keys = {"corp": ["法人コード"], "customer": ["得意先コード", "得意先名"],
+            "customer_product": ["営業所名", "得意先コード", "得意先名", "第1階層", "商品コード", "商品名"]}
+    for lv, path in writers.level_paths(str(tmp_path / "past"), "quarter", "past", True, tuple(x.name for x in LEVELS)).items():
+        Path(path).parent.mkdir(exist_ok=True)  # past tables without rows
+        pq.write_table(pa.table({**{k: pa.array([], pa.string()) for k in keys[lv]}, "2024売上": pa.array([], pa.float64())}), path)
+    env = {k: v for k, v in os.environ.items() if not k.startswith("SPARK_")} | {"SPARK_CONF_DIR": str(conf), "PYTHONPATH": str(root)}
+    env["PYSPARK_SUBMIT_ARGS"] = "--master local[2] --conf spark.ui.enabled=false pyspark-shell"
+    got = subprocess.run(
+        [sys.executable, "-m", "rankloom", "all", "--detail", "d.csv", "--past-dir", "past", "--master", "m.csv", "--out", "out",
+         "--as-of", "2025-06-30", "--policy", "quarter"], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert got.returncode == 0, got.stderr[-2000:]
+    assert '"rejected": {"detail": 1, "master": 0}' in got.stdout
+    assert sorted(p.name for p in (tmp_path / "out" / "export").iterdir()) == ["corp", "customer", "customer_product"]
