@@ -77,3 +77,22 @@ def test_stages_on_an_empty_table_and_on_nulls(spark):
             d = materialize(stage(spark, d, SF))
             assert d.columns == [c.split()[0] for c in SCHEMA.split(", ")]
         assert corpus_pipeline.STAGES[-1][1](spark, d, SF).count() >= 0
+
+
+def test_columns_of_any_name_go_through(spark):
+    """Names that the operators use for their results or for themselves."""
+    names = ["score", "predicted", "held_out", "kept", "n_lines", "size", "target", "_key", "_words", "_n", "_id", "taken", "row"]
+    text = "good words in a plain document about {} and what else there is to say, at some length"
+    df = docs(spark, [(i, text.format(i) + f"\nline {i}", "ab"[i % 2]) for i in range(40)])
+    for i, name in enumerate(names):
+        df = df.selectExpr("*", f"concat('{i}:', doc_id) AS `{name}`")
+    now = df
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = materialize(stage(spark, now, SF))
+        assert now.columns == df.columns, name
+        if now.isEmpty():  # the classifier may reject such texts: go on with the documents themselves
+            now = df
+        for r in now.collect():
+            assert [r[n] for n in names] == [f"{i}:{r['doc_id']}" for i in range(len(names))], name
+    packed = corpus_pipeline.STAGES[-1][1](spark, now, SF)
+    assert not packed.isEmpty()
