@@ -22,7 +22,7 @@ training documents.
   back to the blocks that have them.
 * **Runs.**  A block asks once for each distinct run of two or three words
   it has, with its own counts; runs meet by a hash of the whole run, their
-  counts are summed, and each block gets the sums of what it asked for.  A run
+  counts are summed, and each block gets what the others have of those it asked for.  A run
   with a word that no other block has is counted in its block already; one
   with a word unknown in training has a count of 0.  So a frequent run is one
   entry per block and no task gets more for it.
@@ -207,11 +207,39 @@ class _Runs(NamedTuple):
     n_two: int
 
 
-def _hash(key: np.ndarray) -> np.ndarray:
+def _mixed(key: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         h = key[:, 0].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + key[:, 1].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-        h = (h ^ (h >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
-    return h >> np.uint64(20)
+        return (h ^ (h >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+
+
+def _hash(key: np.ndarray) -> np.ndarray:
+    return _mixed(key) >> np.uint64(20)
+
+
+def _sorted(part: np.ndarray, head: np.ndarray, tail: np.ndarray) -> np.ndarray:
+    """An order by part, first word and second word: one number to sort by, if they fit in one."""
+    second = tail >> 32
+    bits = [int(x.max(initial=0)).bit_length() for x in (part, head, second)]
+    if sum(bits) > 62:
+        return np.lexsort((tail, head, part))
+    return np.argsort((part << bits[1] | head) << bits[2] | second)
+
+
+def _alike(head: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, new): an order that brings equal runs together, and where a run
+    differs from the one before.  Runs are sorted by a hash; should two of one
+    hash differ, by themselves."""
+    key = np.stack([head, tail], axis=1)
+    hashed = _mixed(key)
+    order = np.argsort(hashed)
+    key, hashed = key[order], hashed[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (key[1:] != key[:-1]).any(axis=1)
+    if (new[1:] & (hashed[1:] == hashed[:-1])).any():
+        order = np.lexsort((tail, head))
+        new[1:] = (np.diff(head[order]) != 0) | (np.diff(tail[order]) != 0)
+    return order, new
 
 
 def _runs(tokens: np.ndarray, skip: int, kind: np.ndarray, gid: np.ndarray, m: np.ndarray, parts: int) -> _Runs:
@@ -251,7 +279,7 @@ def _runs(tokens: np.ndarray, skip: int, kind: np.ndarray, gid: np.ndarray, m: n
     head[len(code):] = gid[first] + 1
     key = np.stack([head[asked], gid[second[asked]] << 32 | gid[third[asked]]], axis=1)
     part = (_hash(key) % np.uint64(parts)).astype(np.int64)
-    order = np.lexsort((key[:, 1], part << 33 | key[:, 0]))
+    order = _sorted(part, key[:, 0], key[:, 1])
     return _Runs(kind, owned, two, three, counts, asked[order], key[order], part[order], len(code))
 
 
@@ -352,18 +380,16 @@ def _seconds(head_step: np.ndarray, step: np.ndarray) -> np.ndarray:
 
 
 def _sums(rows: pd.DataFrame) -> pd.DataFrame:
-    """The counts of one part's runs, for every block that asks."""
+    """The counts of one part's runs in all other blocks, for every block that asks."""
     got = [[x.astype(np.int64) for x in unpack(b)] for b in rows["body"]]
     size = [len(x[0]) for x in got]
     head = np.concatenate([np.cumsum(x[0]) for x in got])
     tail = np.concatenate([_seconds(x[0], x[1]) << 32 | x[2] for x in got])
     n, d = np.concatenate([x[3] for x in got]), np.concatenate([x[4] for x in got])
-    order = np.lexsort((tail, head))
-    new = np.ones(len(order), bool)
-    new[1:] = (np.diff(head[order]) != 0) | (np.diff(tail[order]) != 0)
+    order, new = _alike(head, tail)
     heads, group = np.flatnonzero(new), np.empty(len(order), np.int64)
     group[order] = np.cumsum(new) - 1
-    n, d = (np.add.reduceat(x[order], heads)[group] for x in (n, d))
+    n, d = (np.add.reduceat(x[order], heads)[group] - x for x in (n, d))
     cuts = np.cumsum(size)[:-1]
     return pd.DataFrame({"block": rows["block"], "deleted": rows["deleted"], "part": rows["part"],
                          "body": [pack(narrow(a), narrow(b)) for a, b in zip(np.split(n, cuts), np.split(d, cuts))]})
@@ -390,8 +416,8 @@ def _counts(r: dict, parts: int, totals: Totals):
     replies = sorted(r["replies"] or [], key=lambda x: x["part"])
     if replies:
         got = [unpack(x["body"]) for x in replies]
-        sums[runs.asked, 0] = np.concatenate([x[0] for x in got])
-        sums[runs.asked, 1] = np.concatenate([x[1] for x in got])
+        sums[runs.asked, 0] += np.concatenate([x[0] for x in got])
+        sums[runs.asked, 1] += np.concatenate([x[1] for x in got])
     texts = np.array([totals.texts, totals.deleted_texts])
     n[END], d[END] = texts
     one = np.stack([n[tokens], d[tokens]], axis=1)
@@ -493,13 +519,13 @@ def score(docs: DataFrame, folds: int = FOLDS, doc_id: str = "doc_id", text: str
     require(docs, [doc_id, text])
     spark = docs.sparkSession
     id_type = docs.schema[doc_id].dataType.simpleString()
-    at = scratch_path(spark, "lm")
+    at, words_at = scratch_path(spark, "lm"), scratch_path(spark, "lm")
     held = materialize(blocks(docs, doc_id, text, folds, block_words), at)
     size = held.agg(F.coalesce(F.sum("n_words"), F.lit(0)).alias("n")).head()["n"]
     parts = max(1, -(-size // part_words))
     numbers = materialize(held.select("block", "words", "counts").mapInArrow(
         _spell(parts), "part long, block long, words binary, counts binary").groupBy("part").applyInPandas(
-        _number(parts), "block long, part long, body binary, known long"))
+        _number(parts), "block long, part long, body binary, known long"), words_at)
     vocabulary = numbers.agg(F.coalesce(F.sum("known"), F.lit(0)).alias("v")).head()["v"]
     one = held.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "d", "texts", "deleted_texts")]).head()
     totals = Totals(one["n"], one["texts"], vocabulary + (one["texts"] > 0), one["d"], one["deleted_texts"])
@@ -508,7 +534,7 @@ def score(docs: DataFrame, folds: int = FOLDS, doc_id: str = "doc_id", text: str
     back = numbers.filter("block >= 0").groupBy("block").agg(F.collect_list(F.struct("part", "body")).alias("numbers"))
     ready = materialize(held.select("block", "deleted", "skip", "tokens", "docs", "place").join(
         back, "block", "left").mapInArrow(_lexicon, f"block long, deleted boolean, skip int, tokens binary, docs {docs_type}, lexicon binary"))
-    release(spark, at)
+    release(spark, at, words_at)
     message = "block long, deleted boolean, part long, body binary"
     replies = materialize(ready.mapInArrow(_requests(parts), "part long, block long, deleted boolean, body binary").groupBy("part").applyInPandas(
         _sums, message))

@@ -144,3 +144,24 @@ def test_a_round_does_not_lower_the_likelihood():
         now = np.log(lm.probabilities(mixture, est, (o2, o3), totals.known)[2]).sum()
         assert now >= last - 0.5  # half a token is added on either side of every weight
         last, mixture = now, lm.maximise(lm.expectations(mixture, counts, (o2, o3), totals))
+
+
+@pytest.mark.parametrize("collide", [False, True])
+def test_equal_runs_meet_whatever_their_hash(monkeypatch, collide):
+    if collide:
+        monkeypatch.setattr(lm, "_mixed", lambda key: np.zeros(len(key), np.uint64))
+    rng = np.random.default_rng(5)
+    head, tail = rng.integers(0, 9, 4000), rng.integers(0, 30, 4000) << 32 | rng.integers(0, 5, 4000)
+    order, new = lm._alike(head, tail)
+    runs = np.stack([head, tail], axis=1)
+    assert new.sum() == len(np.unique(runs, axis=0))
+    assert all((g == g[0]).all() for g in np.split(runs[order], np.flatnonzero(new)[1:]))
+
+
+@pytest.mark.parametrize("top", [50, 1 << 31])
+def test_requests_go_by_part_and_first_two_words(top):
+    rng = np.random.default_rng(6)
+    part, head, second, third = (rng.integers(0, x, 3000) for x in (7, top, top, 40))
+    order = lm._sorted(part, head, second << 32 | third)
+    got = list(zip(part[order], head[order], second[order]))
+    assert got == sorted(got)
