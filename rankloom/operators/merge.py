@@ -249,6 +249,14 @@ def _merge_stacked(cur: DataFrame, past: DataFrame, level: LevelSpec, fiscal: Fi
     null: n*S_c + z*S_p with z the number of current rows whose value is null.
     """
     keys = list(level.keys)
+    g, values = stacked_groups(cur, past, keys, fiscal, policy)
+    return g.select(*keys, *[v.alias(c) for c, v in values.items()])
+
+
+def stacked_groups(cur: DataFrame, past: DataFrame, keys: list[str], fiscal: FiscalSpec, policy: MergePolicy) -> tuple[DataFrame, dict[str, Column]]:
+    """One row per key, with the sums of the current (``{column}__c``) and of
+    the past side (``{column}__p``), and an expression on it for every merged
+    year column."""
     universe = year_column_universe(fiscal)
     cur_years = [c for c in cur.columns if c in universe]
     past_years = [c for c in past.columns if c in universe and not c.endswith(f"_{fiscal.current_fy}")]
@@ -279,7 +287,7 @@ def _merge_stacked(cur: DataFrame, past: DataFrame, level: LevelSpec, fiscal: Fi
     def z(c: str) -> Column:
         return F.coalesce(F.col(c), F.lit(0))
 
-    out = []
+    out = {}
     for fy in fiscal.years_desc():
         for c in fiscal.year_columns(fy):
             cc, pc = c + "__c", c + "__p"
@@ -293,8 +301,8 @@ def _merge_stacked(cur: DataFrame, past: DataFrame, level: LevelSpec, fiscal: Fi
                 v = F.when(matched, n * z(cc)).otherwise(z(cc))
             else:
                 v = F.lit(0.0)
-            out.append(v.alias(c))
-    return g.select(*keys, *out)
+            out[c] = v
+    return g, out
 
 
 def merge_levels(

@@ -12,7 +12,10 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.exprs import severity_absolute, severity_relative
-from ..plans.spec import HIGH_REL_PCT, MEDIUM_REL_PCT, PREMERGE_TOLERANCE_YEN, SEVERE_ABS_YEN, WARNING_ABS_YEN, FiscalSpec
+from ..plans.spec import (
+    HIGH_REL_PCT, MEDIUM_REL_PCT, PREMERGE_TOLERANCE_YEN, SEVERE_ABS_YEN, WARNING_ABS_YEN, FiscalSpec, LevelSpec, MergePolicy,
+)
+from .merge import stacked_groups
 
 LEVEL_ORDER = ("corp", "customer", "customer_product")
 
@@ -92,6 +95,41 @@ def totals_precedence(current: DataFrame | None, past: DataFrame | None) -> Data
     return j.select(*k, F.coalesce(F.col("c.total"), F.col("p.total")).alias("total"))
 
 
+def merge_totals(
+    cur: dict[str, DataFrame],
+    past: dict[str, DataFrame | None],
+    levels: tuple[LevelSpec, ...],
+    fiscal: FiscalSpec,
+    policy: MergePolicy,
+) -> DataFrame:
+    """A-5..A-7 before and after a merge, from one pass over its inputs:
+    (level, fy, metric, current, past, before, merged) for every year column
+    that an input has.
+
+    A level's two tables are stacked and grouped by key once.  The sums of
+    each side per key add up to the totals of the inputs; what the merge makes
+    of them (each row as often as the join repeats it, for either key policy)
+    adds up to the total of the merge.  ``before`` is the current total, or
+    the past one where the current table lacks the column (A-6).  A merged
+    column without any value totals 0.  All levels end in one small table."""
+    parts = []
+    for lv in levels:
+        c, p = cur[lv.name], past.get(lv.name)
+        if p is None:
+            p = c.drop(*fiscal.all_year_columns()).limit(0)
+        keys = [k for k in lv.keys if k in c.columns and k in p.columns]
+        info, nothing = fiscal.metric_of(), F.lit(None).cast(EXACT)
+        g, values = stacked_groups(c, p, keys, fiscal, policy)
+        wanted = [x for x in fiscal.all_year_columns() if f"{x}__c" in g.columns or f"{x}__p" in g.columns]
+        g = g.select([s for x in wanted for s in (f"{x}__c", f"{x}__p") if s in g.columns] + [values[x].alias(x) for x in wanted])
+        side = lambda x: exact_sum(g, x) if x in g.columns else nothing
+        rows = [F.struct(F.lit(info[x][1]).alias("fy"), F.lit(info[x][0].name).alias("metric"), side(f"{x}__c").alias("current"),
+                         side(f"{x}__p").alias("past"), (side(f"{x}__c") if f"{x}__c" in g.columns else side(f"{x}__p")).alias("before"),
+                         exact_sum(g, x).alias("merged")) for x in wanted]
+        parts.append(g.agg(F.array(*rows).alias("_t")).select(F.lit(lv.name).alias("level"), F.inline("_t")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def compare_absolute(
     before: DataFrame,
     after: DataFrame,
@@ -219,12 +257,18 @@ def compare_relative(before: DataFrame, after: DataFrame, high: float = HIGH_REL
     ignored), null as 0, exact inequality; rel = |diff| / |before| * 100,
     0 when before is 0; severity 'high' > 10 %, 'medium' > 5 %, else 'low'."""
     k = ["level", "fy", "metric"]
-    j = before.withColumnRenamed("total", "before").join(after.withColumnRenamed("total", "after"), k, "inner")
+    return relative_changes(before.withColumnRenamed("total", "before").join(after.withColumnRenamed("total", "after"), k, "inner"),
+                            high, medium, checkpoint)
+
+
+def relative_changes(both: DataFrame, high: float = HIGH_REL_PCT, medium: float = MEDIUM_REL_PCT, checkpoint: str | None = None) -> DataFrame:
+    """:func:`compare_relative` of totals that are side by side (``before``, ``after``)."""
+    k = ["level", "fy", "metric"]
     b = F.coalesce(F.col("before"), F.lit(0).cast(EXACT))
     a = F.coalesce(F.col("after"), F.lit(0).cast(EXACT))
     absd = F.abs(a - b)
     rel = F.when(b != 0, absd.cast("double") / F.abs(b).cast("double") * 100).otherwise(F.lit(0.0))
-    out = j.where(a != b).select(
+    out = both.where(a != b).select(
         *k, b.alias("before"), a.alias("after"), absd.alias("abs_diff"), rel.alias("rel_pct"), severity_relative(rel, high, medium).alias("severity")
     )
     if checkpoint is not None:
@@ -252,6 +296,52 @@ def key_overlap(cur: DataFrame, past: DataFrame, key: str) -> DataFrame:
     )
 
 
+#: Codes of at most so many digits are numbers of bits.
+CODE_DIGITS = 17
+#: Bytes of one bitmap, and of one key in a shuffle.
+BITMAP_BYTES, KEY_BYTES = 4096, 32
+
+
+def key_overlap_bitmaps(cur: DataFrame, past: DataFrame, key: str) -> DataFrame:
+    """:func:`key_overlap` without a shuffle of keys.
+
+    A code of digits is a number (with a 1 before it, so that leading zeros
+    count) and sets a bit of the bitmap of its bucket (32,768 numbers), for its
+    side and for either; map tasks build the bitmaps, the shuffle merges those
+    of a bucket, and their counts give the overlap.  Other keys, null too, go by
+    :func:`key_overlap`.  Exact for any codes; worth it for dense ones, as
+    :func:`dense_codes` tells (:func:`overlap` chooses by it)."""
+    k = F.col(f"`{key}`").cast("string")
+    coded = F.coalesce(k.rlike(f"^[0-9]{{1,{CODE_DIGITS}}}$"), F.lit(False))
+    number = F.concat(F.lit("1"), k).cast("long")
+    side = lambda df, c: df.filter(coded).select(number.alias("n"), F.lit(c).alias("c"))
+    bit = F.bitmap_bit_position("n")
+    counts = [F.bitmap_count(F.bitmap_construct_agg(x)).alias(name) for name, x in (
+        ("a", F.when(F.col("c"), bit)), ("b", F.when(~F.col("c"), bit)), ("any", bit))]
+    per_bucket = side(cur, True).unionByName(side(past, False)).groupBy(F.bitmap_bucket_number("n").alias("bucket")).agg(*counts)
+    total = lambda x: F.coalesce(F.sum(x), F.lit(0)).cast("long")
+    by_bits = per_bucket.agg(total(F.col("any") - F.col("b")).alias("only_current"), total(F.col("any") - F.col("a")).alias("only_past"),
+                             total(F.col("a") + F.col("b") - F.col("any")).alias("both"), F.count(F.lit(1)).alias("found"))
+    rest = key_overlap(cur.filter(~coded), past.filter(~coded), key).withColumn("found", F.col("both").isNotNull().cast("long"))
+    names = ("only_current", "only_past", "both")  # null for tables without a key, as in key_overlap
+    return by_bits.unionByName(rest).agg(*[F.when(F.sum("found") > 0, F.sum(n)).alias(n) for n in names])
+
+
+def dense_codes(df: DataFrame, key: str) -> bool:
+    """Are the bitmaps of a table's codes smaller than its distinct codes?
+    One aggregate of two approximate counts."""
+    k = F.col(f"`{key}`").cast("string")
+    coded = df.filter(k.rlike(f"^[0-9]{{1,{CODE_DIGITS}}}$")).select(F.concat(F.lit("1"), k).cast("long").alias("n"))
+    got = coded.agg(F.approx_count_distinct("n").alias("keys"), F.approx_count_distinct(F.bitmap_bucket_number("n")).alias("buckets")).head()
+    return got["buckets"] * BITMAP_BYTES <= got["keys"] * KEY_BYTES
+
+
+def overlap(cur: DataFrame, past: DataFrame, key: str) -> DataFrame:
+    """The key overlap by bitmaps where both sides' codes are dense, else by keys."""
+    dense = dense_codes(cur, key) and dense_codes(past, key)
+    return (key_overlap_bitmaps if dense else key_overlap)(cur, past, key)
+
+
 def null_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """A-10 / F-6: null count of every column, one ``agg`` for all."""
     cols = df.columns if cols is None else cols

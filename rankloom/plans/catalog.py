@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ from ..functions.naming import (
 from ..operators import enrich, merge, rank, reconcile, shape, summarise
 from ..operators.numbering import number_rows
 from ..session import materialize, prepare, scratch_path
-from ..sources import csvio, readers, writers
+from ..sources import csvio, readers, tables, writers
 from ..sources.fixtures import corp_master, detail_view, table
 from . import jobs
 from .spec import ANNUAL, CORP, CUSTOMER, CUSTOMER_PRODUCT, LEVELS, QUARTER, REP_NAME, FiscalSpec, LevelSpec
@@ -36,6 +37,7 @@ MASKED_REGION = "AFRICA"       # extract without codes for this region
 TOP = 10
 LOST_YEAR = 1999               # year that the faulty merge of recon_absolute_faults loses
 NAMELESS = "7"                 # the corporation without a name in master_lacks_name
+BUCKETS = 8                    # of the tables in merge_bucketed
 NAME_GROUPS = 400              # customers share so many names in backfill_customer_ambiguous
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -379,12 +381,42 @@ def _quarter_inputs_by_rep(spark, d):
 
 
 def q_recon_relative(spark, d):
+    """V-7: each input is read once, for its own totals and those of the merge."""
     cur, past = _quarter_inputs_by_rep(spark, d)
-    before = reconcile.totals_precedence(
-        reconcile.level_totals(cur, FISCAL, rule="corp"), reconcile.level_totals(past, FISCAL, rule="corp")
-    )
-    after = reconcile.level_totals(merge.merge_levels(cur, past, LEVELS, FISCAL, QUARTER), FISCAL, rule="each")
-    return reconcile.as_double(reconcile.compare_relative(before, after, checkpoint="merge"))
+    totals = reconcile.merge_totals(cur, past, LEVELS, FISCAL, QUARTER)
+    return reconcile.as_double(reconcile.relative_changes(totals.withColumnRenamed("merged", "after"), checkpoint="merge"))
+
+
+def q_merge_totals(spark, d):
+    cur, past = _quarter_inputs_by_rep(spark, d)
+    return reconcile.as_double(reconcile.merge_totals(cur, past, LEVELS, FISCAL, QUARTER))
+
+
+def q_merge_bucketed(spark, d):
+    """W-1..W-3, J-2: both customer tables bucketed and sorted by their keys,
+    merged without an exchange."""
+    base = scratch_path(spark, "bucketed")
+    for name, df in (("cur", cur_level(spark, d, CUSTOMER)), ("past", past_level(spark, d, CUSTOMER))):
+        tables.write_bucketed(df, f"{base}/{name}", CUSTOMER.keys, BUCKETS)
+    cur, past = (tables.read_bucketed(spark, f"{base}/{name}") for name in ("cur", "past"))
+    return typed(merge.merge_level(cur, past, CUSTOMER, FISCAL, ANNUAL))
+
+
+def q_generation_commit(spark, d):
+    """W-2, W-3, W-7: a second generation breaks off after its first table;
+    the export still takes the first, whole."""
+    base = scratch_path(spark, "generations")
+    cur = {k: v for k, v in cur_all(spark, d, materialized=True).items() if k != "customer_product"}
+    tables.write_generation(base, cur)
+    wrong = {"corp": cur["corp"].withColumn(FISCAL.sales_col, F.lit(0)),
+             "customer": cur["customer"].withColumn("cust_name", F.raise_error(F.lit("broken off")).cast("string"))}
+    try:
+        tables.write_generation(base, wrong)
+        failed = False
+    except PySparkException:
+        failed = True
+    done = jobs.export_generation(spark, base, f"{base}/csv", FISCAL, ANNUAL, levels=(CORP, CUSTOMER))
+    return _union([_level_summary(lv, writers.read_export(spark, f"{base}/csv/{lv}")).withColumn("kept", F.lit(failed)) for lv in done])
 
 
 def _merged_years(spark, d, policy, materialized: bool = False):
@@ -400,6 +432,11 @@ def q_key_overlap(spark, d):
     return reconcile.key_overlap(cur_level(spark, d, CUSTOMER), past_level(spark, d, CUSTOMER), "cust_code")
 
 
+def q_key_overlap_bitmaps(spark, d):
+    """D-3, D-4: the same by bitmaps, which is what crosses the network."""
+    return reconcile.key_overlap_bitmaps(cur_level(spark, d, CUSTOMER), past_level(spark, d, CUSTOMER), "cust_code")
+
+
 def q_null_profile(spark, d):
     return reconcile.null_profile(typed(merged(spark, d, CUSTOMER))).withColumnRenamed("column", "column_name")
 
@@ -750,8 +787,12 @@ def _queries() -> dict[str, Query]:
         "recon_verdict": q_recon_verdict,
         "premerge_conflicts": q_premerge_conflicts,
         "recon_relative": q_recon_relative,
+        "merge_totals": q_merge_totals,
+        "merge_bucketed": q_merge_bucketed,
+        "generation_commit": q_generation_commit,
         "checkpoint_report": q_checkpoint_report,
         "key_overlap": q_key_overlap,
+        "key_overlap_bitmaps": q_key_overlap_bitmaps,
         "null_profile": q_null_profile,
         "table_profile": q_table_profile,
         "export_ready": q_export_ready,

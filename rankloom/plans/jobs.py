@@ -15,7 +15,7 @@ from ..functions.naming import from_reference, to_reference
 from ..session import materialize, prepare, release, scratch_path
 from ..operators import enrich, merge, rank, reconcile, shape, summarise
 from ..operators.numbering import number_rows
-from ..sources import readers, writers
+from ..sources import readers, tables, writers
 from .spec import LEVELS, FiscalSpec, LevelSpec, MergePolicy
 
 
@@ -289,6 +289,35 @@ def run_merge_years(
     return MergeRun(tables, written, report, verdict, marks, conflicts, advice, overlap, null_names)
 
 
+def run_merge_generation(
+    cur: dict[str, DataFrame],
+    past: dict[str, DataFrame | None],
+    master: DataFrame | None,
+    fiscal: FiscalSpec,
+    policy: MergePolicy,
+    base: str,
+    levels: tuple[LevelSpec, ...] = LEVELS,
+    **options,
+) -> MergeRun:
+    """:func:`run_merge_years` with one commit for all its tables (W-2, W-3):
+    whoever reads :func:`tables.committed` finds all of them or, after a
+    failure anywhere before, those of the run before."""
+    spark = next(iter(cur.values())).sparkSession
+    generation = tables.new_generation(base, [lv.name for lv in levels])
+    run = run_merge_years(cur, past, master, fiscal, policy, generation.paths, levels, **options)
+    rows = {r["level"]: r["rows"] for r in run.totals.select("level", "rows").distinct().collect()}
+    tables.commit(spark, generation, rows)
+    return run
+
+
+def export_generation(spark, base: str, out_dir: str, fiscal: FiscalSpec, policy: MergePolicy, **options) -> list[str]:
+    """C-4 from the newest complete generation (W-7); none is an error."""
+    generation = tables.committed(spark, base)
+    if generation is None:
+        raise FileNotFoundError(f"{base} has no complete generation")
+    return export_levels(spark, generation.paths, out_dir, fiscal, policy, **options)
+
+
 def run_reference_job(
     spark,
     detail_csv: str,

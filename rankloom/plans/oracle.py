@@ -444,6 +444,16 @@ def oracle_sql() -> dict[str, str]:
         "FROM bef b JOIN aft a USING (level, fy, metric) WHERE COALESCE(a.total, 0.0) <> COALESCE(b.total, 0.0)"
     )
 
+    q["merge_totals"] = with_(
+        **rep,
+        ct=totals_union(cur_tables, _cur_cols_all()),
+        pt=totals_union(past_tables, _past_cols_all()),
+        aft=totals_union(merged_tables, _all_cols()),
+    ) + (
+        "SELECT level, fy, metric, c.total AS current, p.total AS past, COALESCE(c.total, p.total) AS before, a.total AS merged "
+        "FROM aft a LEFT JOIN ct c USING (level, fy, metric) LEFT JOIN pt p USING (level, fy, metric)"
+    )
+
     overlap = (
         "SELECT CAST(SUM(CASE WHEN c = 1 AND p = 0 THEN 1 ELSE 0 END) AS BIGINT) AS only_current, "
         "CAST(SUM(CASE WHEN c = 0 AND p = 1 THEN 1 ELSE 0 END) AS BIGINT) AS only_past, "
@@ -482,6 +492,8 @@ def oracle_sql() -> dict[str, str]:
         "FROM (SELECT k, MAX(c) AS c, MAX(p) AS p FROM (SELECT cust_code AS k, 1 AS c, 0 AS p FROM cur "
         "UNION ALL SELECT cust_code AS k, 0 AS c, 1 AS p FROM past) GROUP BY k)"
     )
+    q["key_overlap_bitmaps"] = q["key_overlap"]
+    q["merge_bucketed"] = q["merge_customer"]
     typed_m = f"SELECT {', '.join(CUST_K + [typed(c) for c in ALL_YCOLS])} FROM m"
     cols = CUST_K + ALL_YCOLS
     q["null_profile"] = with_(**merged_level_ctes("customer"), t=typed_m) + " UNION ALL ".join(
@@ -505,6 +517,7 @@ def oracle_sql() -> dict[str, str]:
     q["detail_projected"] = with_(cur=cur_sql(CORP_K)) + f"SELECT corp_code, sales_{CUR_FY} FROM cur"
     q["master_missing_lenient"] = with_(**std_ctes("corp"), m=merged_sql("corp", "overwrite")) + out(CORP_K + ["corp_name"])
     q["availability_policy"] = level_sums(["corp", "customer"], ", TRUE AS all_stops")
+    q["generation_commit"] = level_sums(["corp", "customer"], ", TRUE AS kept")
     q["export_csv_roundtrip"] = q["summary_customer"]
     quoted = with_(named=f"SELECT * REPLACE ({AWKWARD_NAME} AS cust_name) FROM detail", cur=cur_sql(CUST_K, src="named"))
     q["csv_quoted_roundtrip"] = quoted + out(CUST_K, CUR_COLS, "cur")
