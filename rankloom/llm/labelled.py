@@ -11,13 +11,15 @@ def remainder(doc_id: str, folds: int) -> Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(folds)).cast("int")
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, rows: int) -> tuple[DataFrame, dict]:
-    """(doc_id, text, y) of at most ``rows`` labelled documents outside the
+def sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, rows: int,
+           extra: tuple[str, ...] = ()) -> tuple[DataFrame, dict]:
+    """(doc_id, text, y and the columns ``extra``) of at most ``rows`` labelled documents outside the
     held-out fold, half of the places for each class, picked by a hash of the
     doc_id; and how many labels of each class there are.
 
     A doc_id with several labels counts as 1 if at least half of them are;
-    null labels and null doc_ids are left out.  The picked labels (at most
+    null labels and null doc_ids are left out.  Of documents with one doc_id,
+    however many, one is taken, by a hash of its text.  The picked labels (at most
     ``rows``) are what the join broadcasts."""
     known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
     known = known.filter(remainder("doc_id", folds) != held_out)
@@ -26,4 +28,6 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out:
     order = [F.xxhash64("doc_id", F.lit(label)), "doc_id"]
     picked = known.filter("y = 0").orderBy(*order).limit(rows // 2).unionByName(
         known.filter("y = 1").orderBy(*order).limit(rows // 2))
-    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id"), counts
+    of = docs.select("doc_id", F.struct(F.xxhash64("text").alias("hash"), "text", *extra).alias("one")).join(F.broadcast(picked), "doc_id")
+    one = of.groupBy("doc_id").agg(F.min("one").alias("one"), F.min("y").alias("y"))
+    return one.select("doc_id", "one.text", "y", *[f"one.{c}" for c in extra]), counts

@@ -175,10 +175,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int
           rows: int = TRAIN_ROWS, metadata: tuple[str, ...] = ()) -> Machine:
     """A machine from at most ``rows`` labelled documents outside the held-out fold."""
     size = WORDS + STATISTICS + len(metadata)
-    sample, counts = labelled.sample(docs, labels, label, folds, held_out, rows)
-    if metadata:
-        sample = sample.join(F.broadcast(docs.select("doc_id", *metadata).join(
-            F.broadcast(sample.select("doc_id")), "doc_id", "left_semi")), "doc_id")
+    sample, counts = labelled.sample(docs, labels, label, folds, held_out, rows, metadata)
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:

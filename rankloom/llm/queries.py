@@ -32,8 +32,8 @@ def op3_bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = quality.classify(docs, table(spark, sf_dir, "labels"), keep=["doc_id"])
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    out = quality.classify(docs, table(spark, sf_dir, "labels"), metadata=("n_chars",), keep=["doc_id"])
     return out.select("doc_id", "held_out", "score", "predicted")
 
 

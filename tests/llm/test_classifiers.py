@@ -34,6 +34,25 @@ def test_labels_of_the_held_out_fold_are_not_read(spark):
     assert few.count() == 10
 
 
+def test_one_row_of_a_repeated_doc_id(spark):
+    rows = [(i, f"text {i}") for i in range(20)] + [(4, f"copy {i}") for i in range(30)] + [(4, None), (4, "text 4"), (None, "x")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)] + [(4, 1), (None, 1)], "doc_id long, quality int")
+    got, _ = labelled.sample(docs(spark, rows).repartition(5), labels, "quality", 4, 2, 100, ("lang",))
+    ids = [r["doc_id"] for r in got.collect()]
+    assert len(ids) == len(set(ids)) and 4 in ids and got.columns == ["doc_id", "text", "y", "lang"]
+    again, _ = labelled.sample(docs(spark, rows[::-1]), labels, "quality", 4, 2, 100, ("lang",))
+    assert sorted(map(str, got.collect())) == sorted(map(str, again.collect()))
+
+
+def test_metadata_of_the_document_itself(spark):
+    d = docs(spark, [(i, "same words") for i in range(80)]).withColumn("n_chars", (F.col("doc_id") % 2 * 90000).cast("long"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, quality int")
+    got = quality.classify(d, labels, metadata=("n_chars",), keep=["doc_id"]).collect()
+    assert min(r["score"] for r in got if r["doc_id"] % 2) > max(r["score"] for r in got if not r["doc_id"] % 2)
+    nulls = quality.classify(d.withColumn("n_chars", F.lit(None).cast("long")), labels, metadata=("n_chars",), keep=["doc_id"]).collect()
+    assert len({r["score"] for r in nulls}) == 1
+
+
 def test_pairwise_part_by_sum_of_squares():
     rng = np.random.default_rng(0)
     size = quality.WORDS + quality.STATISTICS
