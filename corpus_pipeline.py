@@ -43,7 +43,7 @@ def aside(stage):
 @aside
 def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
-    judged = quality.classify(docs, table(spark, sf_dir, "labels"), keep=docs.columns)
+    judged = quality.classify(docs, table(spark, sf_dir, "labels"), metadata=("n_chars",), keep=docs.columns)
     return judged.filter("predicted = 1").select(*docs.columns)
 
 
