@@ -2,16 +2,24 @@
 
 A page is read into blocks: runs of text between the starts and ends of
 block elements.  Each block gets two costs, one for being called content
-and one for being called boilerplate, from a classifier of its text and
-markup plus the evidence of the elements around it.  Neighbouring blocks, and the
-next blocks inside one container, are joined by smoothness edges that weaken
-with their distance in the document tree.  The costs are the terminal
+and one for being called boilerplate, from a classifier of its text, its
+markup and the subtree it lies in, plus the evidence of the elements around
+it.  Neighbouring blocks, and the next blocks inside one container, are joined
+by smoothness edges that weaken with their distance in the document tree and
+with the contrast of their surroundings.  The costs are the terminal
 capacities of a flow network; its minimum cut (maximum flow) is the labelling
 with the least sum of costs and cut edges.
 
+No element decides by itself.  An article weighs as much as the classifier may
+claim; a name that may be page furniture or a subject (discussion, alert,
+search, or any id inside an article) weighs less, so that prose under it
+stays; only what can be nothing else (nav, footer, sidebar) outweighs both.
+Pages without any such mark are labelled by the classifier and the edges.
+
 The classifier is a logistic regression, fitted in numpy on blocks of at most
 ``TRAIN_PAGES`` pages whose elements say what they are (blocks within
-article or main against those within nav, footer, aside and the like).
+article or main against those within nav, footer, aside and the like); its
+features name none of these elements.
 
 Pages are independent rows: Spark deals them out, and each is handled inside
 its task, whatever its length.
@@ -26,6 +34,8 @@ Defined cases
   if the element has its end tag, and is ordinary text if not; text within
   svg and math is text of the block around it;
 * character references are decoded once; what is no reference stays;
+* the classifier learns from one page of each page_id, by a hash of its html,
+  however many rows have it, a null page_id included;
 * null page_id or url pass through; repeated rows stay; empty input: empty
   output; other columns pass through, an existing text, n_chars or n_blocks
   is replaced.
@@ -49,10 +59,15 @@ from pyspark.sql import types as T
 from .common import require
 
 TRAIN_PAGES = 400
-#: Weight of the evidence of surrounding elements, and of lying outside the page's article.
-LANDMARK, OUTSIDE = 6.0, 3.0
+#: Evidence of page furniture around a block: none, a doubtful name, a form, firm.
+NONE, DOUBTFUL, FORM, FIRM = range(4)
+AGAINST = (0.0, 2.5, 4.0, 5.0)
+#: Weight of lying inside the page's article, and outside of it.
+INSIDE, OUTSIDE = 3.0, 2.5
 #: Most that the classifier alone may claim, and the weights of smoothness edges.
 CLAIM, ADJACENT, SIBLING = 3.0, 1.0, 0.8
+#: How fast an edge weakens with the difference of its blocks' evidence.
+CONTRAST = 0.5
 
 #: Element names of HTML by what they do here, and words that name page furniture.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -69,16 +84,17 @@ CLOSES = {
 }
 HOLDERS = set("ul ol dl table tbody thead tr div section article main aside nav header footer form body html td th".split())
 CONTENT_TAGS = {"article", "main"}
-FURNITURE_TAGS = set("nav footer aside form menu dialog head title button fieldset legend".split())
+FURNITURE_TAGS = set("nav footer aside form menu dialog head title button".split())
 FURNITURE_WORDS = set(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist "
-    "consent cookie cookies disqus discussion footer footnav gdpr login masthead menu modal nav navbar navigation "
+    "consent cookie cookies disqus footer footnav gdpr login masthead menu modal nav navbar navigation "
     "newsletter notice notices notification pager pagination paywall popup promo promotion promoted recommended "
-    "recommendations related reply replies respond responses search share sharing shoutbox sidebar sidebars signup "
-    "sitemap skip social sponsor sponsored subscribe subscription teaser teasers toolbar topbar widget widgets alert "
+    "recommendations related reply replies respond responses share sharing shoutbox sidebar sidebars signup "
+    "sitemap skip social sponsor sponsored subscribe subscription teaser teasers toolbar topbar widget widgets "
     "aside complementary contentinfo dialog alertdialog hidden".split())
+DOUBTFUL_WORDS = set("alert discussion search".split())
 
-COMMENT_WORDS = set("comment comments commentlist discussion disqus reply replies respond responses".split())
+COMMENT_WORDS = set("comment comments commentlist disqus reply replies respond responses".split())
 NOT_ITSELF, PAGE_WORDS = set("has no with without".split()), set("site page top global main masthead".split())
 PROSE_TAGS = set("p blockquote pre dd figcaption h1 h2 h3 h4 h5 h6".split())
 #: Start tags that end an open svg or math.
@@ -101,29 +117,36 @@ class Block:
     tag: str         # the innermost block element
     path: tuple      # identities of the open block elements, outermost first
     content: bool    # inside article or main
-    furniture: int   # 2 inside something that names itself page furniture, 1 inside a form only
+    furniture: int   # the strongest evidence of page furniture around it
 
 
-def furniture_words(tag: str, attributes: str) -> tuple[bool, bool]:
-    """Whether the attributes name page furniture; whether they name content.
+def furniture_words(tag: str, attributes: str, inside: bool) -> tuple[int, bool]:
+    """How firmly the attributes name page furniture; whether they name content.
 
     A name such as has-sidebar or no-comments says what a page has, not what
     the element is.  An article or main element is furniture only as part of
-    reader comments."""
-    bad = good = False
+    reader comments.  Inside an article a word in the middle of a name, and any
+    id (there the subject of a section), is doubtful."""
+    bad, good = NONE, False
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            bad = True
+            bad = FIRM
         elif name == "style":
-            bad |= bool(HIDING.search(value))
+            bad = FIRM if HIDING.search(value) else bad
         elif name in ("class", "id", "role"):
             for one in value.split():
-                found = set(WORDS.findall(HUMP.sub(" ", one).lower()))
-                if not NOT_ITSELF.isdisjoint(found):
+                parts = WORDS.findall(HUMP.sub(" ", one).lower())
+                found = set(parts)
+                if not parts or not NOT_ITSELF.isdisjoint(found):
                     continue
-                bad |= not (COMMENT_WORDS if tag in CONTENT_TAGS else FURNITURE_WORDS).isdisjoint(found)
-                bad |= tag not in CONTENT_TAGS and "header" in found and (len(found) == 1 or not PAGE_WORDS.isdisjoint(found))
+                known = COMMENT_WORDS if tag in CONTENT_TAGS else FURNITURE_WORDS
+                header = tag not in CONTENT_TAGS and "header" in found and (len(found) == 1 or not PAGE_WORDS.isdisjoint(found))
+                if header or not known.isdisjoint(found):
+                    firm = not inside or (name != "id" and (header or not known.isdisjoint((parts[0], parts[-1]))))
+                    bad = max(bad, FIRM if firm else DOUBTFUL)
+                elif tag not in CONTENT_TAGS and not DOUBTFUL_WORDS.isdisjoint(found):
+                    bad = max(bad, DOUBTFUL)
                 good |= name == "role" and bool({"main", "article"} & found)
     return bad, good
 
@@ -132,7 +155,7 @@ def blocks(html: str) -> list[Block]:
     """The page's blocks that have text, in page order."""
     out: list[Block] = []
     parts: list[str] = []
-    stack: list[tuple] = []  # (tag, is block, content, furniture, identity)
+    stack: list[tuple] = []  # (tag, is block, content, evidence of furniture, identity)
     hidden: dict[int, tuple] = {}  # identity -> where the open hidden element began
     linked = links = identity = at = begin = foreign = 0
     path: tuple = ()
@@ -142,7 +165,7 @@ def blocks(html: str) -> list[Block]:
         if len(parts) > begin:
             text = " ".join(unescape("".join(parts[begin:])).split())
             if text:
-                holder = next((e for e in reversed(stack) if e[1]), ("", True, False, 0, 0))
+                holder = next((e for e in reversed(stack) if e[1]), ("", True, False, NONE, 0))
                 out.append(Block(text, min(linked, len(text)), holder[0], path, holder[2], holder[3]))
             begin = len(parts)
         linked = 0
@@ -198,7 +221,7 @@ def blocks(html: str) -> list[Block]:
                 parts.append(" ")
             if not m[0].endswith("/>"):
                 identity += 1
-                above = stack[-1] if stack else ("", True, False, 0, 0)
+                above = stack[-1] if stack else ("", True, False, NONE, 0)
                 stack.append((tag, False, *above[2:4], identity))
                 if tag in HIDDEN or (foreign and tag in FOREIGN_HIDDEN):
                     hidden[identity] = (len(out), len(parts), begin, linked)
@@ -221,16 +244,17 @@ def blocks(html: str) -> list[Block]:
             end_block()
         elif tag == "a" and links:
             continue
-        bad, good = furniture_words(tag, m[2]) if m[2] and not m[2].isspace() else (False, False)
-        above = stack[-1] if stack else ("", True, False, 0, 0)
-        bad |= tag in FURNITURE_TAGS or (tag == "header" and not above[2])
-        # a form around the page's article is part of the page, not of the article
-        under = 0 if above[3] == 1 and tag in CONTENT_TAGS else above[3]
+        above = stack[-1] if stack else ("", True, False, NONE, 0)
+        bad, good = furniture_words(tag, m[2], above[2]) if m[2] and not m[2].isspace() else (NONE, False)
+        if tag in FURNITURE_TAGS or (tag == "header" and not above[2]):
+            bad = max(bad, FORM if tag == "form" else FIRM)
+        # a form or a doubtful name around the page's article is part of the page, not of the article
+        under = NONE if above[3] != FIRM and tag in CONTENT_TAGS else above[3]
         if m[0].endswith("/>") and tag in ("p", "div", "span"):
             continue
         identity += 1
         stack.append((tag, is_block, above[2] or good or tag in CONTENT_TAGS,
-                      max(under, (1 if tag == "form" else 2) if bad and tag not in ("html", "body") else 0), identity))
+                      max(under, bad if tag not in ("html", "body") else NONE), identity))
         links += tag == "a"
         if is_block:
             path += (identity,)
@@ -242,32 +266,44 @@ def blocks(html: str) -> list[Block]:
             if parts_before:
                 text = " ".join(unescape("".join(parts_before)).split())
                 if text:
-                    holder = next((e for e in reversed(stack[:-1]) if e[1]), ("", True, False, 0, 0))
+                    holder = next((e for e in reversed(stack[:-1]) if e[1]), ("", True, False, NONE, 0))
                     out.append(Block(text, min(linked, len(text)), holder[0], path[:-1], holder[2], holder[3]))
                 linked = 0
     end_block()
     return out
 
 
-FEATURES = 9
+FEATURES = 12
 
 
 def block_features(page: list[Block]) -> np.ndarray:
-    """What the text and its own element say, without the surroundings."""
+    """What the text, its own element and the text of the subtree around it
+    say, without the names of the surroundings."""
     out = np.zeros((len(page), FEATURES), dtype=np.float32)
+    size: dict[int, int] = {}  # characters outside links in every element
+    for b in page:
+        for e in b.path:
+            size[e] = size.get(e, 0) + len(b.text) - b.linked
+    # the element that most of the text shares, as deep as it goes
+    whole, core = sum(len(b.text) - b.linked for b in page), 0
+    for b in page:
+        for e in b.path:
+            core = max(core, e) if 2 * size[e] > whole else core
     for i, b in enumerate(page):
         n = len(b.text)
+        holder = b.path[-2] if len(b.path) > 1 else 0
         words = b.text.count(" ") + 1
         out[i] = (
             1.0, b.linked / n, math.log1p(words) / 6, math.log1p(n / words) / 4, b.text[-1] in ".!?…\"”»)",
             min(1.0, sum(map(b.text.count, ",;:.!?")) / words), 0.4 * (b.tag in PROSE_TAGS),
-            sum(map(str.isdigit, b.text)) / n, "©" in b.text or " | " in b.text or " · " in b.text)
+            sum(map(str.isdigit, b.text)) / n, "©" in b.text or " | " in b.text or " · " in b.text,
+            size.get(holder, whole) / max(1, whole), n / max(1, whole), core in b.path)
     return out
 
 
 def weak_labels(page: list[Block]) -> np.ndarray:
     """1 content, 0 furniture, -1 where no element says so."""
-    return np.array([0 if b.furniture else 1 if b.content else -1 for b in page], dtype=np.int64)
+    return np.array([0 if b.furniture >= FORM else 1 if b.content and not b.furniture else -1 for b in page], dtype=np.int64)
 
 
 def fit(x: np.ndarray, y: np.ndarray, steps: int = 300, rate: float = 0.5, decay: float = 0.05) -> np.ndarray:
@@ -356,30 +392,36 @@ def minimum_cut(lean: np.ndarray, edges: dict[tuple[int, int], float]) -> np.nda
     return label
 
 
-def content(page: list[Block], weights: np.ndarray) -> np.ndarray:
-    """Which of the page's blocks are its main text."""
-    if not page:
-        return np.zeros(0, bool)
-    lean = np.clip(block_features(page) @ weights, -CLAIM, CLAIM)
-    inside = np.array([b.content and not b.furniture for b in page])
-    bad = np.array([b.furniture > 0 for b in page])
-    lean = lean + np.where(bad, -LANDMARK, 0) + np.where(inside, LANDMARK, 0)
+def network(page: list[Block], weights: np.ndarray) -> tuple[np.ndarray, dict[tuple[int, int], float]]:
+    """(lean of each block towards content, edges between blocks)."""
+    claim = np.clip(block_features(page) @ weights, -CLAIM, CLAIM)
+    against = np.array(AGAINST)[[b.furniture for b in page]]
+    inside = np.array([b.content and b.furniture < FORM for b in page])
+    evidence = np.where(inside, INSIDE, 0.0) - against
     if inside.any():
-        lean = lean - np.where(~inside & ~bad, OUTSIDE, 0)
+        evidence = evidence - np.where(~inside & (against < AGAINST[FORM]), OUTSIDE, 0.0)
     edges: dict[tuple[int, int], float] = {}
+
+    def join(a: int, b: int, w: float):
+        edges[a, b] = edges.get((a, b), 0.0) + w * math.exp(-CONTRAST * abs(evidence[a] - evidence[b]))
+
     last: dict[int, int] = {}
     for i, b in enumerate(page):
         if i:
             a = page[i - 1]
             common = next((k for k, (x, y) in enumerate(zip(a.path, b.path)) if x != y), min(len(a.path), len(b.path)))
             apart = len(a.path) + len(b.path) - 2 * common
-            edges[i - 1, i] = ADJACENT * math.exp(-max(0, apart - 2) / 2)
+            join(i - 1, i, ADJACENT * math.exp(-max(0, apart - 2) / 2))
         holder = b.path[-2] if len(b.path) > 1 else 0
         if holder in last:
-            key = (last[holder], i)
-            edges[key] = edges.get(key, 0.0) + SIBLING
+            join(last[holder], i, SIBLING)
         last[holder] = i
-    return minimum_cut(lean, edges)
+    return claim + evidence, edges
+
+
+def content(page: list[Block], weights: np.ndarray) -> np.ndarray:
+    """Which of the page's blocks are its main text."""
+    return minimum_cut(*network(page, weights)) if page else np.zeros(0, bool)
 
 
 def main_text(html: str | None, weights: np.ndarray) -> tuple[str, int]:
@@ -390,7 +432,7 @@ def main_text(html: str | None, weights: np.ndarray) -> tuple[str, int]:
 
 
 def train(pages: DataFrame, n: int = TRAIN_PAGES) -> np.ndarray:
-    """Weights from the blocks of at most ``n`` pages, picked by a hash."""
+    """Weights from the blocks of at most ``n`` pages, one of each page_id, picked by a hash."""
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             found = [blocks(h.as_py() or "") for h in b.column("html")]
@@ -407,8 +449,9 @@ def train(pages: DataFrame, n: int = TRAIN_PAGES) -> np.ndarray:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(x), pa.list_(pa.float32())), pa.array(y, pa.int64())], ["x", "y"])
 
-    picked = pages.select("page_id").orderBy(F.xxhash64("page_id"), "page_id").limit(n).distinct()
-    sample = pages.join(F.broadcast(picked), "page_id", "left_semi").select("html")
+    picked = pages.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(n).withColumnRenamed("page_id", "picked")
+    of = pages.join(F.broadcast(picked), F.col("page_id").eqNullSafe(F.col("picked")), "left_semi")
+    sample = of.groupBy("page_id").agg(F.min_by("html", F.xxhash64("html")).alias("html")).select("html")
     got = sample.mapInArrow(batches, "x array<float>, y long").toArrow()
     y = np.array(got["y"].to_pylist(), dtype=np.int64)
     x = np.array(got["x"].to_pylist(), dtype=np.float64).reshape(-1, FEATURES)
