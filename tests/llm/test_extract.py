@@ -170,4 +170,4 @@ def test_training_takes_one_page_of_an_id(spark):
     least = spark.createDataFrame(hot, of).orderBy(F.xxhash64("html")).head()
     got = extract.train(spark.createDataFrame(hot + pages, of))
     assert np.allclose(got, extract.train(spark.createDataFrame([tuple(least)] + pages, of)))
-    assert np.any(extract.train(spark.createDataFrame([(None, PLAIN)], of)))
+    assert np.any(extract.train(spark.createDataFrame([(None, WRAPPED)], of)))
