@@ -41,6 +41,7 @@ their names, are not read.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -217,29 +218,53 @@ def _hash(key: np.ndarray) -> np.ndarray:
     return _mixed(key) >> np.uint64(20)
 
 
+def _order(code: np.ndarray, bits: int) -> np.ndarray:
+    """The stable order of numbers below 2 ** bits: each is sorted together with its place, if both fit in one."""
+    wide = len(code).bit_length()
+    if bits + wide > 63:
+        return np.argsort(code, kind="stable")
+    return np.sort(code << wide | np.arange(len(code))) & ((1 << wide) - 1)
+
+
 def _sorted(part: np.ndarray, head: np.ndarray, tail: np.ndarray) -> np.ndarray:
-    """An order by part, first word and second word: one number to sort by, if they fit in one."""
-    second = tail >> 32
-    bits = [int(x.max(initial=0)).bit_length() for x in (part, head, second)]
-    if sum(bits) > 62:
-        return np.lexsort((tail, head, part))
-    return np.argsort((part << bits[1] | head) << bits[2] | second)
-
-
-def _alike(head: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(order, new): an order that brings equal runs together, and where a run
-    differs from the one before.  Runs are sorted by a hash; should two of one
-    hash differ, by themselves."""
-    key = np.stack([head, tail], axis=1)
-    hashed = _mixed(key)
-    order = np.argsort(hashed)
-    key, hashed = key[order], hashed[order]
+    """An order by part, first word and second word, the same on every machine."""
+    order = np.arange(len(part))
+    for key in (tail >> 32, head, part):  # stable, the last key first
+        order = order[_order(key[order], int(key.max(initial=0)).bit_length())]
+    return order
+
+
+def _distinct(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(high, low, place): the distinct pairs of numbers, sorted, and the place of each in them."""
+    bits = [int(x.max(initial=0)).bit_length() for x in (high, low)]
+    code = high.astype(np.int64) << bits[1] | low
+    order = _order(code, sum(bits))
+    code = code[order]
+    new = np.ones(len(code), bool)
+    new[1:] = code[1:] != code[:-1]
+    place = np.empty(len(code), np.int64)
+    place[order] = np.cumsum(new) - 1
+    code = code[new]
+    return code >> bits[1], code & ((1 << bits[1]) - 1), place
+
+
+def _alike(head: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, int]:
+    """(group, groups): the group of equal runs that each run is in.  Runs are
+    sorted by a hash; should two of one hash differ, by themselves."""
+    bits = 63 - len(head).bit_length()
+    hashed = (_mixed(np.stack([head, tail], axis=1)) >> np.uint64(64 - bits)).astype(np.int64)
+    order = _order(hashed, bits)
+    same = hashed[order]
+    same = same[1:] == same[:-1]
+    differ = lambda: (np.diff(head[order]) != 0) | (np.diff(tail[order]) != 0)
     new = np.ones(len(order), bool)
-    new[1:] = (key[1:] != key[:-1]).any(axis=1)
-    if (new[1:] & (hashed[1:] == hashed[:-1])).any():
+    new[1:] = differ()
+    if (new[1:] & same).any():
         order = np.lexsort((tail, head))
-        new[1:] = (np.diff(head[order]) != 0) | (np.diff(tail[order]) != 0)
-    return order, new
+        new[1:] = differ()
+    group = np.empty(len(order), np.int64)
+    group[order] = np.cumsum(new) - 1
+    return group, int(new.sum())
 
 
 def _runs(tokens: np.ndarray, skip: int, kind: np.ndarray, gid: np.ndarray, m: np.ndarray, parts: int) -> _Runs:
@@ -250,37 +275,34 @@ def _runs(tokens: np.ndarray, skip: int, kind: np.ndarray, gid: np.ndarray, m: n
     known = gid[tokens] >= 0
     before = np.concatenate([[BEGIN], tokens[:-1]])
     has = word & known & np.concatenate([[False], known[:-1]])
-    code, inverse = np.unique(before[has].astype(np.int64) << 32 | tokens[has], return_inverse=True)
+    left, right, inverse = _distinct(before[has], tokens[has])
     two = np.full(len(tokens), -1, np.int64)
     two[has] = inverse
     # a run of three is the token before with its run of two, and this token
     last = np.concatenate([[-1], two[:-1]])
     has = owned & (two >= 0) & (last >= 0) & (before != BEGIN)
-    code3, inverse = np.unique(last[has] << 32 | tokens[has], return_inverse=True)
+    pair, right3, inverse = _distinct(last[has], tokens[has])
     three = np.full(len(tokens), -1, np.int64)
-    three[has] = inverse + len(code)
-    low = (1 << 32) - 1
-    first = code[code3 >> 32] >> 32
-    second = np.concatenate([code >> 32, code[code3 >> 32] & low])
-    third = np.concatenate([code & low, code3 & low])
-    total = len(code) + len(code3)
+    three[has] = inverse + len(left)
+    first, second, third = left[pair], np.concatenate([left, right[pair]]), np.concatenate([right, right3])
+    total = len(left) + len(pair)
     counts = np.zeros((total, 2), np.int64)
     for c, least in enumerate((TRAIN, DELETED)):
-        for runs in (two, three):
-            mine = owned & (kind >= least) & (runs >= 0)
-            counts[:, c] += np.bincount(runs[mine], minlength=total)
+        of = owned & (kind >= least)
+        if of.any():
+            counts[:, c] = np.bincount(np.concatenate([x[of & (x >= 0)] for x in (two, three)]), minlength=total)
     here = np.bincount(tokens[owned], minlength=len(gid))
     elsewhere = m > here
     elsewhere[[BEGIN, END]] = True
     ask = elsewhere[second] & elsewhere[third]
-    ask[len(code):] &= elsewhere[first]
+    ask[len(left):] &= elsewhere[first]
     asked = np.flatnonzero(ask)
     head = np.zeros(total, np.int64)
-    head[len(code):] = gid[first] + 1
+    head[len(left):] = gid[first] + 1
     key = np.stack([head[asked], gid[second[asked]] << 32 | gid[third[asked]]], axis=1)
     part = (_hash(key) % np.uint64(parts)).astype(np.int64)
     order = _sorted(part, key[:, 0], key[:, 1])
-    return _Runs(kind, owned, two, three, counts, asked[order], key[order], part[order], len(code))
+    return _Runs(kind, owned, two, three, counts, asked[order], key[order], part[order], len(left))
 
 
 def _opened(r: dict, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, _Runs]:
@@ -298,7 +320,8 @@ def _spell(parts: int):
         for batch in rows:
             for r in batch.to_pylist():
                 words, counts = unpack_words(r["words"]), unpack(r["counts"])
-                edge = np.searchsorted(_crc(words) * parts >> 32, np.arange(parts + 1))
+                part = lambda i: zlib.crc32(words[i].as_buffer()) * parts >> 32
+                edge = np.array([bisect_left(range(len(words)), p, key=part) for p in range(parts)] + [len(words)])
                 here = np.flatnonzero(np.diff(edge))
                 made = [(pack_words(words[edge[p]:edge[p + 1]]), pack(*[x[edge[p]:edge[p + 1]] for x in counts])) for p in here]
                 yield pa.RecordBatch.from_arrays(
@@ -386,10 +409,8 @@ def _sums(rows: pd.DataFrame) -> pd.DataFrame:
     head = np.concatenate([np.cumsum(x[0]) for x in got])
     tail = np.concatenate([_seconds(x[0], x[1]) << 32 | x[2] for x in got])
     n, d = np.concatenate([x[3] for x in got]), np.concatenate([x[4] for x in got])
-    order, new = _alike(head, tail)
-    heads, group = np.flatnonzero(new), np.empty(len(order), np.int64)
-    group[order] = np.cumsum(new) - 1
-    n, d = (np.add.reduceat(x[order], heads)[group] - x for x in (n, d))
+    group, known = _alike(head, tail)
+    n, d = (np.bincount(group, x, minlength=known).astype(np.int64)[group] - x for x in (n, d))
     cuts = np.cumsum(size)[:-1]
     return pd.DataFrame({"block": rows["block"], "deleted": rows["deleted"], "part": rows["part"],
                          "body": [pack(narrow(a), narrow(b)) for a, b in zip(np.split(n, cuts), np.split(d, cuts))]})
@@ -408,29 +429,24 @@ class Totals(NamedTuple):
         return Totals, tuple(self)
 
 
-def _counts(r: dict, parts: int, totals: Totals):
-    """(owned, kind, known count, counts, contexts) of a block's tokens; counts and
-    contexts are (tokens, 2) for each order: in training, in its held-out part."""
+def _counts(r: dict, parts: int, totals: Totals, without: bool = False):
+    """(owned, counts, contexts) of a block's tokens for the orders 1 to 3 and
+    2 to 3: in training, or ``without`` its held-out part."""
     tokens, gid, n, d, runs = _opened(r, parts)
-    sums = runs.counts.copy()
+    pick = (lambda x, y: x - y) if without else (lambda x, y: x)
+    sums = np.append(pick(*runs.counts.T), 0)  # run -1: never found
     replies = sorted(r["replies"] or [], key=lambda x: x["part"])
     if replies:
-        got = [unpack(x["body"]) for x in replies]
-        sums[runs.asked, 0] += np.concatenate([x[0] for x in got])
-        sums[runs.asked, 1] += np.concatenate([x[1] for x in got])
-    texts = np.array([totals.texts, totals.deleted_texts])
-    n[END], d[END] = texts
-    one = np.stack([n[tokens], d[tokens]], axis=1)
-    one[tokens == BEGIN] = texts  # as a context
-    sums = np.concatenate([sums, np.zeros((1, 2), np.int64)])  # run -1: never found
-    two, three = sums[runs.two], sums[runs.three]
-    ahead = lambda x: np.concatenate([np.zeros((1, 2), np.int64), x[:-1]])
+        sums[runs.asked] += np.concatenate([pick(*unpack(x["body"])) for x in replies])
+    n, texts = pick(n, d), pick(totals.texts, totals.deleted_texts)
+    n[[BEGIN, END]] = texts
+    one, two, three = n[tokens], sums[runs.two], sums[runs.three]
+    ahead = lambda x: np.concatenate([[0], x[:-1]])
     first = np.concatenate([[False], tokens[:-1] == BEGIN])
-    over_two = ahead(one)
-    over_three = np.where(first[:, None], texts, ahead(two))
-    three = np.where(first[:, None], two, three)  # the text begins twice
+    over_three = np.where(first, texts, ahead(two))
+    three = np.where(first, two, three)  # the text begins twice
     mine = runs.owned
-    return mine, runs.kind[mine], [x[mine] for x in (one, two, three)], [x[mine] for x in (over_two, over_three)]
+    return mine, [x[mine] for x in (one, two, three)], [x[mine] for x in (ahead(one), over_three)]
 
 
 def bucket(n: np.ndarray) -> np.ndarray:
@@ -545,8 +561,8 @@ def score(docs: DataFrame, folds: int = FOLDS, doc_id: str = "doc_id", text: str
         for batch in rows:
             out = []
             for r in batch.to_pylist():
-                _, _, counts, contexts = _counts(r, parts, totals)
-                out.append(pack(*[narrow(x[:, 0] - x[:, 1]) for x in (*counts, *contexts)]))
+                _, counts, contexts = _counts(r, parts, totals, without=True)
+                out.append(pack(*[narrow(x) for x in (*counts, *contexts)]))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["counts"])
 
     mixture = fit(materialize(gathered(F.col("deleted")).mapInArrow(left_out, "counts binary")), totals, rounds)
@@ -554,8 +570,7 @@ def score(docs: DataFrame, folds: int = FOLDS, doc_id: str = "doc_id", text: str
     def scored(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             for r in batch.to_pylist():
-                owned, _, counts, contexts = _counts(r, parts, totals)
-                counts, contexts = [x[:, 0] for x in counts], [x[:, 0] for x in contexts]
+                owned, counts, contexts = _counts(r, parts, totals)
                 p3 = probabilities(mixture if totals.tokens else mixture._replace(one=0.0), _estimates(counts, contexts, totals.tokens),
                                    contexts, totals.known)[2]
                 base = np.log10((counts[0] + ADDED) / (totals.tokens + ADDED * (totals.known + 1)))

@@ -152,10 +152,21 @@ def test_equal_runs_meet_whatever_their_hash(monkeypatch, collide):
         monkeypatch.setattr(lm, "_mixed", lambda key: np.zeros(len(key), np.uint64))
     rng = np.random.default_rng(5)
     head, tail = rng.integers(0, 9, 4000), rng.integers(0, 30, 4000) << 32 | rng.integers(0, 5, 4000)
-    order, new = lm._alike(head, tail)
+    group, groups = lm._alike(head, tail)
     runs = np.stack([head, tail], axis=1)
-    assert new.sum() == len(np.unique(runs, axis=0))
-    assert all((g == g[0]).all() for g in np.split(runs[order], np.flatnonzero(new)[1:]))
+    known, place = np.unique(runs, axis=0, return_inverse=True)
+    assert groups == len(known) == len(np.unique(group)) == len(np.unique(np.stack([group, place.reshape(-1)], axis=1), axis=0))
+
+
+@pytest.mark.parametrize("bits", [1, 12, 40, 62])
+def test_numbers_sorted_with_their_places_keep_equal_ones_in_order(bits):
+    rng = np.random.default_rng(7)
+    code = rng.integers(0, 1 << bits, 3000)
+    assert (lm._order(code, bits) == np.argsort(code, kind="stable")).all()
+    assert len(lm._order(code[:0], bits)) == 0
+    high, low = code >> bits // 2, code & ((1 << bits // 2) - 1)
+    one, two, place = lm._distinct(high, low)
+    assert (one[place] == high).all() and (two[place] == low).all() and len(one) == len(np.unique(code))
 
 
 @pytest.mark.parametrize("top", [50, 1 << 31])
