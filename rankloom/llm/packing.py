@@ -36,7 +36,6 @@ from __future__ import annotations
 
 import base64
 import json
-import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -104,11 +103,10 @@ def encoder(vocabulary: str = VOCABULARY):
 
 @lru_cache(maxsize=2)
 def added_tokens(vocabulary: str = VOCABULARY) -> dict[str, int]:
-    """The added tokens of the tokenizers file and their ids; none where there is only a rank file."""
+    """The added tokens of the tokenizers file and their ids.  Without that file the ids of texts
+    that hold one are not known, which is an error."""
     import public_tokenizers
 
-    if not os.path.exists(public_tokenizers.path(f"{vocabulary}.json")):
-        return {}
     with open(public_tokenizers.path(f"{vocabulary}.json"), encoding="utf-8") as f:
         added = json.load(f).get("added_tokens") or []
     for t in added:

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 from rankloom.llm import packing, queries
@@ -129,3 +130,11 @@ def test_edge_cases(spark):
     for places in found.values():
         gapless(places, 1024)
     assert packing.pack_documents(docs(spark, [])).count() == 0
+
+
+def test_without_the_tokenizers_file_there_are_no_ids(monkeypatch, tmp_path):
+    packing.added_tokens.cache_clear()
+    monkeypatch.setattr(public_tokenizers, "path", lambda name: str(tmp_path / name))
+    with pytest.raises(FileNotFoundError):
+        packing.added_tokens()
+    packing.added_tokens.cache_clear()
