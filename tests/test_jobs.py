@@ -86,3 +86,12 @@ def test_legacy_rename_idempotent(spark):
     assert p1.columns == p2.columns == ["得意先名", "2024売上"]
     # coupled: an absent product table skips both renames
     assert readers.rename_legacy_coupled(cust, None)[0].columns == cust.columns
+
+
+def test_totals_of_a_merge_sort_nothing(spark):
+    det = _detail(spark)
+    past = {lv.name: summarise.summarise_wide(det.select("*", F.lit(2024).alias("fy")), lv, FS) for lv in LEVELS}
+    res = jobs.merge_years(summarise.summarise(det, LEVELS, FS), past, None, FS, QUARTER)
+    plan = res.checkpoints._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort [" not in plan
+    assert "Sort [" in res.tables["customer"]._jdf.queryExecution().optimizedPlan().toString()
