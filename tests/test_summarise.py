@@ -69,3 +69,29 @@ def test_fiscal_range_is_pushed_to_scan(spark, tmp_out):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(o_orderdate", plan)
     assert df.count() == 1
+
+
+def test_wide_product_level_shuffles_the_detail_only(spark):
+    """No buffer per year and metric goes through the shuffle, and the sums are those of one conditional sum each."""
+    product = LEVELS[-1]
+    keys = list(product.keys)
+    cols = "corp_code string, corp_name string, " + ", ".join(f"{k} string" for k in keys) + ", fy int, " + ", ".join(
+        f"{m} decimal(12,2)" for m in ("qty", "area", "sales", "profit"))
+    one = lambda code, fy, *v: ("1", "x", "o", code, "n", "k", "p", "q", fy, *[None if x is None else Decimal(x) for x in v])
+    df = spark.createDataFrame([
+        one("c1", 2024, "1", "2", "3.9", "-4.2"), one("c1", 2024, "1", "2", "3.9", "-4.2"), one("c1", 2023, "1", None, "5", None),
+        one(None, 2024, "1", "2", "3", "4"), one(None, 2024, "1", "2", "3", "4"), one("c2", 1999, "1", "2", "3", "4"),
+        one("c3", None, "1", "2", "3", "4"), one("c4", 2024, None, None, None, None)], cols)
+    wanted = [(y, m) for y in (2024, 2023) for m in ("area", "sales", "profit")]
+    value = lambda y, m: F.sum(F.when(F.col("fy") == y, F.col(m)))
+    expected = df.groupBy(*keys).agg(*[(value(y, m) if m == "area" else value(y, m).cast("long")).alias(f"{m}_{y}") for y, m in wanted])
+    got = summarise.summarise_wide(df, product, FS)
+    assert got.dtypes == expected.dtypes
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
+    seen = []
+    levels = summarise.summarise_wide_levels(df, LEVELS, FS, combined_hook=lambda w: seen.append(w) or w)
+    in_years = expected.where(F.coalesce(F.col("cust_code"), F.lit("")).isin("c1", "c4", ""))
+    assert sorted(map(tuple, levels["customer_product"].collect()), key=str) == sorted(map(tuple, in_years.collect()), key=str)
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan
+    assert not [x for x in plan.splitlines() if "Expand" in x and "prod_code" in x]
