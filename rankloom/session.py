@@ -89,11 +89,22 @@ def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: How many parts a shuffle is cut into before AQE joins small ones, and how many bytes it joins them to.
+SHUFFLE_PARTS, PART_BYTES = 1000, "16m"
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Give a session built elsewhere the two settings of :func:`local_session`
+    """Give a session built elsewhere the settings of :func:`local_session`
     that the job needs.  Called where a job or a registered query starts,
     always and before anything is planned, so that no plan depends on what
-    ran before; operators and readers never change the session."""
+    ran before; operators and readers never change the session.
+
+    A merged row has a sum for every metric and year, many times its size in
+    a shuffle; so what one task takes from a shuffle is kept small, whatever
+    the size of the tables: many parts, joined by AQE to a few megabytes."""
     spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
     spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                   str(max(SHUFFLE_PARTS, int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", PART_BYTES)
     return spark

@@ -67,3 +67,11 @@ def test_command_line_on_a_plain_session(tmp_path):
     assert got.returncode == 0, got.stderr[-2000:]
     assert '"rejected": {"detail": 1, "master": 0}' in got.stdout
     assert sorted(p.name for p in (tmp_path / "out" / "export").iterdir()) == ["corp", "customer", "customer_product"]
+
+
+def test_a_task_takes_a_bounded_part_of_a_shuffle(spark):
+    session.prepare(spark)
+    parts = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    assert parts is not None and int(parts) >= session.SHUFFLE_PARTS
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == session.PART_BYTES
+    assert spark.range(100).groupBy("id").count().rdd.getNumPartitions() <= 10  # joined again where there is little
