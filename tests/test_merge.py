@@ -83,6 +83,19 @@ def test_stacked_equals_join_then_reaggregate(spark, seed, policy):
     assert ra == rb
 
 
+@pytest.mark.parametrize("seed", [4, 5])
+def test_stored_sides_are_dealt_as_they_are(spark, seed):
+    """Sums before the exchange hold a wide buffer for every row that a task reads."""
+    lv, cdf, pdf = _random_product_tables(spark, seed)
+    fs = FiscalSpec(2025, start_year=2024, metrics=FS.metrics)
+    a = merge.merge_reaggregate(cdf, pdf, lv, fs, QUARTER, stored=True)
+    b = merge.merge_reaggregate(cdf, pdf, lv, fs, QUARTER, stacked=False)
+    plan = a._jdf.queryExecution().sparkPlan().toString().splitlines()
+    below = plan[next(i for i, line in enumerate(plan) if "Exchange" in line or "Repartition" in line):]
+    assert not any("Aggregate" in line for line in below)
+    assert rows(a.select(*b.columns)) == rows(b)
+
+
 def test_product_past_finer_counts_current_twice(spark):
     """Past rows differing only in rep_name repeat the current row in the
     join: the quarter re-aggregation counts current sales twice."""
