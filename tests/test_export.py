@@ -10,7 +10,7 @@ from rankloom.functions.naming import past_file, summary_file
 from rankloom.operators import merge, rank, reconcile
 from rankloom.plans import jobs
 from rankloom.plans.spec import ANNUAL, CUSTOMER, LEVELS, QUARTER, FiscalSpec
-from rankloom.sources import readers, writers
+from rankloom.sources import csvio, readers, writers
 
 FS = FiscalSpec(2025, start_year=2024)
 
@@ -49,6 +49,19 @@ def test_flavours(spark, tmp_out):
     assert spark.read.option("header", True).csv(f"{tmp_out}/b/customer").head()["sales_2025"] is None
 
 
+def test_manifest_counts_records_in_the_pass_of_the_quotes(spark, tmp_path, monkeypatch):
+    """Only files with line breaks in cells are read once more for their records."""
+    (tmp_path / "a.csv").write_bytes(b'h,i\r\n1,"x ""y"""\r\n\r\n2,\r\n')
+    (tmp_path / "b.csv").write_bytes(b"h,i\n1,2")
+    (tmp_path / "c.csv").write_bytes(b"\n1,2\n")
+    called, real = [], csvio._records
+    monkeypatch.setattr(csvio, "_records", lambda *a: called.append(a) or real(*a))
+    counted = lambda: {r["file"]: r["rows"] for r in csvio.manifest(spark, str(tmp_path)).collect()}
+    assert counted() == {"a.csv": 2, "b.csv": 1, "c.csv": 1} and not called
+    (tmp_path / "e.csv").write_bytes(b'h\n"1\n2"\n3\n')
+    assert counted() == {"a.csv": 2, "b.csv": 1, "c.csv": 1, "e.csv": 2} and called
+
+
 def test_quarter_files_have_two_labels():
     assert summary_file("quarter", "corp") == "2Q_ランキング（得意先）_法人.parquet"
     assert past_file("quarter", "corp") == "第２四半期_ランキング（得意先）_法人.parquet"
