@@ -133,3 +133,45 @@ def test_split_keys_meet_in_an_inner_join(spark):
     assert "Join Inner" in plan
     assert "_salt" not in "".join(line for line in plan.splitlines() if "FullOuter" in line)
     assert rows(got) == rows(cur.join(past, ["k"], "full"))
+
+
+def _annual_tables(spark):
+    """Both sides of a product level, with keys twice, without a part, and sales above, at and below zero."""
+    rnd = random.Random(7)
+    keys = [(rnd.choice(["B", "A", None]), str(i % 23), f"c{i % 23}", rnd.choice(["x", "y"]), str(i % 7) if i % 13 else None, f"p{i % 7}")
+            for i in range(400)]
+    kd = "office string, cust_code string, cust_name string, category string, prod_code string, prod_name string, "
+    cur = [(*rnd.choice(keys), rnd.choice([None, 0, rnd.randint(-90, 90)]), rnd.randint(-5, 5)) for _ in range(120)]
+    past = [(*k, rnd.choice([None, rnd.randint(-50, 50)]), rnd.choice([None, 2])) for k in keys]
+    return (spark.createDataFrame(cur, kd + "sales_2025 bigint, profit_2025 bigint"),
+            spark.createDataFrame(past, kd + "sales_2024 bigint, sales_2023 bigint"))
+
+
+@pytest.mark.parametrize("sign", [0, 1])
+def test_stored_products_are_sorted_once(spark, sign):
+    """Rows without current sales lie in the order of their keys after the merge; they crossed the network again for it."""
+    from rankloom.plans import jobs
+    from rankloom.plans.spec import CUSTOMER_PRODUCT
+
+    cur, past = _annual_tables(spark)
+    if sign:
+        cur = cur.filter("sales_2025 >= 0")
+    fs = FiscalSpec(2025, start_year=2022, metrics=FS.metrics)
+    one = lambda stored: jobs.merge_years(
+        {"customer_product": cur}, {"customer_product": past}, None, fs, ANNUAL.with_(missing_master="skip"), (CUSTOMER_PRODUCT,), stored=stored
+    ).tables["customer_product"]
+    got, want = one(True), one(False)
+    assert got.columns == want.columns
+    assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()]
+    plan = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert any("Sort [" in line and line.endswith("], false") for line in plan)  # inside the partitions
+
+
+def test_stored_years_cross_as_a_list(spark):
+    """A key has a value in few of the years: no column of the others is dealt."""
+    cur, past = _annual_tables(spark)
+    fs = FiscalSpec(2025, start_year=2022, metrics=FS.metrics)
+    lv = LevelSpec("p", tuple(cur.columns[:6]))
+    plan = merge.merge_reaggregate(cur, past, lv, fs, ANNUAL, stored=True)._jdf.queryExecution().optimizedPlan().toString()
+    dealt = next(line for line in plan.splitlines() if "Repartition" in line)
+    assert "_values" in plan[plan.index(dealt):] and "Generate" in plan[:plan.index(dealt)]
