@@ -92,6 +92,10 @@ def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
 #: How many parts a shuffle is cut into before AQE joins small ones, and how many bytes it joins them to.
 SHUFFLE_PARTS, PART_BYTES = 1000, "16m"
 
+#: A join key's Bloom filter is made of a side of at most FILTER_FROM bytes where the other side is a scan of at least
+#: FILTERED_FROM bytes; it is made for so many keys and has so many bits.
+FILTERED_FROM, FILTER_FROM, FILTER_KEYS, FILTER_BITS = "32m", "100g", 4_000_000, 1 << 25
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Give a session built elsewhere the settings of :func:`local_session`
@@ -101,10 +105,18 @@ def prepare(spark: SparkSession) -> SparkSession:
 
     A merged row has a sum for every metric and year, many times its size in
     a shuffle; so what one task takes from a shuffle is kept small, whatever
-    the size of the tables: many parts, joined by AQE to a few megabytes."""
+    the size of the tables: many parts, joined by AQE to a few megabytes.
+
+    Rows of a large side that meet none of the other, filtered one (line items
+    of other years) are left out before a shuffle by Spark's runtime Bloom
+    filter; by its own size rules it makes none for tables of this kind."""
     spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
     spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
                    str(max(SHUFFLE_PARTS, int(spark.conf.get("spark.sql.shuffle.partitions")))))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", PART_BYTES)
+    bloom = "spark.sql.optimizer.runtime.bloomFilter."
+    for name, value in (("applicationSideScanSizeThreshold", FILTERED_FROM), ("creationSideThreshold", FILTER_FROM),
+                        ("expectedNumItems", FILTER_KEYS), ("numBits", FILTER_BITS)):
+        spark.conf.set(bloom + name, str(value))
     return spark

@@ -75,3 +75,17 @@ def test_a_task_takes_a_bounded_part_of_a_shuffle(spark):
     assert parts is not None and int(parts) >= session.SHUFFLE_PARTS
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == session.PART_BYTES
     assert spark.range(100).groupBy("id").count().rdd.getNumPartitions() <= 10  # joined again where there is little
+
+
+def test_line_items_of_other_years_are_left_out_before_the_shuffle(spark, tmp_path):
+    """By its own size rules Spark makes no filter here: the scan is below 10 GB."""
+    from pyspark.sql import functions as F
+
+    small, large = f"{tmp_path}/small", f"{tmp_path}/large"
+    spark.range(2000).withColumn("d", F.col("id") % 50).write.parquet(small)
+    spark.range(5_000_000).select((F.rand(1) * 1e15).alias("x"), (F.col("id") % 4000).alias("k")).write.parquet(large)  # 40 MB
+    session.prepare(spark)
+    few = spark.read.parquet(small).where("d = 7 AND id IS NOT NULL").hint("merge")
+    found = spark.read.parquet(large).where("k IS NOT NULL").join(few, F.col("k") == F.col("id"))
+    assert "might_contain" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count() == 40 * 1250
