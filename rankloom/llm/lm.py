@@ -210,8 +210,13 @@ class _Runs(NamedTuple):
 
 def _mixed(key: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        h = key[:, 0].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + key[:, 1].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-        return (h ^ (h >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+        h, tail = key[:, 0].astype(np.uint64), key[:, 1].astype(np.uint64)
+        h *= np.uint64(0x9E3779B97F4A7C15)
+        tail *= np.uint64(0xD6E8FEB86659FD93)
+        h += tail
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0x94D049BB133111EB)
+        return h
 
 
 def _hash(key: np.ndarray) -> np.ndarray:
@@ -223,7 +228,11 @@ def _order(code: np.ndarray, bits: int) -> np.ndarray:
     wide = len(code).bit_length()
     if bits + wide > 63:
         return np.argsort(code, kind="stable")
-    return np.sort(code << wide | np.arange(len(code))) & ((1 << wide) - 1)
+    both = np.left_shift(code, wide, dtype=np.int64)
+    both |= np.arange(len(code))
+    both.sort()
+    both &= (1 << wide) - 1
+    return both
 
 
 def _sorted(part: np.ndarray, head: np.ndarray, tail: np.ndarray) -> np.ndarray:
@@ -235,17 +244,21 @@ def _sorted(part: np.ndarray, head: np.ndarray, tail: np.ndarray) -> np.ndarray:
 
 
 def _distinct(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(high, low, place): the distinct pairs of numbers, sorted, and the place of each in them."""
+    """(high, low, place): the distinct pairs of a block's numbers (below
+    2 ** 31), sorted, and the place of each in them."""
     bits = [int(x.max(initial=0)).bit_length() for x in (high, low)]
-    code = high.astype(np.int64) << bits[1] | low
+    code = high.astype(np.int64)
+    code <<= bits[1]
+    code |= low
     order = _order(code, sum(bits))
     code = code[order]
     new = np.ones(len(code), bool)
     new[1:] = code[1:] != code[:-1]
-    place = np.empty(len(code), np.int64)
-    place[order] = np.cumsum(new) - 1
+    place = np.empty(len(code), np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - 1
+    del order
     code = code[new]
-    return code >> bits[1], code & ((1 << bits[1]) - 1), place
+    return (code >> bits[1]).astype(np.int32), (code & ((1 << bits[1]) - 1)).astype(np.int32), place
 
 
 def _alike(head: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, int]:
@@ -268,41 +281,59 @@ def _alike(head: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, int]:
 
 
 def _runs(tokens: np.ndarray, skip: int, kind: np.ndarray, gid: np.ndarray, m: np.ndarray, parts: int) -> _Runs:
-    """``gid`` and ``m`` by token: its number (-1: not in training) and its count in all texts."""
-    at = np.arange(len(tokens))
+    """``gid`` and ``m`` by token: its number (-1: not in training) and its count in all texts.
+
+    A worker's memory is largest here: numbers of a block take 4 bytes, and what is read no more goes."""
     word = tokens != BEGIN
-    owned = word & (at >= skip)
-    known = gid[tokens] >= 0
-    before = np.concatenate([[BEGIN], tokens[:-1]])
-    has = word & known & np.concatenate([[False], known[:-1]])
+    owned = word.copy()
+    owned[:skip] = False
+    known = (gid >= 0)[tokens]
+    ahead = lambda x, first: np.concatenate([np.array([first], x.dtype), x[:-1]])
+    before = ahead(tokens, BEGIN)
+    has = word & known & ahead(known, False)
     left, right, inverse = _distinct(before[has], tokens[has])
-    two = np.full(len(tokens), -1, np.int64)
+    two = np.full(len(tokens), -1, np.int32)
     two[has] = inverse
     # a run of three is the token before with its run of two, and this token
-    last = np.concatenate([[-1], two[:-1]])
+    last = ahead(two, -1)
     has = owned & (two >= 0) & (last >= 0) & (before != BEGIN)
     pair, right3, inverse = _distinct(last[has], tokens[has])
-    three = np.full(len(tokens), -1, np.int64)
-    three[has] = inverse + len(left)
+    del before, last
+    three = np.full(len(tokens), -1, np.int32)
+    three[has] = inverse + np.int32(len(left))
+    del inverse, has
     first, second, third = left[pair], np.concatenate([left, right[pair]]), np.concatenate([right, right3])
-    total = len(left) + len(pair)
-    counts = np.zeros((total, 2), np.int64)
+    n_two, total = len(left), len(left) + len(pair)
+    del left, right, pair, right3
+    counts = np.zeros((total, 2), np.int32)
     for c, least in enumerate((TRAIN, DELETED)):
         of = owned & (kind >= least)
         if of.any():
-            counts[:, c] = np.bincount(np.concatenate([x[of & (x >= 0)] for x in (two, three)]), minlength=total)
+            counts[:n_two, c] = np.bincount(two[of & (two >= 0)], minlength=n_two)
+            counts[n_two:, c] = np.bincount(three[of & (three >= 0)] - n_two, minlength=total - n_two)
     here = np.bincount(tokens[owned], minlength=len(gid))
     elsewhere = m > here
     elsewhere[[BEGIN, END]] = True
     ask = elsewhere[second] & elsewhere[third]
-    ask[len(left):] &= elsewhere[first]
+    ask[n_two:] &= elsewhere[first]
     asked = np.flatnonzero(ask)
-    head = np.zeros(total, np.int64)
-    head[len(left):] = gid[first] + 1
-    key = np.stack([head[asked], gid[second[asked]] << 32 | gid[third[asked]]], axis=1)
+    key = np.zeros((len(asked), 2), np.int64)
+    long = asked >= n_two
+    key[long, 0] = gid[first[asked[long] - n_two]] + 1
+    key[:, 1] = gid[second[asked]]
+    key[:, 1] <<= 32
+    key[:, 1] |= gid[third[asked]]
+    del ask, long, first, second, third
     part = (_hash(key) % np.uint64(parts)).astype(np.int64)
     order = _sorted(part, key[:, 0], key[:, 1])
-    return _Runs(kind, owned, two, three, counts, asked[order], key[order], part[order], len(left))
+    return _Runs(kind, owned, two, three, counts, asked[order].astype(np.int32), key[order], part[order], n_two)
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """The rows of all batches, one by one: a row is a block."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
 
 
 def _opened(r: dict, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, _Runs]:
@@ -372,22 +403,22 @@ def _lexicon(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _requests(parts: int):
     def ask(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
-            for r in batch.to_pylist():
-                runs = _opened(r, parts)[-1]
-                edge = np.searchsorted(runs.part, np.arange(parts + 1))
-                here = np.flatnonzero(np.diff(edge))
-                made = []
-                for p in here:
-                    a, b = edge[p], edge[p + 1]
-                    n, d = runs.counts[runs.asked[a:b]].T
-                    head, tail = runs.key[a:b].T
-                    second = tail >> 32  # as the difference to the run before, where the first word is the same
-                    step = second - np.where(np.diff(head, prepend=-1) == 0, np.concatenate([[0], second[:-1]]), 0)
-                    made.append(pack(narrow(np.diff(head, prepend=0)), narrow(step), narrow(tail & ((1 << 32) - 1)), narrow(n), narrow(d)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(here, pa.int64()), pa.array([r["block"]] * len(here), pa.int64()),
-                     pa.array([r["deleted"]] * len(here), pa.bool_()), pa.array(made, pa.binary())], ["part", "block", "deleted", "body"])
+        for r in _rows(rows):
+            runs = _opened(r, parts)[-1]
+            edge = np.searchsorted(runs.part, np.arange(parts + 1))
+            here = np.flatnonzero(np.diff(edge))
+            made = []
+            for p in here:
+                a, b = edge[p], edge[p + 1]
+                n, d = runs.counts[runs.asked[a:b]].T
+                head, tail = runs.key[a:b].T
+                second = tail >> 32  # as the difference to the run before, where the first word is the same
+                step = second - np.where(np.diff(head, prepend=-1) == 0, np.concatenate([[0], second[:-1]]), 0)
+                made.append(pack(narrow(np.diff(head, prepend=0)), narrow(step), narrow(tail & ((1 << 32) - 1)), narrow(n), narrow(d)))
+            del runs
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(here, pa.int64()), pa.array([r["block"]] * len(here), pa.int64()),
+                 pa.array([r["deleted"]] * len(here), pa.bool_()), pa.array(made, pa.binary())], ["part", "block", "deleted", "body"])
 
     return ask
 
@@ -433,20 +464,28 @@ def _counts(r: dict, parts: int, totals: Totals, without: bool = False):
     """(owned, counts, contexts) of a block's tokens for the orders 1 to 3 and
     2 to 3: in training, or ``without`` its held-out part."""
     tokens, gid, n, d, runs = _opened(r, parts)
+    mine, run_two, run_three, counts, asked = runs.owned, runs.two, runs.three, runs.counts, runs.asked
+    del runs, gid
     pick = (lambda x, y: x - y) if without else (lambda x, y: x)
-    sums = np.append(pick(*runs.counts.T), 0)  # run -1: never found
-    replies = sorted(r["replies"] or [], key=lambda x: x["part"])
-    if replies:
-        sums[runs.asked] += np.concatenate([pick(*unpack(x["body"])) for x in replies])
+    sums = np.zeros(len(counts) + 1, np.int64)  # run -1: never found
+    sums[:-1] = pick(*counts.T)
+    replies, at = sorted(r["replies"] or [], key=lambda x: x["part"]), 0
+    for x in replies:
+        got = pick(*unpack(x["body"]))
+        sums[asked[at:at + len(got)]] += got
+        at += len(got)
+    if replies and at != len(asked):
+        raise ValueError(f"block {r['block']}: {len(asked)} runs asked for, {at} answered")
+    del counts, asked
     n, texts = pick(n, d), pick(totals.texts, totals.deleted_texts)
     n[[BEGIN, END]] = texts
-    one, two, three = n[tokens], sums[runs.two], sums[runs.three]
-    ahead = lambda x: np.concatenate([[0], x[:-1]])
-    first = np.concatenate([[False], tokens[:-1] == BEGIN])
-    over_three = np.where(first, texts, ahead(two))
-    three = np.where(first, two, three)  # the text begins twice
-    mine = runs.owned
-    return mine, [x[mine] for x in (one, two, three)], [x[mine] for x in (ahead(one), over_three)]
+    owned = np.flatnonzero(mine)
+    before = owned - 1  # an owned token has one before it, in its text
+    one, two, three = n[tokens[owned]], sums[run_two[owned]], sums[run_three[owned]]
+    over_two, over_three = n[tokens[before]], sums[run_two[before]]
+    begins = tokens[before] == BEGIN
+    over_three[begins], three[begins] = texts, two[begins]  # the text begins twice
+    return mine, [one, two, three], [over_two, over_three]
 
 
 def bucket(n: np.ndarray) -> np.ndarray:
@@ -483,6 +522,15 @@ def probabilities(mixture: Mixture, estimates, contexts, known: int):
     return p1, p2, three * estimates[2] + (1 - three) * p2, two, three
 
 
+def scores(mixture: Mixture, counts, contexts, totals: Totals, step: int = 1 << 16) -> np.ndarray:
+    """log10 P3 of each token, some tokens at a time."""
+    out = np.empty(len(counts[0]))
+    for a in range(0, len(out), step):
+        some, over = [x[a:a + step] for x in counts], [x[a:a + step] for x in contexts]
+        out[a:a + step] = np.log10(probabilities(mixture, _estimates(some, over, totals.tokens), over, totals.known)[2])
+    return out
+
+
 def expectations(mixture: Mixture, counts, contexts, totals: Totals) -> np.ndarray:
     """(5, BUCKETS): for orders 3 and 2 the tokens' shares that the estimate
     explains and those it was asked for, by bucket; then both of order 1."""
@@ -558,29 +606,26 @@ def score(docs: DataFrame, folds: int = FOLDS, doc_id: str = "doc_id", text: str
         replies.filter(which).groupBy("block").agg(F.collect_list(F.struct("part", "body")).alias("replies")), "block", "left")
 
     def left_out(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
-            out = []
-            for r in batch.to_pylist():
-                _, counts, contexts = _counts(r, parts, totals, without=True)
-                out.append(pack(*[narrow(x) for x in (*counts, *contexts)]))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["counts"])
+        for r in _rows(rows):
+            _, counts, contexts = _counts(r, parts, totals, without=True)
+            yield pa.RecordBatch.from_arrays([pa.array([pack(*[narrow(x) for x in (*counts, *contexts)])], pa.binary())], ["counts"])
 
     mixture = fit(materialize(gathered(F.col("deleted")).mapInArrow(left_out, "counts binary")), totals, rounds)
 
     def scored(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            for r in batch.to_pylist():
+            id_arrow = batch.schema.field("docs").type.value_type.field("doc_id").type
+            for r in _rows(iter([batch])):
                 owned, counts, contexts = _counts(r, parts, totals)
-                p3 = probabilities(mixture if totals.tokens else mixture._replace(one=0.0), _estimates(counts, contexts, totals.tokens),
-                                   contexts, totals.known)[2]
+                score_of = scores(mixture if totals.tokens else mixture._replace(one=0.0), counts, contexts, totals)
+                del contexts
                 base = np.log10((counts[0] + ADDED) / (totals.tokens + ADDED * (totals.known + 1)))
                 of = np.repeat(np.arange(len(r["docs"])), [x["size"] for x in r["docs"]])[owned]
                 add = lambda x=None: np.bincount(of, x, minlength=len(r["docs"]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x["row"] for x in r["docs"]], pa.int64()),
-                     pa.array([x["doc_id"] for x in r["docs"]], batch.schema.field("docs").type.value_type.field("doc_id").type),
+                    [pa.array([x["row"] for x in r["docs"]], pa.int64()), pa.array([x["doc_id"] for x in r["docs"]], id_arrow),
                      pa.array([x["kind"] == HELD_OUT for x in r["docs"]]), pa.array(add()), pa.array(add(counts[0] > 0).astype(np.int64)),
-                     pa.array(add(base)), pa.array(add(np.log10(p3)))],
+                     pa.array(add(base)), pa.array(add(score_of))],
                     ["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
     by_block = gathered(F.lit(True)).mapInArrow(

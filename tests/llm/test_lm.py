@@ -1,6 +1,7 @@
 import collections
 import math
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -176,3 +177,33 @@ def test_requests_go_by_part_and_first_two_words(top):
     order = lm._sorted(part, head, second << 32 | third)
     got = list(zip(part[order], head[order], second[order]))
     assert got == sorted(got)
+
+
+def a_block(n: int, words: int) -> tuple[dict, int]:
+    """A block of random words, one text, as the tasks for runs read it; and its tokens."""
+    rng = np.random.default_rng(8)
+    tokens = np.concatenate([[lm.BEGIN], rng.integers(2, words + 2, n), [lm.END]]).astype(np.int32)
+    gid, m = np.arange(1, words + 3), np.full(words + 2, n)
+    return {"block": 1, "deleted": False, "skip": 0, "tokens": lm.pack(tokens), "lexicon": lm.pack(gid, m, m, m * 0),
+            "docs": [{"row": 0, "doc_id": 0, "kind": lm.TRAIN, "size": len(tokens)}], "replies": None}, len(tokens)
+
+
+def test_memory_of_a_block():
+    """Where hardly a run repeats: about 185 bytes a token at the most (330 with numbers of 8 bytes, all kept)."""
+    row, n = a_block(200_000, 40_000)
+    lm._counts(row, 5, lm.Totals(n, 1, 40_001, 0, 0))
+    tracemalloc.start()
+    try:
+        lm._counts(row, 5, lm.Totals(n, 1, 40_001, 0, 0))
+        assert tracemalloc.get_traced_memory()[1] < 230 * n
+    finally:
+        tracemalloc.stop()
+
+
+def test_scores_do_not_depend_on_the_step():
+    rng = np.random.default_rng(9)
+    contexts = [rng.integers(0, 50, 500), rng.integers(0, 9, 500)]
+    counts = [rng.integers(1, 30, 500), rng.integers(0, contexts[0] + 1), rng.integers(0, contexts[1] + 1)]
+    totals = lm.Totals(9000, 10, 300, 0, 0)
+    some, whole = (lm.scores(lm.first_mixture(), counts, contexts, totals, step) for step in (7, 1000))
+    assert (some == whole).all() and len(some) == 500
