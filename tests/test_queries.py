@@ -119,3 +119,39 @@ def test_plans_do_not_depend_on_what_ran_before(spark):
     spark.conf.set("spark.sql.constraintPropagation.enabled", "true")
     QUERIES["summary_corp"](spark, SF)
     assert spark.conf.get("spark.sql.constraintPropagation.enabled") == "false"
+
+
+def _exchanges(spark, df) -> tuple[int, list[str]]:
+    """Exchanges by hash of the static plan, and those of them by a level's keys (an office first)."""
+    plan = _plan(df)
+    return len(re.findall("Exchange hashpartitioning", plan)), re.findall(r"Exchange hashpartitioning\((?:office|r_name)[^)]*\)", plan)
+
+
+def test_product_detail_lies_by_customer(spark):
+    """Customers, with their names, meet the line items last; then the product
+    level of a year or of the past needs no exchange, nor does their join."""
+    from rankloom.operators import merge
+    from rankloom.plans.spec import CUSTOMER_PRODUCT, QUARTER
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # static plan, exchanges countable
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2k")  # as tables of any size: nations alone are broadcast
+    try:
+        cur, past = catalog.cur_level(spark, SF, CUSTOMER_PRODUCT), catalog.past_product_by_rep(spark, SF)
+        detail = _exchanges(spark, catalog.past_detail(spark, SF, dealt=True))[0]
+        for table in (cur, past):
+            assert _exchanges(spark, table) == (detail, [])
+        joined, by_keys = _exchanges(spark, merge.merge_level(cur, past, CUSTOMER_PRODUCT, catalog.FISCAL, QUARTER))
+        assert joined <= 2 * detail and not by_keys
+        plain = _exchanges(spark, catalog.past_detail(spark, SF))[0]
+        assert plain == detail
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_past_levels_are_written_once_and_merged_as_stored(spark):
+    """Totals of a merge read what was written; product rows cross as lists of years."""
+    plan = _plan(catalog._merged_all(spark, SF)["customer_product"])
+    assert "array_compact" in plan or "_values" in plan
+    assert "rankloom-mat-" in plan and "o_orderdate" not in plan

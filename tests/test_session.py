@@ -94,3 +94,27 @@ def test_line_items_of_other_years_are_left_out_before_the_shuffle(spark, tmp_pa
         assert found.agg(F.count("x")).head()[0] == 40 * 1250
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+
+
+def test_shuffle_files_go_with_their_query(spark, tmp_out):
+    """After a written query nothing of its shuffles is left; the same frame can still be acted on again."""
+    import glob
+    import os
+    import time
+
+    from pyspark.sql import functions as F
+
+    from rankloom.session import prepare
+
+    prepare(spark)
+    local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    files = lambda: {f for d in local for f in glob.glob(f"{d}/**/shuffle_*", recursive=True)}
+    before = files()
+    df = spark.range(20_000).groupBy((F.col("id") % 1000).alias("k")).agg(F.count(F.lit(1)).alias("n")).orderBy("k")
+    df.write.parquet(tmp_out)
+    for _ in range(100):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert len(df.collect()) == len(df.collect()) == spark.read.parquet(tmp_out).count() == 1000
